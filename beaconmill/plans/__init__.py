@@ -1,6 +1,6 @@
 from beaconmill.plans.analytical import correlate_layers, load_all, run_all
 from beaconmill.plans.audit import append_audit, count_steps, read_audit
-from beaconmill.plans.ingest import snapshot, stage, staged
+from beaconmill.plans.ingest import malformed_rows, snapshot, stage, staged
 from beaconmill.plans.layers import Layers, append, overwrite, read_if_present, read_layer
 from beaconmill.plans.loads import (
     cleanse,
@@ -24,6 +24,7 @@ __all__ = [
     "incremental_load",
     "incremental_load_frame",
     "load_all",
+    "malformed_rows",
     "overwrite",
     "read_audit",
     "read_if_present",

@@ -88,7 +88,11 @@ def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = Fa
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows without the raw text, malformed rows with it)."""
+    """(well-formed rows without the raw text, malformed rows with it).
+
+    Spark refuses queries on raw files that need no column but the raw text, such
+    as a plain count; ask those of the snapshot.
+    """
     if schemas.MALFORMED not in df.columns:
         return df, df.limit(0)
     raw = F.col(schemas.MALFORMED)

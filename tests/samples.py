@@ -1,0 +1,56 @@
+"""The sample rows of the three sources, in the layouts they are shipped in."""
+
+import json
+import os
+
+IMPRESSIONS = [
+    ("ABC123", "user123", "2024-05-05T12:30:45Z", "example.com"),
+    ("XYZ789", "user456", "2024-05-05T12:35:00Z", "example.net"),
+    ("DEF456", "user789", "2024-05-05T12:40:15Z", "example.org"),
+    ("GHI789", "user789", "2024-05-05T12:45:30Z", "example.com"),
+    ("JKL012", "user123", "2024-05-05T12:50:00Z", "example.net"),
+]
+INTERACTIONS = [
+    ("2024-05-05T12:35:21Z", "user456", "CampaignXYZ", "signup"),
+    ("2024-05-05T12:40:10Z", "user789", "CampaignABC", "purchase"),
+    ("2024-05-05T12:42:55Z", "user123", "CampaignXYZ", "purchase"),
+    ("2024-05-05T12:47:30Z", "user456", "CampaignABC", "signup"),
+    ("2024-05-05T12:50:20Z", "user789", "CampaignXYZ", "signup"),
+]
+BIDS = [
+    ("user789", "New York", 28, "auction123", 0.50, "12:00", ["sports", "technology"], "mobile"),
+    ("user456", "Los Angeles", 35, "auction456", 0.75, "12:10", ["fashion", "travel"], "desktop"),
+    ("user123", "Chicago", 40, "auction789", 0.60, "12:20", ["food", "health"], "mobile"),
+    ("user456", "San Francisco", 25, "auction101", 0.80, "12:30", ["fitness", "lifestyle"], "tablet"),
+    ("user789", "Seattle", 30, "auction112", 0.65, "12:40", ["music", "entertainment"], "desktop"),
+]
+
+
+def _bid(user, place, age, auction, amount, time, keywords, device):
+    return {
+        "user_info": {"user_id": user, "location": place, "age": age},
+        "auction_details": {
+            "auction_id": auction,
+            "bid_amount": amount,
+            "timestamp": f"2024-05-05T{time}:00Z",
+        },
+        "ad_targeting_criteria": {"keywords": keywords, "device_type": device},
+    }
+
+
+def write_samples(folder: str) -> None:
+    names = ("ad_creative_id", "user_id", "timestamp", "website")
+    _array(folder, "ad_impressions.json", [dict(zip(names, row)) for row in IMPRESSIONS])
+    _array(folder, "bid_requests.json", [_bid(*row) for row in BIDS])
+    lines = ["Event Timestamp,User ID,Ad Campaign ID,Conversion Type"]
+    lines += [",".join(row) for row in INTERACTIONS]
+    _text(folder, "clicks_conversions.csv", "\n".join(lines) + "\n")
+
+
+def _array(folder, name, records):
+    _text(folder, name, json.dumps(records, indent=2) + "\n")
+
+
+def _text(folder, name, text):
+    with open(os.path.join(folder, name), "w", newline="\r\n") as file:
+        file.write(text)
