@@ -103,8 +103,12 @@ def attribute_last_touch(
     earlier = W.partitionBy(user).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     carried = (
         instants.groupBy(user, "_bucket")
-        .agg(F.max_by("_id", F.when(F.col("_id").isNotNull(), F.col(time))).alias("_last"))
+        .agg(
+            F.max_by("_id", F.when(F.col("_id").isNotNull(), F.col(time))).alias("_last"),
+            F.max("_asked").alias("_asked"),
+        )
         .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
+        .filter("_asked")
         .select(user, "_bucket", "_carried")
     )
     answers = (

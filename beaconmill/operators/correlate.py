@@ -13,7 +13,7 @@ from beaconmill.functions import all_present
 from beaconmill.schemas import KEYS
 
 ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 1_000
+MAX_HOT_KEYS = 100_000
 
 
 def correlate(
@@ -49,8 +49,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFram
     The estimate decides only how work is spread, never which rows take part, so
     a share of the rows is enough: about 1000 of each key that is just hot. The
     answer is fixed here, at most ``MAX_HOT_KEYS`` rows, so that both sides of a
-    join are sure to see the same one. Keys beyond that number are each smaller
-    than a thousandth of the table.
+    join are sure to see the same one. Were there more, the rest would each hold
+    less than a hundred-thousandth of the table and join unsplit.
     """
     share = min(1.0, 1000 / rows_per_task)
     seen = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=17)

@@ -35,10 +35,17 @@ def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
 
 
 def append_audit(spark: SparkSession, path: str, counts: Mapping[str, int]) -> None:
-    """Append the steps of one run in one file."""
-    rows = spark.createDataFrame(list(counts.items()), "operation string, record_count bigint")
-    stamped = rows.withColumn("operation_timestamp", F.current_timestamp())
-    stamped.coalesce(1).write.mode("append").parquet(path)
+    """Append the steps of one run in one file.
+
+    The few rows are literals of the plan; ``createDataFrame`` would start Python
+    workers to hand them over.
+    """
+    steps = [
+        F.struct(F.lit(step).alias("operation"), F.lit(rows).cast("bigint").alias("record_count"))
+        for step, rows in counts.items()
+    ]
+    rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*steps)))
+    rows.withColumn("operation_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -37,16 +37,18 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
     column, which costs next to nothing where it is NULL, and is copied from the
     snapshot to the quarantine layer if there is any.
     """
+    counts = {}
     for spec in specs:
         landed = layers.path("snapshot", spec.name)
         keep = spec.schema is not None and spec.format in ("json", "csv")
         overwrite(read_source(spark, spec, keep_malformed=keep), landed, reads=spec.path)
         if keep:
             _, malformed = split_malformed(read_layer(spark, landed))
-            bad = malformed.count()
-            append_audit(spark, layers.audit, {f"malformed_{spec.name}": bad})
-            if bad:
+            counts[f"malformed_{spec.name}"] = malformed.count()
+            if counts[f"malformed_{spec.name}"]:
                 overwrite(malformed, layers.path("quarantine", spec.name))
+    if counts:
+        append_audit(spark, layers.audit, counts)
 
 
 def staged(df: DataFrame, arrived: datetime | str) -> DataFrame:
