@@ -37,6 +37,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--skip-loaded", action="store_true",
                         help="incremental-load: leave out keys that are already loaded")
     parser.add_argument("--append", action="store_true", help="stage: keep earlier arrivals")
+    parser.add_argument("--buckets", type=int, default=0,
+                        help="bucket loaded datasets by key into catalog tables, for joins without a shuffle")
+    parser.add_argument("--database", default="default", help="the database of bucketed tables")
     given = parser.parse_args(argv)
     if given.job in ("snapshot", "run-all") and not given.input:
         parser.error(f"{given.job} needs --input")
@@ -70,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     given = arguments(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName(f"beaconmill {given.job}").getOrCreate()
-    layers = plans.Layers(given.root)
+    layers = plans.Layers(given.root, given.buckets, given.database)
     datasets = given.dataset or list(STAGED)
     if given.job == "snapshot":
         plans.snapshot(spark, specs(given), layers)

@@ -19,10 +19,11 @@ def correlate_layers(spark: SparkSession, layers: Layers) -> None:
     """Impressions with clicks, and impressions with conversions, as two tables.
 
     The loads left at most one row per key and run, so the events need no
-    splitting and each table is one join over two scans.
+    splitting and each table is one join over two scans. Over bucketed tables
+    the join needs no shuffle either.
     """
     names = ("ad_impressions", "clicks", "conversions")
-    frames = {name: read_layer(spark, layers.path("ingestion", name)) for name in names}
+    frames = {name: read_layer(spark, layers.path("ingestion", name), layers.bucketed(name)) for name in names}
     counts = {f"read_ingestion_{name}": df.count() for name, df in frames.items()}  # footers
     append_audit(spark, layers.audit, counts)
     for name, id_column in (("clicks", "click_id"), ("conversions", "conversion_id")):
@@ -42,11 +43,12 @@ def load_all(
     counts = {}
     for dataset in datasets:
         paths = (layers.path("staging", dataset), layers.path("ingestion", dataset), layers.audit)
+        buckets = layers.bucketed(dataset)
         if last_load_date is None:
-            counts[dataset] = full_load(spark, *paths, load_ts)
+            counts[dataset] = full_load(spark, *paths, load_ts, buckets=buckets)
         else:
             counts[dataset] = incremental_load(
-                spark, *paths, last_load_date, load_ts, skip_loaded=skip_loaded
+                spark, *paths, last_load_date, load_ts, skip_loaded=skip_loaded, buckets=buckets
             )
     return counts
 

@@ -17,7 +17,7 @@ from beaconmill.operators import (
     stringify,
 )
 from beaconmill.plans.audit import append_audit
-from beaconmill.plans.layers import Layers, append, overwrite, read_layer
+from beaconmill.plans.layers import Layers, overwrite, read_layer, save_arrivals
 from beaconmill.schemas import MALFORMED
 from beaconmill.sources import SourceSpec, read_source, split_malformed
 
@@ -66,11 +66,10 @@ def stage(
 ) -> None:
     """Snapshot to staging, one map-only job per dataset. ``mode="append"`` keeps
     what arrived earlier, for incremental loads to choose from."""
-    write = {"overwrite": overwrite, "append": append}[mode]
     for dataset in datasets:
         origin, make = STAGED[dataset]
         df = make(read_layer(spark, layers.path("snapshot", origin)))
-        write(staged(df, arrived), layers.path("staging", dataset))
+        save_arrivals(staged(df, arrived), layers.path("staging", dataset), mode)
 
 
 def malformed_rows(spark: SparkSession, layers: Layers, dataset: str) -> DataFrame:

@@ -1,21 +1,46 @@
-"""Where the layers lie: one directory per layer and dataset."""
+"""Where the layers lie, and how their tables are read and written."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from beaconmill.schemas import KEYS, LOAD_DATE
 
 LAYERS = ("snapshot", "quarantine", "staging", "ingestion", "analytical", "audit")
 
+# The directories of staging, one per arrival, are named by its microseconds since
+# the epoch: a number means the same in every time zone.
+ARRIVAL = "arrival_micros"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """A catalog table over a layer's directory whose files are hashed and sorted by key.
+
+    Joins on the keys between tables of one ``count`` need no shuffle. The table
+    is external and the directory stays plain Parquet for everyone else.
+    """
+
+    table: str
+    count: int
+    keys: Sequence[str] = KEYS
+
 
 @dataclass(frozen=True)
 class Layers:
-    """The layers below one root, which may be any path Spark can write to."""
+    """One directory per layer and dataset below a root, on any file system Spark
+    can write to. With ``buckets``, loaded datasets are bucketed into that many,
+    as tables of ``database`` in the session's catalog."""
 
     root: str
+    buckets: int = 0
+    database: str = "default"
 
     def path(self, layer: str, dataset: str = "") -> str:
         if layer not in LAYERS:
@@ -26,32 +51,64 @@ class Layers:
     def audit(self) -> str:
         return self.path("audit")
 
+    def bucketed(self, dataset: str) -> Buckets | None:
+        return Buckets(f"{self.database}.{dataset}", self.buckets) if self.buckets else None
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """The Parquet table at the path. The scan decides the partitioning and adaptive
-    execution adjusts it; repartitioning here would only add a shuffle."""
-    return spark.read.parquet(path)
+
+def read_layer(spark: SparkSession, path: str, buckets: Buckets | None = None) -> DataFrame:
+    """The table at the path. The scan decides the partitioning and adaptive execution
+    adjusts it; repartitioning here would only add a shuffle."""
+    if buckets is not None:
+        return spark.table(buckets.table)
+    return with_arrivals(spark.read.parquet(path))
+
+
+def with_arrivals(df: DataFrame) -> DataFrame:
+    """Take ``load_date`` from the directory names, where the table has them: a filter
+    on it then chooses directories before any file is opened."""
+    if ARRIVAL not in df.columns:
+        return df
+    return df.withColumn(LOAD_DATE, F.timestamp_micros(ARRIVAL)).drop(ARRIVAL)
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return read_layer(spark, path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def overwrite(df: DataFrame, path: str, reads: str | None = None) -> None:
+def overwrite(
+    df: DataFrame, path: str, reads: str | None = None, buckets: Buckets | None = None
+) -> None:
     """Replace the table at the path. It must not be the one the plan reads, which
     Spark would delete before reading it."""
     if reads is not None and _clean(reads) == _clean(path):
         raise ValueError(f"cannot overwrite {path} while reading it")
-    df.write.mode("overwrite").parquet(path)
+    _save(df, path, "overwrite", buckets)
+
+
+def append(df: DataFrame, path: str, buckets: Buckets | None = None) -> None:
+    _save(df, path, "append", buckets)
+
+
+def _save(df: DataFrame, path: str, mode: str, buckets: Buckets | None) -> None:
+    if buckets is None:
+        df.write.mode(mode).parquet(path)
+    else:
+        keys = list(buckets.keys)
+        writer = df.write.mode(mode).format("parquet").option("path", path)
+        writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def save_arrivals(df: DataFrame, path: str, mode: str) -> None:
+    """Write staged rows with a directory per arrival, so that an incremental load
+    opens only the arrivals after its mark."""
+    arrivals = df.withColumn(ARRIVAL, F.unix_micros(LOAD_DATE))
+    writer = arrivals.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(ARRIVAL).parquet(path)
 
 
 def _clean(path: str) -> str:

@@ -21,7 +21,7 @@ from beaconmill.operators import (
     uppercase,
 )
 from beaconmill.plans.audit import append_audit, count_steps, counted
-from beaconmill.plans.layers import append, overwrite, read_if_present, read_layer
+from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer
 from beaconmill.schemas import KEYS, TIME, USER
 
 log = logging.getLogger(__name__)
@@ -78,12 +78,13 @@ def full_load(
     audit_path: str,
     load_ts: datetime | str,
     order_by: Sequence[Column] | None = None,
+    buckets: Buckets | None = None,
 ) -> dict[str, int]:
     """Replace an ingestion dataset by all that is staged; returns the audited counts."""
     staging = read_layer(spark, staging_path)
     counts = count_steps(staging, read_staging=None, **_checks())
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
-    overwrite(rows, output_path, reads=staging_path)
+    overwrite(rows, output_path, reads=staging_path, buckets=buckets)
     counts["deduplicate_data"] = written()
     append_audit(spark, audit_path, counts)
     log.info("full load of %s: %s", output_path, counts)
@@ -99,6 +100,7 @@ def incremental_load(
     load_ts: datetime | str,
     order_by: Sequence[Column] | None = None,
     skip_loaded: bool = False,
+    buckets: Buckets | None = None,
 ) -> dict[str, int]:
     """Append what arrived after the mark; writes nothing if there is nothing new.
 
@@ -113,7 +115,7 @@ def incremental_load(
         target = read_if_present(spark, output_path) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
         rows, written = counted(frame)
-        append(rows, output_path)
+        append(rows, output_path, buckets)
         counts["deduplicate_data"] = written()
     else:
         counts["deduplicate_data"] = 0

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, count_steps, counted
-from beaconmill.plans.layers import append, read_if_present, read_layer
+from beaconmill.plans.layers import append, read_if_present, with_arrivals
 from beaconmill.plans.loads import cleanse
 from beaconmill.schemas import KEYS
 
@@ -33,7 +33,7 @@ def stream_load(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        rows = deduplicate(cleanse(batch), keys)
+        rows = deduplicate(cleanse(with_arrivals(batch)), keys)
         target = read_if_present(spark, output_path)
         if target is not None:
             rows = not_loaded(rows, target, keys)
@@ -43,7 +43,7 @@ def stream_load(
         counts["stream_load"] = written()
         append_audit(spark, audit_path, counts)
 
-    schema = read_layer(spark, staging_path).schema
+    schema = spark.read.parquet(staging_path).schema
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files)

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from beaconmill import operators as ops
 from beaconmill import plans, schemas
 from beaconmill.__main__ import main
 from beaconmill.sources import source_spec
@@ -75,6 +76,51 @@ def test_sample_audit_has_every_step(spark, layers):
     assert df.filter("operation_timestamp is null").count() == 0
 
 
+def test_bucketed_layers_join_without_a_shuffle(spark, tmp_path):
+    write_samples(str(tmp_path))
+    spark.sql("create database if not exists ads")
+    layers = plans.Layers(str(tmp_path / "layers"), buckets=4, database="ads")
+    plans.run_all(spark, sample_specs(str(tmp_path)), layers, LOAD_TS)
+    plans.stage(spark, layers, "2024-06-02", mode="append")
+    plans.load_all(spark, layers, "2024-06-03", "2024-06-01", datasets=["ad_impressions", "clicks"])
+    plans.correlate_layers(spark, layers)
+    result = plans.read_layer(spark, layers.path("analytical", "ad_impressions_clicks"))
+    assert result.count() == 10
+    assert plans.read_layer(spark, layers.path("ingestion", "clicks")).count() == 10
+    clicks = plans.read_layer(spark, "", layers.bucketed("clicks"))
+    impressions = plans.read_layer(spark, "", layers.bucketed("ad_impressions"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = ops.correlate(impressions, clicks, "click_id", rows_per_task=None)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+# ------------------------------------------------------------ staging
+
+
+def test_arrivals_are_directories_that_a_load_prunes_in_any_time_zone(spark, tmp_path):
+    write_samples(str(tmp_path))
+    layers = plans.Layers(str(tmp_path / "layers"))
+    plans.snapshot(spark, sample_specs(str(tmp_path))[:1], layers)
+    for arrived in ("2024-05-05 23:30:00", "2024-05-06 00:30:00.000001", "2024-05-07"):
+        plans.stage(spark, layers, arrived, ["ad_impressions"], mode="append")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        staging = plans.read_layer(spark, layers.path("staging", "ad_impressions"))
+        assert dict(staging.dtypes)["load_date"] == "timestamp"
+        newer = ops.newer_than(staging, "2024-05-06 00:30:00.000000+00:00")
+        assert newer.count() == 10
+        text = newer._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [(timestamp_micros(arrival_micros" in text
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    plans.stage(spark, layers, "2024-05-08", ["ad_impressions"])
+    assert plans.read_layer(spark, layers.path("staging", "ad_impressions")).count() == 5
+
+
 # ------------------------------------------------------------ loads
 
 
@@ -189,6 +235,19 @@ def test_stream_loads_each_file_once(spark, paths, tmp_path):
     assert sorted(r.record_count for r in audit.collect()) == [1, 3]
 
 
+def test_stream_and_loads_read_staging_by_arrival(spark, tmp_path):
+    write_samples(str(tmp_path))
+    layers = plans.Layers(str(tmp_path / "layers"))
+    plans.snapshot(spark, sample_specs(str(tmp_path))[:1], layers)
+    paths = [layers.path("staging", "ad_impressions"), layers.path("ingestion", "ad_impressions"), layers.audit]
+    for arrived, total in (("2024-05-05 23:30:00", 5), ("2024-05-06 00:30:00.000001", 5)):
+        plans.stage(spark, layers, arrived, ["ad_impressions"], mode="append")
+        stream_load(spark, *paths, str(tmp_path / "checkpoint"), LOAD_TS)
+        assert plans.read_layer(spark, paths[1]).count() == total
+    counts = plans.incremental_load(spark, *paths, "2024-05-06 00:30:00", "2024-06-02", skip_loaded=True)
+    assert (counts["read_staging"], counts["filter_incremental"], counts["deduplicate_data"]) == (10, 5, 0)
+
+
 def test_a_stream_that_lost_its_checkpoint_adds_nothing(spark, paths, tmp_path):
     stream_load(spark, *paths, str(tmp_path / "one"), LOAD_TS)
     before = loaded(spark, paths)
