@@ -114,7 +114,7 @@ def test_arrivals_are_directories_that_a_load_prunes_in_any_time_zone(spark, tmp
         newer = ops.newer_than(staging, "2024-05-06 00:30:00.000000+00:00")
         assert newer.count() == 10
         text = newer._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [(timestamp_micros(arrival_micros" in text
+        assert "timestamp_micros(arrival_micros" in text.split("PartitionFilters: [")[1].split("]")[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     plans.stage(spark, layers, "2024-05-08", ["ad_impressions"])
