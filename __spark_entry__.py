@@ -619,7 +619,7 @@ SQL = {
         union all select 'filter_data', count(*) from loads
         union all select 'invalid_timestamp', 0
         union all select 'deduplicate_data', count(*) from kept
-        union all select 'read_ingestion_' || d, count(*) from kept where d <> 'bid_requests' group by d
+        union all select 'read_ingestion', count(*) from kept where d <> 'bid_requests'
         union all select unnest(['malformed_ad_impressions', 'malformed_clicks_and_conversions',
                                  'malformed_bid_requests']), 0""",
 }

@@ -17,7 +17,7 @@ from beaconmill.operators.staging import (
     stamp_arrival,
     stringify,
 )
-from beaconmill.operators.versions import close_out, not_loaded
+from beaconmill.operators.versions import close_out, not_loaded, within_span
 
 __all__ = [
     "attribute_last_touch",
@@ -39,4 +39,5 @@ __all__ = [
     "standardize",
     "stringify",
     "uppercase",
+    "within_span",
 ]

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE
+from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, TIME
 
 
 def close_out(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -35,5 +35,20 @@ def not_loaded(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = KEY
     return incoming.alias("i").join(known, _same(keys, "i", "t"), "left_anti")
 
 
+def within_span(
+    target: DataFrame, first_micros: int | None, last_micros: int | None, time: str = TIME
+) -> DataFrame:
+    """The rows of the target that rows of the span can repeat: times in it, and NULL.
+
+    Put before ``not_loaded`` it keeps an incremental load from reading the keys of
+    loads that lie long back.
+    """
+    at = F.col(time)
+    if first_micros is None or last_micros is None:
+        return target.filter(at.isNull())
+    first, last = (F.timestamp_micros(F.lit(micros)) for micros in (first_micros, last_micros))
+    return target.filter(at.isNull() | at.between(first, last))
+
+
 def _same(columns: Sequence[str], left: str, right: str):
     return reduce(and_, (F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns))

@@ -24,8 +24,7 @@ def correlate_layers(spark: SparkSession, layers: Layers) -> None:
     """
     names = ("ad_impressions", "clicks", "conversions")
     frames = {name: read_layer(spark, layers.path("ingestion", name), layers.bucketed(name)) for name in names}
-    counts = {f"read_ingestion_{name}": df.count() for name, df in frames.items()}  # footers
-    append_audit(spark, layers.audit, counts)
+    append_audit(spark, layers.audit, [("read_ingestion", df.count()) for df in frames.values()])
     for name, id_column in (("clicks", "click_id"), ("conversions", "conversion_id")):
         joined = correlate(frames["ad_impressions"], frames[name], id_column, rows_per_task=None)
         overwrite(joined, layers.path("analytical", f"ad_impressions_{name}"))

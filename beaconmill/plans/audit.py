@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +17,15 @@ def count_steps(df: DataFrame, **steps: Column | None) -> dict[str, int]:
     because a counter that rides along in front of a shuffle counts a task's rows
     again when a lost executor makes Spark run the task again.
     """
-    counts = [
-        (F.count(F.lit(1)) if condition is None else F.count_if(condition)).alias(step)
-        for step, condition in steps.items()
-    ]
-    return df.agg(*counts).first().asDict()
+    return measure(df, **{step: _rows(condition) for step, condition in steps.items()})
+
+
+def measure(df: DataFrame, **aggregates: Column) -> dict[str, int]:
+    return df.agg(*[column.alias(name) for name, column in aggregates.items()]).first().asDict()
+
+
+def _rows(condition: Column | None) -> Column:
+    return F.count(F.lit(1)) if condition is None else F.count_if(condition)
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
@@ -34,7 +38,7 @@ def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
 
 
-def append_audit(spark: SparkSession, path: str, counts: Mapping[str, int]) -> None:
+def append_audit(spark: SparkSession, path: str, counts: Iterable[tuple[str, int]]) -> None:
     """Append the steps of one run in one file.
 
     The few rows are literals of the plan; ``createDataFrame`` would start Python
@@ -42,7 +46,7 @@ def append_audit(spark: SparkSession, path: str, counts: Mapping[str, int]) -> N
     """
     steps = [
         F.struct(F.lit(step).alias("operation"), F.lit(rows).cast("bigint").alias("record_count"))
-        for step, rows in counts.items()
+        for step, rows in counts
     ]
     rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*steps)))
     rows.withColumn("operation_timestamp", F.current_timestamp()).write.mode("append").parquet(path)

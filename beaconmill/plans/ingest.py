@@ -48,7 +48,7 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
             if counts[f"malformed_{spec.name}"]:
                 overwrite(malformed, layers.path("quarantine", spec.name))
     if counts:
-        append_audit(spark, layers.audit, counts)
+        append_audit(spark, layers.audit, counts.items())
 
 
 def staged(df: DataFrame, arrived: datetime | str) -> DataFrame:

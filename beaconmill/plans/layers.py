@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -95,12 +96,26 @@ def append(df: DataFrame, path: str, buckets: Buckets | None = None) -> None:
 
 
 def _save(df: DataFrame, path: str, mode: str, buckets: Buckets | None) -> None:
-    if buckets is None:
-        df.write.mode(mode).parquet(path)
-    else:
-        keys = list(buckets.keys)
-        writer = df.write.mode(mode).format("parquet").option("path", path)
-        writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
+    with _timestamps_with_statistics(df.sparkSession):
+        if buckets is None:
+            df.write.mode(mode).parquet(path)
+        else:
+            keys = list(buckets.keys)
+            writer = df.write.mode(mode).format("parquet").option("path", path)
+            writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
+
+
+@contextmanager
+def _timestamps_with_statistics(spark: SparkSession):
+    """Spark's default Parquet timestamp has no minimum and maximum per row group, so
+    no filter on time could skip any. The setting exists for the session only."""
+    setting = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def save_arrivals(df: DataFrame, path: str, mode: str) -> None:
@@ -108,7 +123,8 @@ def save_arrivals(df: DataFrame, path: str, mode: str) -> None:
     opens only the arrivals after its mark."""
     arrivals = df.withColumn(ARRIVAL, F.unix_micros(LOAD_DATE))
     writer = arrivals.write.mode(mode).option("partitionOverwriteMode", "static")
-    writer.partitionBy(ARRIVAL).parquet(path)
+    with _timestamps_with_statistics(df.sparkSession):
+        writer.partitionBy(ARRIVAL).parquet(path)
 
 
 def _clean(path: str) -> str:

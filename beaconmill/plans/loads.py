@@ -19,8 +19,9 @@ from beaconmill.operators import (
     stamp_version,
     standardize,
     uppercase,
+    within_span,
 )
-from beaconmill.plans.audit import append_audit, count_steps, counted
+from beaconmill.plans.audit import append_audit, count_steps, counted, measure
 from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer
 from beaconmill.schemas import KEYS, TIME, USER
 
@@ -86,7 +87,7 @@ def full_load(
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
     overwrite(rows, output_path, reads=staging_path, buckets=buckets)
     counts["deduplicate_data"] = written()
-    append_audit(spark, audit_path, counts)
+    append_audit(spark, audit_path, counts.items())
     log.info("full load of %s: %s", output_path, counts)
     return counts
 
@@ -112,7 +113,7 @@ def incremental_load(
     newer = newer_than(staging, last_load_date)
     counts |= count_steps(newer, filter_incremental=None, **_checks())
     if counts["filter_data"]:
-        target = read_if_present(spark, output_path) if skip_loaded else None
+        target = loaded_near(spark, output_path, newer) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
         rows, written = counted(frame)
         append(rows, output_path, buckets)
@@ -120,7 +121,7 @@ def incremental_load(
     else:
         counts["deduplicate_data"] = 0
         log.info("no new data to load into %s", output_path)
-    append_audit(spark, audit_path, counts)
+    append_audit(spark, audit_path, counts.items())
     return counts
 
 
@@ -133,6 +134,16 @@ def close_versions(spark: SparkSession, path: str, closed_path: str, keys: Seque
     overwrite(close_out(read_layer(spark, path), keys), closed_path, reads=path)
 
 
+def loaded_near(spark: SparkSession, output_path: str, staging: DataFrame) -> DataFrame | None:
+    """What is loaded already from the time span of the staged rows, if anything."""
+    target = read_if_present(spark, output_path)
+    if target is None:
+        return None
+    at = F.unix_micros(F.col(TIME).try_cast("timestamp"))
+    span = measure(staging, first=F.min(at), last=F.max(at))
+    return within_span(target, span["first"], span["last"])
+
+
 def _checks() -> dict[str, Column]:
     """What a load audits about its input: rows kept by the filter, and among
     these the timestamps that are lost because they do not parse."""

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, count_steps, counted
-from beaconmill.plans.layers import append, read_if_present, with_arrivals
-from beaconmill.plans.loads import cleanse
+from beaconmill.plans.layers import append, with_arrivals
+from beaconmill.plans.loads import cleanse, loaded_near
 from beaconmill.schemas import KEYS
 
 
@@ -34,14 +34,14 @@ def stream_load(
 
     def load(batch: DataFrame, _: int) -> None:
         rows = deduplicate(cleanse(with_arrivals(batch)), keys)
-        target = read_if_present(spark, output_path)
+        target = loaded_near(spark, output_path, batch)
         if target is not None:
             rows = not_loaded(rows, target, keys)
         counts = count_steps(batch, stream_read=None)
         stamped, written = counted(stamp_version(rows, load_ts))
         append(stamped, output_path)
         counts["stream_load"] = written()
-        append_audit(spark, audit_path, counts)
+        append_audit(spark, audit_path, counts.items())
 
     schema = spark.read.parquet(staging_path).schema
     query = (
