@@ -287,6 +287,12 @@ def attribute_interval(spark, sf_dir):
     return ops.attribute_within(views, clicks, "click_id", timedelta(minutes=30))
 
 
+def attribute_interval_day(spark, sf_dir):
+    """A tolerance that gives most views a match and many several."""
+    views, clicks = views_and(spark, sf_dir, "click", None, "click_id")
+    return ops.attribute_within(views, clicks, "click_id", timedelta(days=1))
+
+
 def attribute_last_touch(spark, sf_dir):
     df = events(spark, sf_dir)
     purchases = of_type(df, "purchase").select("event_id", "user_id", F.col("ts").alias("timestamp"))
@@ -539,6 +545,11 @@ SQL = {
         from (select * from events where event_type = 'view') v
         left join (select * from events where event_type = 'click') c
           on v.user_id = c.user_id and c.ts between v.ts and v.ts + interval 30 minute""",
+    "attribute_interval_day": """
+        select v.event_id, v.user_id, v.ts as "timestamp", v.value, c.event_id as click_id
+        from (select * from events where event_type = 'view') v
+        left join (select * from events where event_type = 'click') c
+          on v.user_id = c.user_id and c.ts between v.ts and v.ts + interval 1 day""",
     "attribute_last_touch": """
         select p.event_id, p.user_id, p.ts as "timestamp", c.event_id as click_id
         from (select * from events where event_type = 'purchase') p
@@ -632,7 +643,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         standardize_constant, upper_user_id, filter_not_null, incremental_filter, rename_columns,
         derive_event_ids, derive_conversion_ids, dedup_keys, dedup_keep_latest, dedup_lineitem,
         scd_columns, scd2_current, incremental_anti_join, correlate_clicks, correlate_conversions,
-        correlate_exact, correlate_hot_keys, attribute_interval, attribute_last_touch, full_load,
+        correlate_exact, correlate_hot_keys, attribute_interval, attribute_interval_day,
+        attribute_last_touch, full_load,
         incremental_load, incremental_skip_loaded, audit_counts, audit_incremental, stream_of_staging,
         analytical, layers_clicks, layers_conversions, layers_bids, layers_audit,
     )

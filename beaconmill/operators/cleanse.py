@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, AtomicType, DataType, StructType
 
 from beaconmill.functions import all_present, instant
-from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, TIME, USER
+from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, STANDARD, TIME, USER
 
 
 def convert_types(df: DataFrame, timestamps: Sequence[str] = (TIME,)) -> DataFrame:
@@ -19,10 +19,8 @@ def convert_types(df: DataFrame, timestamps: Sequence[str] = (TIME,)) -> DataFra
     return df.withColumns({c: F.col(c).try_cast("timestamp") for c in timestamps})
 
 
-def standardize(df: DataFrame, constants: Mapping[str, str] | None = None) -> DataFrame:
+def standardize(df: DataFrame, constants: Mapping[str, str] = STANDARD) -> DataFrame:
     """Set columns to a constant, adding those that are absent."""
-    if constants is None:
-        constants = {"website": "example.com"}
     return df.withColumns({c: F.lit(value) for c, value in constants.items()})
 
 

@@ -12,6 +12,7 @@ from beaconmill.plans.audit import append_audit
 from beaconmill.plans.ingest import STAGED, snapshot, stage
 from beaconmill.plans.layers import Layers, overwrite, read_layer
 from beaconmill.plans.loads import full_load, incremental_load
+from beaconmill.schemas import READ_INGESTION
 from beaconmill.sources import SourceSpec
 
 
@@ -24,7 +25,7 @@ def correlate_layers(spark: SparkSession, layers: Layers) -> None:
     """
     names = ("ad_impressions", "clicks", "conversions")
     frames = {name: read_layer(spark, layers.path("ingestion", name), layers.bucketed(name)) for name in names}
-    append_audit(spark, layers.audit, [("read_ingestion", df.count()) for df in frames.values()])
+    append_audit(spark, layers.audit, [(READ_INGESTION, df.count()) for df in frames.values()])
     for name, id_column in (("clicks", "click_id"), ("conversions", "conversion_id")):
         joined = correlate(frames["ad_impressions"], frames[name], id_column, rows_per_task=None)
         overwrite(joined, layers.path("analytical", f"ad_impressions_{name}"))

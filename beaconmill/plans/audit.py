@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from beaconmill.schemas import AUDIT
 
 
-def count_steps(df: DataFrame, **steps: Column | None) -> dict[str, int]:
+def count_steps(df: DataFrame, steps: Mapping[str, Column | None]) -> dict[str, int]:
     """For each step the number of rows that meet its condition (None: all rows).
 
     One aggregation over the conditions' columns only. It is a query of its own
     because a counter that rides along in front of a shuffle counts a task's rows
     again when a lost executor makes Spark run the task again.
     """
-    return measure(df, **{step: _rows(condition) for step, condition in steps.items()})
+    return measure(df, {step: _rows(condition) for step, condition in steps.items()})
 
 
-def measure(df: DataFrame, **aggregates: Column) -> dict[str, int]:
+def measure(df: DataFrame, aggregates: Mapping[str, Column]) -> dict[str, int]:
     return df.agg(*[column.alias(name) for name, column in aggregates.items()]).first().asDict()
 
 

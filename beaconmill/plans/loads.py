@@ -23,12 +23,22 @@ from beaconmill.operators import (
 )
 from beaconmill.plans.audit import append_audit, count_steps, counted, measure
 from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer
-from beaconmill.schemas import KEYS, TIME, USER
+from beaconmill.schemas import (
+    DEDUPLICATE_DATA,
+    FILTER_DATA,
+    FILTER_INCREMENTAL,
+    INVALID_TIMESTAMP,
+    KEYS,
+    READ_STAGING,
+    STANDARD,
+    TIME,
+    USER,
+)
 
 log = logging.getLogger(__name__)
 
 
-def cleanse(df: DataFrame, constants: Mapping[str, str] | None = None) -> DataFrame:
+def cleanse(df: DataFrame, constants: Mapping[str, str] = STANDARD) -> DataFrame:
     """The row-wise steps of a load. The filter on ``user_id`` stands first because
     upper-casing cannot make or lose a NULL, and so it reaches the Parquet scan."""
     return (
@@ -44,7 +54,7 @@ def full_load_frame(
     load_ts: datetime | str,
     keys: Sequence[str] = KEYS,
     order_by: Sequence[Column] | None = None,
-    constants: Mapping[str, str] | None = None,
+    constants: Mapping[str, str] = STANDARD,
 ) -> DataFrame:
     """Staged rows as the ingestion layer holds them: one plan, one shuffle."""
     return stamp_version(deduplicate(cleanse(staging, constants), keys, order_by), load_ts)
@@ -57,7 +67,7 @@ def incremental_load_frame(
     target: DataFrame | None = None,
     keys: Sequence[str] = KEYS,
     order_by: Sequence[Column] | None = None,
-    constants: Mapping[str, str] | None = None,
+    constants: Mapping[str, str] = STANDARD,
     mark_column: str = "load_date",
 ) -> DataFrame:
     """The rows that arrived after the mark, as the ingestion layer holds them.
@@ -83,10 +93,10 @@ def full_load(
 ) -> dict[str, int]:
     """Replace an ingestion dataset by all that is staged; returns the audited counts."""
     staging = read_layer(spark, staging_path)
-    counts = count_steps(staging, read_staging=None, **_checks())
+    counts = count_steps(staging, {READ_STAGING: None, **_checks()})
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
     overwrite(rows, output_path, reads=staging_path, buckets=buckets)
-    counts["deduplicate_data"] = written()
+    counts[DEDUPLICATE_DATA] = written()
     append_audit(spark, audit_path, counts.items())
     log.info("full load of %s: %s", output_path, counts)
     return counts
@@ -109,17 +119,17 @@ def incremental_load(
     makes running the same load twice harmless.
     """
     staging = read_layer(spark, staging_path)
-    counts = {"read_staging": staging.count()}  # from the Parquet footers
+    counts = {READ_STAGING: staging.count()}  # from the Parquet footers
     newer = newer_than(staging, last_load_date)
-    counts |= count_steps(newer, filter_incremental=None, **_checks())
-    if counts["filter_data"]:
+    counts |= count_steps(newer, {FILTER_INCREMENTAL: None, **_checks()})
+    if counts[FILTER_DATA]:
         target = loaded_near(spark, output_path, newer) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
         rows, written = counted(frame)
         append(rows, output_path, buckets)
-        counts["deduplicate_data"] = written()
+        counts[DEDUPLICATE_DATA] = written()
     else:
-        counts["deduplicate_data"] = 0
+        counts[DEDUPLICATE_DATA] = 0
         log.info("no new data to load into %s", output_path)
     append_audit(spark, audit_path, counts.items())
     return counts
@@ -140,7 +150,7 @@ def loaded_near(spark: SparkSession, output_path: str, staging: DataFrame) -> Da
     if target is None:
         return None
     at = F.unix_micros(F.col(TIME).try_cast("timestamp"))
-    span = measure(staging, first=F.min(at), last=F.max(at))
+    span = measure(staging, {"first": F.min(at), "last": F.max(at)})
     return within_span(target, span["first"], span["last"])
 
 
@@ -149,4 +159,4 @@ def _checks() -> dict[str, Column]:
     these the timestamps that are lost because they do not parse."""
     kept = F.col(USER).isNotNull()
     lost = F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp").isNull()
-    return {"filter_data": kept, "invalid_timestamp": kept & lost}
+    return {FILTER_DATA: kept, INVALID_TIMESTAMP: kept & lost}

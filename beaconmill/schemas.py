@@ -17,6 +17,19 @@ BID_REQUESTS = (
     "ad_targeting_criteria struct<keywords:array<string>,device_type:string>"
 )
 
+# What standardizing sets, and the names of the audited operations.
+STANDARD = {"website": "example.com"}
+READ_STAGING = "read_staging"
+FILTER_DATA = "filter_data"
+DEDUPLICATE_DATA = "deduplicate_data"
+READ_INGESTION = "read_ingestion"
+
+# Operations audited beyond those.
+FILTER_INCREMENTAL = "filter_incremental"
+INVALID_TIMESTAMP = "invalid_timestamp"
+STREAM_READ = "stream_read"
+STREAM_LOAD = "stream_load"
+
 # Headers of the interactions file, and the names every later layer uses.
 INTERACTION_NAMES = {
     "Event Timestamp": "timestamp",

@@ -11,7 +11,7 @@ from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, count_steps, counted
 from beaconmill.plans.layers import append, with_arrivals
 from beaconmill.plans.loads import cleanse, loaded_near
-from beaconmill.schemas import KEYS
+from beaconmill.schemas import KEYS, STREAM_LOAD, STREAM_READ
 
 
 def stream_load(
@@ -37,10 +37,10 @@ def stream_load(
         target = loaded_near(spark, output_path, batch)
         if target is not None:
             rows = not_loaded(rows, target, keys)
-        counts = count_steps(batch, stream_read=None)
+        counts = count_steps(batch, {STREAM_READ: None})
         stamped, written = counted(stamp_version(rows, load_ts))
         append(stamped, output_path)
-        counts["stream_load"] = written()
+        counts[STREAM_LOAD] = written()
         append_audit(spark, audit_path, counts.items())
 
     schema = spark.read.parquet(staging_path).schema

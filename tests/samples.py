@@ -1,4 +1,4 @@
-"""The sample rows of the three sources, in the layouts they are shipped in."""
+"""The sample rows of the three sources, in the layouts they are shipped in."""
 
 import json
 import os
