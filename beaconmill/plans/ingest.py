@@ -19,7 +19,7 @@ from beaconmill.operators import (
 from beaconmill.plans.audit import append_audit
 from beaconmill.plans.layers import Layers, overwrite, read_layer, save_arrivals
 from beaconmill.schemas import MALFORMED
-from beaconmill.sources import SourceSpec, read_source, split_malformed
+from beaconmill.sources import SourceSpec, read_source, readable, split_malformed
 
 # Staged dataset -> (snapshot dataset, what makes the one of the other).
 STAGED: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
@@ -33,14 +33,14 @@ STAGED: Mapping[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -> None:
     """Land every source as Parquet, rows and types as they come.
 
-    The raw files are parsed once. Text that does not parse stays in its own
-    column, which costs next to nothing where it is NULL, and is copied from the
-    snapshot to the quarantine layer if there is any.
+    The raw files are parsed once. The text of a row that does not parse stays in
+    its own column, which costs next to nothing where it is NULL, and such rows are
+    copied from the snapshot to the quarantine layer if there are any.
     """
     counts = {}
     for spec in specs:
         landed = layers.path("snapshot", spec.name)
-        keep = spec.schema is not None and spec.format in ("json", "csv")
+        keep = spec.format == "csv" or (spec.format == "json" and spec.schema is not None)
         overwrite(read_source(spark, spec, keep_malformed=keep), landed, reads=spec.path)
         if keep:
             _, malformed = split_malformed(read_layer(spark, landed))
@@ -52,9 +52,9 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
 
 
 def staged(df: DataFrame, arrived: datetime | str) -> DataFrame:
-    """A snapshot frame as staging holds it: flat, all strings, with its arrival."""
-    good, _ = split_malformed(df)
-    return stamp_arrival(stringify(flatten(good)), arrived)
+    """A snapshot frame as staging holds it: flat, all strings, with its arrival. Rows
+    of which nothing could be read stay behind."""
+    return stamp_arrival(stringify(flatten(readable(df))), arrived)
 
 
 def stage(

@@ -6,11 +6,8 @@ import json
 
 from pyspark.sql.types import StructType
 
-# Field names and types of the three sources, as their producers ship them.
+# Field names and types of the sources, as their producers ship them.
 AD_IMPRESSIONS = "ad_creative_id string, user_id string, timestamp string, website string"
-CLICKS_AND_CONVERSIONS = (
-    "`Event Timestamp` string, `User ID` string, `Ad Campaign ID` string, `Conversion Type` string"
-)
 BID_REQUESTS = (
     "user_info struct<user_id:string,location:string,age:int>, "
     "auction_details struct<auction_id:string,bid_amount:float,timestamp:string>, "

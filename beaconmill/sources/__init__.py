@@ -4,6 +4,7 @@ from beaconmill.sources.spec import (
     SourceSpec,
     check_json_layout,
     read_source,
+    readable,
     source_spec,
     split_malformed,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "read_csv_strings",
     "read_json_strings",
     "read_source",
+    "readable",
     "source_spec",
     "split_malformed",
 ]

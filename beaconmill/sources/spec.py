@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,14 +37,8 @@ _KNOWN = {
     "ad_impressions": SourceSpec(
         "ad_impressions", "json", "ad_impressions.json", schemas.AD_IMPRESSIONS
     ),
-    # enforceSchema=False: a file whose header has other columns, or another
-    # order, fails instead of being read into the wrong columns.
     "clicks_and_conversions": SourceSpec(
-        "clicks_and_conversions",
-        "csv",
-        "clicks_and_conversions.csv",
-        schemas.CLICKS_AND_CONVERSIONS,
-        {"header": True, "enforceSchema": False},
+        "clicks_and_conversions", "csv", "clicks_and_conversions.csv", options={"header": True}
     ),
     "bid_requests": SourceSpec("bid_requests", "avro", "bid_requests.avro"),
 }
@@ -66,13 +62,20 @@ def source_spec(name: str, input_dir: str, **changes) -> SourceSpec:
 def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = False) -> DataFrame:
     """Scan one source lazily.
 
+    A CSV header names the columns, all strings. It has to be the same in all
+    files: Spark would take the first one for all and mix up the columns of a
+    file that has another, so that file fails here.
+
     With ``keep_malformed`` a JSON or CSV row that does not parse keeps its raw
-    text in ``_corrupt_record``; see ``split_malformed``. It needs a schema.
+    text in ``_corrupt_record``; see ``split_malformed``. JSON needs a schema for it.
     """
     if spec.format == "json":
         check_json_layout(spark, spec.path, _flag(spec.options.get("multiLine")))
     reader = spark.read.format(spec.format).options(**spec.options)
     schema = StructType.fromDDL(spec.schema) if isinstance(spec.schema, str) else spec.schema
+    if spec.format == "csv" and schema is None and not _flag(spec.options.get("inferSchema")):
+        schema = reader.load(spec.path).schema  # reads one line
+        reader = reader.option("enforceSchema", False)
     if keep_malformed and spec.format in ("json", "csv"):
         if schema is None:
             raise ValueError(f"{spec.name}: keeping malformed rows needs a schema")
@@ -99,6 +102,19 @@ def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(raw.isNull()).drop(schemas.MALFORMED), df.filter(raw.isNotNull())
 
 
+def readable(df: DataFrame) -> DataFrame:
+    """All rows but those of which nothing could be read, without the raw text.
+
+    A row that is malformed only in part, such as a CSV line that ends early, goes
+    on with the values it has.
+    """
+    if schemas.MALFORMED not in df.columns:
+        return df
+    values = [c for c in df.columns if c != schemas.MALFORMED]
+    some = reduce(or_, (F.col(f"`{c}`").isNotNull() for c in values))
+    return df.filter(F.col(schemas.MALFORMED).isNull() | some).drop(schemas.MALFORMED)
+
+
 def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
     """Raise where the declared JSON layout would silently lose rows.
 

@@ -73,9 +73,13 @@ def test_csv_columns_are_strings_named_by_the_header(spark, samples):
     assert sorted(map(tuple, df.collect())) == INTERACTIONS
 
 
-def test_csv_with_columns_in_another_order_fails(spark, tmp_path):
-    (tmp_path / "c.csv").write_text("User ID,Event Timestamp,Ad Campaign ID,Conversion Type\nu,t,c,s\n")
+def test_csv_columns_may_stand_in_any_order_but_the_same_in_all_files(spark, tmp_path):
+    folder = tmp_path / "c.csv"
+    folder.mkdir()
     spec = source_spec("clicks_and_conversions", str(tmp_path), path="c.csv")
+    (folder / "1.csv").write_text("User ID,Event Timestamp,Extra\nu,t,x\n")
+    assert read_source(spark, spec).select("Event Timestamp", "User ID", "Extra").collect() == [("t", "u", "x")]
+    (folder / "2.csv").write_text("Event Timestamp,User ID,Extra\nt,u,x\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         read_source(spark, spec).collect()
 
@@ -127,16 +131,26 @@ def test_malformed_csv_lines_are_kept_apart(spark, tmp_path):
     assert {r[schemas.MALFORMED] for r in bad.collect()} == {"1", "1,2,3"}
 
 
-def test_snapshot_quarantines_and_staging_leaves_out(spark, tmp_path):
+def test_snapshot_quarantines_and_staging_takes_what_is_readable(spark, tmp_path):
     row = '{"ad_creative_id": "A", "user_id": "u", "timestamp": "2024-05-05T12:00:00Z", "website": "w"}'
     (tmp_path / "ad_impressions.json").write_text(f"{row}\n{{broken\n")
+    header = "Event Timestamp,User ID,Ad Campaign ID,Conversion Type"
+    (tmp_path / "clicks_and_conversions.csv").write_text(f"{header}\nt1,u1,c1,signup\nt2,u2,c2\nt3,u3,c3,signup,x\n")
     layers = plans.Layers(str(tmp_path / "layers"))
-    plans.snapshot(spark, [source_spec("ad_impressions", str(tmp_path))], layers)
+    names = ("ad_impressions", "clicks_and_conversions")
+    plans.snapshot(spark, [source_spec(name, str(tmp_path)) for name in names], layers)
     assert plans.read_layer(spark, layers.path("snapshot", "ad_impressions")).count() == 2
-    plans.stage(spark, layers, "2024-05-06", ["ad_impressions"])
+    plans.stage(spark, layers, "2024-05-06", ["ad_impressions", "clicks", "conversions"])
     staged = plans.read_layer(spark, layers.path("staging", "ad_impressions"))
     assert [r.ad_creative_id for r in staged.collect()] == ["A"]
     assert dict(staged.dtypes)["load_date"] == "timestamp"
+    clicks = plans.read_layer(spark, layers.path("staging", "clicks"))
+    assert sorted((r.user_id, r.conversion_type or "") for r in clicks.collect()) == [
+        ("u1", "signup"), ("u2", ""), ("u3", "signup")]
+    assert plans.read_layer(spark, layers.path("staging", "conversions")).count() == 2
     assert [r.raw for r in plans.malformed_rows(spark, layers, "ad_impressions").collect()] == ["{broken"]
+    raw = plans.malformed_rows(spark, layers, "clicks_and_conversions").collect()
+    assert sorted(r.raw for r in raw) == ["t2,u2,c2", "t3,u3,c3,signup,x"]
     audit = plans.read_audit(spark, layers.audit).collect()
-    assert [(r.operation, r.record_count) for r in audit] == [("malformed_ad_impressions", 1)]
+    assert {(r.operation, r.record_count) for r in audit} == {
+        ("malformed_ad_impressions", 1), ("malformed_clicks_and_conversions", 2)}
