@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from beaconmill.plans.layers import append
 from beaconmill.schemas import AUDIT
 
 
@@ -39,7 +41,8 @@ def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
 
 
 def append_audit(spark: SparkSession, path: str, counts: Iterable[tuple[str, int]]) -> None:
-    """Append the steps of one run in one file.
+    """Append the steps of one run in one file, in a directory of its own: two jobs that
+    append to one directory at a time would remove each other's unfinished files.
 
     The few rows are literals of the plan; ``createDataFrame`` would start Python
     workers to hand them over.
@@ -49,8 +52,10 @@ def append_audit(spark: SparkSession, path: str, counts: Iterable[tuple[str, int
         for step, rows in counts
     ]
     rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*steps)))
-    rows.withColumn("operation_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
+    stamped = rows.withColumn("operation_timestamp", F.current_timestamp())
+    append(stamped, f"{path}/run={uuid.uuid4().hex}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT).parquet(path)
+    """Every audited step of every run, whose id stands in ``run``."""
+    return spark.read.schema(f"{AUDIT}, run string").parquet(path)

@@ -67,7 +67,9 @@ def test_sample_correlation_finds_no_equal_times(spark, layers):
 
 def test_sample_audit_has_every_step(spark, layers):
     df = plans.read_audit(spark, layers.audit)
-    assert dict(df.dtypes) == {"operation": "string", "record_count": "bigint", "operation_timestamp": "timestamp"}
+    assert dict(df.dtypes) == {"operation": "string", "record_count": "bigint",
+                               "operation_timestamp": "timestamp", "run": "string"}
+    assert df.filter("operation = 'read_ingestion'").select("run").distinct().count() == 1
     got = df.groupBy("operation").agg(F.count("*"), F.sum("record_count")).collect()
     assert {tuple(r) for r in got} == {
         ("read_staging", 4, 20), ("filter_data", 4, 20), ("invalid_timestamp", 4, 0), ("deduplicate_data", 4, 20),
