@@ -32,41 +32,44 @@ def attribute_within(
     its own bucket or the one before, so it joins once under each. Matches are an
     inner join, in which adaptive execution can split a hot bucket on either
     side. Impressions without a match are found against the first and last event
-    per bucket: two rows, however many events the bucket holds.
+    per bucket: two rows, however many events the bucket holds. Both joins read
+    one shuffle of the impressions.
     """
     width = tolerance // timedelta(microseconds=1)
-    left = impressions.select(
-        "*", micros(time).alias("_at"), time_bucket(time, width).alias("_bucket")
-    )
-    right = (
-        events.filter(all_present([user, time]))
-        .select(
-            user,
-            id_column,
-            micros(time).alias("_event_at"),
-            F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"),
-            time_bucket(time, width).alias("_bucket"),
-        )
-        .withColumn("_bucket", F.col("_bucket") - F.col("_shift"))
-    )
+    timed = all_present([user, time])
+    left = _bucketed(impressions.filter(timed), time, width)
+    right = _bucketed(events.filter(timed).select(user, time, id_column), time, width).drop(time)
     same = (F.col(f"i.{user}") == F.col(f"e.{user}")) & (F.col("i._bucket") == F.col("e._bucket"))
     until = F.col("i._at") + F.lit(width)
+    kept = [F.col(f"i.`{c}`") for c in impressions.columns]
     matched = (
         left.alias("i")
-        .join(right.alias("e"), same & F.col("e._event_at").between(F.col("i._at"), until), "inner")
-        .select(*[F.col(f"i.`{c}`") for c in impressions.columns], F.col(f"e.{id_column}"))
-    )
-    spans = right.groupBy(user, "_bucket", "_shift").agg(
-        F.min("_event_at").alias("_first"), F.max("_event_at").alias("_last")
+        .join(
+            _and_the_one_before(right).alias("e"),
+            same & F.col("e._at").between(F.col("i._at"), until),
+            "inner",
+        )
+        .select(*kept, F.col(f"e.{id_column}"))
     )
+    spans = right.groupBy(user, "_bucket").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
     meets = same & (F.col("e._last") >= F.col("i._at")) & (F.col("e._first") <= until)
-    unmatched = (
-        left.alias("i")
-        .join(spans.alias("e"), meets, "left_anti")
-        .select(*[F.col(f"i.`{c}`") for c in impressions.columns])
-        .withColumn(id_column, F.lit(None).cast(events.schema[id_column].dataType))
-    )
-    return matched.union(unmatched)
+    missed = left.alias("i").join(_and_the_one_before(spans).alias("e"), meets, "left_anti").select(*kept)
+    without = missed.union(impressions.filter(~timed))
+    none = F.lit(None).cast(events.schema[id_column].dataType)
+    return matched.union(without.withColumn(id_column, none))
+
+
+def _bucketed(df: DataFrame, time: str, width: int) -> DataFrame:
+    """Adds ``_at`` and ``_bucket`` to rows whose time is present. Declared free of NULL,
+    they give every join on them the same plan, and one shuffle serves them all."""
+    at, bucket = micros(time), time_bucket(time, width)
+    return df.select("*", F.coalesce(at, F.lit(0)).alias("_at"), F.coalesce(bucket, F.lit(0)).alias("_bucket"))
+
+
+def _and_the_one_before(df: DataFrame) -> DataFrame:
+    """Every row under its own bucket and under the bucket before it."""
+    shifted = F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1))
+    return df.withColumn("_under", shifted).drop("_bucket").withColumnRenamed("_under", "_bucket")
 
 
 def attribute_last_touch(
