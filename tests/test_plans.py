@@ -228,6 +228,20 @@ def test_loaded_times_have_statistics_and_bound_the_search(spark, paths):
     assert [r.ad for r in ops.within_span(target, None, None).collect()] == ["c"]
 
 
+def test_loads_of_nothing_end_and_count_nothing(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("staging", "ingestion", "audit")]
+    stage_rows(spark, paths[0], [(None, "2024-05-05T12:00:00Z", "a", "2024-05-04")])
+    assert plans.full_load(spark, *paths, LOAD_TS)["deduplicate_data"] == 0
+    assert plans.incremental_load(spark, *paths, "2024-05-03", LOAD_TS)["deduplicate_data"] == 0
+    stream_load(spark, *paths, str(tmp_path / "checkpoint"), LOAD_TS)
+    assert loaded(spark, paths) == []
+    empty = str(tmp_path / "empty")
+    spark.range(0).selectExpr("'u' as user_id", "'t' as timestamp", "'a' as ad").write.parquet(empty)
+    counts = plans.full_load(spark, empty, str(tmp_path / "out"), paths[2], LOAD_TS)
+    assert set(counts.values()) == {0}
+    assert plans.read_layer(spark, str(tmp_path / "out")).count() == 0
+
+
 def test_versions_are_closed_into_another_path(spark, paths, tmp_path):
     plans.full_load(spark, *paths, LOAD_TS)
     plans.incremental_load(spark, *paths, "2024-05-05", "2024-06-02")
