@@ -7,91 +7,112 @@ Spark can reach; connection and sizing settings belong to the submit command.
 from __future__ import annotations
 
 import argparse
-import logging
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 from beaconmill import plans, schemas
 from beaconmill.plans.ingest import STAGED
-from beaconmill.sources import SOURCES, source_spec
+from beaconmill.sources import SOURCES, SourceSpec, source_spec
 from beaconmill.streaming import stream_load
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="beaconmill", description=__doc__)
-    parser.add_argument(
-        "job",
-        choices=["snapshot", "stage", "full-load", "incremental-load", "stream-load",
-                 "close-versions", "correlate", "run-all"],
-    )
-    parser.add_argument("--root", required=True, help="directory that holds the layers")
-    parser.add_argument("--input", help="directory that holds the source files")
-    parser.add_argument("--source", action="append", metavar="NAME[=FORMAT[:PATH]]",
-                        help="source to read, with another format or file if given; default all")
-    parser.add_argument("--multi-line", action="store_true", help="JSON sources are arrays")
-    parser.add_argument("--dataset", action="append", choices=list(STAGED),
-                        help="staged dataset to load; default all")
-    parser.add_argument("--load-date", default=datetime.now(timezone.utc).isoformat(sep=" "))
-    parser.add_argument("--last-load-date", help="incremental-load: the mark")
-    parser.add_argument("--skip-loaded", action="store_true",
-                        help="incremental-load: leave out keys that are already loaded")
-    parser.add_argument("--append", action="store_true", help="stage: keep earlier arrivals")
-    parser.add_argument("--buckets", type=int, default=0,
-                        help="bucket loaded datasets by key into catalog tables, for joins without a shuffle")
-    parser.add_argument("--database", default="default", help="the database of bucketed tables")
+    option = parser.add_argument
+    option("job", choices=list(JOBS))
+    option("--root", required=True, help="directory that holds the layers")
+    option("--input", help="directory that holds the source files")
+    option("--source", action="append", metavar="NAME[=FORMAT[:PATH]]",
+           help="source to read, with another format or file if given; default all")
+    option("--multi-line", action="store_true", help="JSON sources are arrays")
+    option("--dataset", action="append", choices=list(STAGED), help="staged dataset; default all")
+    option("--load-date", default=datetime.now(timezone.utc).isoformat(sep=" "))
+    option("--last-load-date", help="incremental-load: the mark")
+    option("--skip-loaded", action="store_true", help="incremental-load: leave out loaded keys")
+    option("--append", action="store_true", help="stage: keep earlier arrivals")
+    option("--buckets", type=int, default=0,
+           help="bucket loaded datasets by key as catalog tables, for joins without a shuffle")
+    option("--database", default="default", help="the database of bucketed tables")
     given = parser.parse_args(argv)
     if given.job in ("snapshot", "run-all") and not given.input:
         parser.error(f"{given.job} needs --input")
     if given.job == "incremental-load" and not given.last_load_date:
         parser.error("incremental-load needs --last-load-date")
+    given.dataset = given.dataset or list(STAGED)
     return given
 
 
-def specs(given: argparse.Namespace):
-    for source in given.source or SOURCES:
-        name, _, change = source.partition("=")
-        form, _, path = change.partition(":")
-        spec = source_spec(name, given.input, **_changes(given, name, form, path))
-        yield spec
+def sources(given: argparse.Namespace) -> list[SourceSpec]:
+    return [_source(given, text) for text in given.source or SOURCES]
 
 
-def _changes(given: argparse.Namespace, name: str, form: str, path: str) -> dict:
-    changes: dict = {"format": form} if form else {}
-    if path:
-        changes["path"] = path
-    if form == "json" and name.lower() == "bid_requests":
-        changes["schema"] = schemas.BID_REQUESTS
-    if given.multi_line and (form or source_spec(name, "").format) == "json":
-        changes["options"] = {"multiLine": True}
-    return changes
+def _source(given: argparse.Namespace, text: str) -> SourceSpec:
+    name, _, change = text.partition("=")
+    form, _, path = change.partition(":")
+    spec = source_spec(name, given.input, **({"path": path} if path else {}))
+    if form:
+        spec = replace(spec, format=form)
+    if spec.format == "json" and spec.name == "bid_requests":
+        spec = replace(spec, schema=schemas.BID_REQUESTS)
+    if spec.format == "json" and given.multi_line:
+        spec = replace(spec, options={"multiLine": True})
+    return spec
+
+
+def snapshot(spark, given, layers):
+    plans.snapshot(spark, sources(given), layers)
+
+
+def stage(spark, given, layers):
+    mode = "append" if given.append else "overwrite"
+    plans.stage(spark, layers, given.load_date, given.dataset, mode)
+
+
+def load(spark, given, layers):
+    mark = given.last_load_date if given.job == "incremental-load" else None
+    plans.load_all(spark, layers, given.load_date, mark, given.skip_loaded, given.dataset)
+
+
+def stream(spark, given, layers):
+    for name in given.dataset:
+        loaded = layers.path("ingestion", name)
+        checkpoint = layers.path("ingestion", f"_stream_{name}")
+        stream_load(spark, layers.path("staging", name), loaded, layers.audit, checkpoint,
+                    given.load_date, buckets=layers.bucketed(name))
+
+
+def close_versions(spark, given, layers):
+    for name in given.dataset:
+        loaded = layers.path("ingestion", name)
+        plans.close_versions(spark, loaded, f"{loaded}_closed")
+
+
+def correlate(spark, given, layers):
+    plans.correlate_layers(spark, layers)
+
+
+def run_all(spark, given, layers):
+    plans.run_all(spark, sources(given), layers, given.load_date)
+
+
+JOBS = {
+    "snapshot": snapshot,
+    "stage": stage,
+    "full-load": load,
+    "incremental-load": load,
+    "stream-load": stream,
+    "close-versions": close_versions,
+    "correlate": correlate,
+    "run-all": run_all,
+}
 
 
 def main(argv: list[str] | None = None) -> None:
     given = arguments(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName(f"beaconmill {given.job}").getOrCreate()
-    layers = plans.Layers(given.root, given.buckets, given.database)
-    datasets = given.dataset or list(STAGED)
-    if given.job == "snapshot":
-        plans.snapshot(spark, specs(given), layers)
-    elif given.job == "stage":
-        plans.stage(spark, layers, given.load_date, datasets, "append" if given.append else "overwrite")
-    elif given.job == "full-load":
-        plans.load_all(spark, layers, given.load_date, datasets=datasets)
-    elif given.job == "incremental-load":
-        plans.load_all(spark, layers, given.load_date, given.last_load_date, given.skip_loaded, datasets)
-    elif given.job == "stream-load":
-        for name in datasets:
-            stream_load(spark, layers.path("staging", name), layers.path("ingestion", name), layers.audit,
-                        layers.path("ingestion", f"_stream_{name}"), given.load_date)
-    elif given.job == "close-versions":
-        for name in datasets:
-            plans.close_versions(spark, layers.path("ingestion", name), layers.path("ingestion", f"{name}_closed"))
-    elif given.job == "correlate":
-        plans.correlate_layers(spark, layers)
-    else:
-        plans.run_all(spark, specs(given), layers, given.load_date)
+    JOBS[given.job](spark, given, plans.Layers(given.root, given.buckets, given.database))
 
 
 if __name__ == "__main__":

@@ -63,7 +63,8 @@ def _bucketed(df: DataFrame, time: str, width: int) -> DataFrame:
     """Adds ``_at`` and ``_bucket`` to rows whose time is present. Declared free of NULL,
     they give every join on them the same plan, and one shuffle serves them all."""
     at, bucket = micros(time), time_bucket(time, width)
-    return df.select("*", F.coalesce(at, F.lit(0)).alias("_at"), F.coalesce(bucket, F.lit(0)).alias("_bucket"))
+    columns = {"_at": F.coalesce(at, F.lit(0)), "_bucket": F.coalesce(bucket, F.lit(0))}
+    return df.withColumns(columns)
 
 
 def _and_the_one_before(df: DataFrame) -> DataFrame:

@@ -24,7 +24,9 @@ def correlate_layers(spark: SparkSession, layers: Layers) -> None:
     the join needs no shuffle either.
     """
     names = ("ad_impressions", "clicks", "conversions")
-    frames = {name: read_layer(spark, layers.path("ingestion", name), layers.bucketed(name)) for name in names}
+    frames = {
+        name: read_layer(spark, layers.path("ingestion", name), layers.bucketed(name)) for name in names
+    }
     append_audit(spark, layers.audit, [(READ_INGESTION, df.count()) for df in frames.values()])
     for name, id_column in (("clicks", "click_id"), ("conversions", "conversion_id")):
         joined = correlate(frames["ad_impressions"], frames[name], id_column, rows_per_task=None)

@@ -16,7 +16,7 @@ from beaconmill.operators import (
     stamp_arrival,
     stringify,
 )
-from beaconmill.plans.audit import append_audit
+from beaconmill.plans.audit import append_audit, counted
 from beaconmill.plans.layers import Layers, overwrite, read_layer, save_arrivals
 from beaconmill.schemas import MALFORMED
 from beaconmill.sources import SourceSpec, read_source, readable, split_malformed
@@ -35,7 +35,7 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
 
     The raw files are parsed once. The text of a row that does not parse stays in
     its own column, which costs next to nothing where it is NULL, and such rows are
-    copied from the snapshot to the quarantine layer if there are any.
+    copied from the snapshot to the quarantine layer.
     """
     counts = {}
     for spec in specs:
@@ -44,17 +44,16 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
         overwrite(read_source(spark, spec, keep_malformed=keep), landed, reads=spec.path)
         if keep:
             _, malformed = split_malformed(read_layer(spark, landed))
-            counts[f"malformed_{spec.name}"] = malformed.count()
-            if counts[f"malformed_{spec.name}"]:
-                overwrite(malformed, layers.path("quarantine", spec.name))
+            rows, written = counted(malformed)
+            overwrite(rows, layers.path("quarantine", spec.name))
+            counts[f"malformed_{spec.name}"] = written()
     if counts:
         append_audit(spark, layers.audit, counts.items())
 
 
 def staged(df: DataFrame, arrived: datetime | str) -> DataFrame:
-    """A snapshot frame as staging holds it: flat, all strings, with its arrival. Rows
-    of which nothing could be read stay behind."""
-    return stamp_arrival(stringify(flatten(readable(df))), arrived)
+    """A snapshot frame as staging holds it: flat, all strings, with its arrival."""
+    return stamp_arrival(stringify(flatten(df)), arrived)
 
 
 def stage(
@@ -65,10 +64,11 @@ def stage(
     mode: str = "overwrite",
 ) -> None:
     """Snapshot to staging, one map-only job per dataset. ``mode="append"`` keeps
-    what arrived earlier, for incremental loads to choose from."""
+    what arrived earlier, for incremental loads to choose from. Rows of which nothing
+    could be read stay behind."""
     for dataset in datasets:
         origin, make = STAGED[dataset]
-        df = make(read_layer(spark, layers.path("snapshot", origin)))
+        df = make(readable(read_layer(spark, layers.path("snapshot", origin))))
         save_arrivals(staged(df, arrived), layers.path("staging", dataset), mode)
 
 

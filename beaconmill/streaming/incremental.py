@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, count_steps, counted
-from beaconmill.plans.layers import append, with_arrivals
+from beaconmill.plans.layers import Buckets, append, with_arrivals
 from beaconmill.plans.loads import cleanse, loaded_near
 from beaconmill.schemas import KEYS, STREAM_LOAD, STREAM_READ
 
@@ -23,6 +23,7 @@ def stream_load(
     load_ts: datetime | str,
     keys: Sequence[str] = KEYS,
     max_files: int = 10_000,
+    buckets: Buckets | None = None,
 ) -> None:
     """Load the staged files that no earlier run has loaded, then stop.
 
@@ -39,7 +40,7 @@ def stream_load(
             rows = not_loaded(rows, target, keys)
         counts = count_steps(batch, {STREAM_READ: None})
         stamped, written = counted(stamp_version(rows, load_ts))
-        append(stamped, output_path)
+        append(stamped, output_path, buckets)
         counts[STREAM_LOAD] = written()
         append_audit(spark, audit_path, counts.items())
 

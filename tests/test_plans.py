@@ -299,6 +299,7 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     main(["stage", "--root", root, "--load-date", "2024-05-05 13:00:00"])
     main(["full-load", "--root", root, "--load-date", LOAD_TS])
     main(["incremental-load", "--root", root, "--last-load-date", "2024-05-05", "--skip-loaded"])
+    main(["stream-load", "--root", root, "--dataset", "clicks"])
     main(["close-versions", "--root", root, "--dataset", "clicks"])
     main(["correlate", "--root", root])
     layers = plans.Layers(root)

@@ -135,7 +135,7 @@ def test_snapshot_quarantines_and_staging_takes_what_is_readable(spark, tmp_path
     row = '{"ad_creative_id": "A", "user_id": "u", "timestamp": "2024-05-05T12:00:00Z", "website": "w"}'
     (tmp_path / "ad_impressions.json").write_text(f"{row}\n{{broken\n")
     header = "Event Timestamp,User ID,Ad Campaign ID,Conversion Type"
-    (tmp_path / "clicks_and_conversions.csv").write_text(f"{header}\nt1,u1,c1,signup\nt2,u2,c2\nt3,u3,c3,signup,x\n")
+    (tmp_path / "clicks_and_conversions.csv").write_text(f"{header}\n\"\"\nt1,u1,c1,signup\nt2,u2,c2\nt3,u3,c3,signup,x\n")
     layers = plans.Layers(str(tmp_path / "layers"))
     names = ("ad_impressions", "clicks_and_conversions")
     plans.snapshot(spark, [source_spec(name, str(tmp_path)) for name in names], layers)
@@ -150,7 +150,7 @@ def test_snapshot_quarantines_and_staging_takes_what_is_readable(spark, tmp_path
     assert plans.read_layer(spark, layers.path("staging", "conversions")).count() == 2
     assert [r.raw for r in plans.malformed_rows(spark, layers, "ad_impressions").collect()] == ["{broken"]
     raw = plans.malformed_rows(spark, layers, "clicks_and_conversions").collect()
-    assert sorted(r.raw for r in raw) == ["t2,u2,c2", "t3,u3,c3,signup,x"]
+    assert sorted(r.raw for r in raw) == ['""', "t2,u2,c2", "t3,u3,c3,signup,x"]
     audit = plans.read_audit(spark, layers.audit).collect()
     assert {(r.operation, r.record_count) for r in audit} == {
-        ("malformed_ad_impressions", 1), ("malformed_clicks_and_conversions", 2)}
+        ("malformed_ad_impressions", 1), ("malformed_clicks_and_conversions", 3)}
