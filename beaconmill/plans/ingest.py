@@ -69,7 +69,7 @@ def stage(
     for dataset in datasets:
         origin, make = STAGED[dataset]
         df = make(readable(read_layer(spark, layers.path("snapshot", origin))))
-        save_arrivals(staged(df, arrived), layers.path("staging", dataset), mode)
+        save_arrivals(staged(df, arrived), layers.path("staging", dataset), arrived, mode)
 
 
 def malformed_rows(spark: SparkSession, layers: Layers, dataset: str) -> DataFrame:

@@ -6,11 +6,13 @@ import os
 from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconmill.functions import instant
 from beaconmill.schemas import KEYS, LOAD_DATE
 
 LAYERS = ("snapshot", "quarantine", "staging", "ingestion", "analytical", "audit")
@@ -118,13 +120,17 @@ def _timestamps_with_statistics(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
-def save_arrivals(df: DataFrame, path: str, mode: str) -> None:
+def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str) -> None:
     """Write staged rows with a directory per arrival, so that an incremental load
     opens only the arrivals after its mark."""
-    arrivals = df.withColumn(ARRIVAL, F.unix_micros(LOAD_DATE))
-    writer = arrivals.write.mode(mode).option("partitionOverwriteMode", "static")
-    with _timestamps_with_statistics(df.sparkSession):
-        writer.partitionBy(ARRIVAL).parquet(path)
+    spark = df.sparkSession
+    at = spark.range(1).select(F.unix_micros(instant(arrived))).first()[0]
+    writer = df.withColumn(ARRIVAL, F.lit(at)).write.mode(mode)
+    with _timestamps_with_statistics(spark):
+        writer.option("partitionOverwriteMode", "static").partitionBy(ARRIVAL).parquet(path)
+    if read_if_present(spark, path) is None:
+        # No row, hence no directory: leave an empty file that tells the columns.
+        append(df.limit(0), f"{path}/{ARRIVAL}={at}")
 
 
 def _clean(path: str) -> str:

@@ -75,7 +75,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = Fa
     schema = StructType.fromDDL(spec.schema) if isinstance(spec.schema, str) else spec.schema
     if spec.format == "csv" and schema is None and not _flag(spec.options.get("inferSchema")):
         schema = reader.load(spec.path).schema  # reads one line
-        reader = reader.option("enforceSchema", False)
+        if schema.names == _first_line(spark, spec):  # else Spark had to invent names
+            reader = reader.option("enforceSchema", False)
     if keep_malformed and spec.format in ("json", "csv"):
         if schema is None:
             raise ValueError(f"{spec.name}: keeping malformed rows needs a schema")
@@ -139,5 +140,10 @@ def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
         raise ValueError(f"{path} holds one JSON object per line: read it without multiLine")
 
 
+def _first_line(spark: SparkSession, spec: SourceSpec) -> list[str]:
+    row = spark.read.options(**{**spec.options, "header": False}).csv(spec.path).first()
+    return list(row) if row is not None else []
+
+
 def _flag(value: object) -> bool:
     return str(value).lower() == "true"

@@ -242,6 +242,18 @@ def test_loads_of_nothing_end_and_count_nothing(spark, tmp_path):
     assert plans.read_layer(spark, str(tmp_path / "out")).count() == 0
 
 
+def test_a_day_without_events_goes_through_all_layers(spark, tmp_path):
+    write_samples(str(tmp_path))
+    (tmp_path / "none.csv").write_text("Event Timestamp,User ID,Ad Campaign ID,Conversion Type\n")
+    specs = [sample_specs(str(tmp_path))[0],
+             source_spec("clicks_and_conversions", str(tmp_path), path="none.csv")]
+    layers = plans.Layers(str(tmp_path / "layers"))
+    plans.run_all(spark, specs, layers, LOAD_TS)
+    for name in ("clicks", "conversions"):
+        assert plans.read_layer(spark, layers.path("ingestion", name)).count() == 0
+        assert plans.read_layer(spark, layers.path("analytical", f"ad_impressions_{name}")).count() == 5
+
+
 def test_versions_are_closed_into_another_path(spark, paths, tmp_path):
     plans.full_load(spark, *paths, LOAD_TS)
     plans.incremental_load(spark, *paths, "2024-05-05", "2024-06-02")

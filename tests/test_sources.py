@@ -84,6 +84,13 @@ def test_csv_columns_may_stand_in_any_order_but_the_same_in_all_files(spark, tmp
         read_source(spark, spec).collect()
 
 
+def test_csv_names_that_spark_has_to_invent(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("a,a,\n1,2,3\n")
+    spec = SourceSpec("x", "csv", str(tmp_path / "c.csv"), options={"header": True})
+    df = read_source(spark, spec)
+    assert (df.columns, df.collect()) == (["a0", "a1", "_c2"], [("1", "2", "3")])
+
+
 def test_csv_strings_without_header(spark, tmp_path):
     (tmp_path / "c.csv").write_text("1,b\n2,c\n")
     df = read_csv_strings(spark, str(tmp_path / "c.csv"), header=False)
