@@ -42,8 +42,8 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
         landed = layers.path("snapshot", spec.name)
         keep = spec.format == "csv" or (spec.format == "json" and spec.schema is not None)
         overwrite(read_source(spark, spec, keep_malformed=keep), landed, reads=spec.path)
-        if keep:
-            _, malformed = split_malformed(read_layer(spark, landed))
+        _, malformed = split_malformed(read_layer(spark, landed))
+        if MALFORMED in malformed.columns:
             rows, written = counted(malformed)
             overwrite(rows, layers.path("quarantine", spec.name))
             counts[f"malformed_{spec.name}"] = written()

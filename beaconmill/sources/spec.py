@@ -117,27 +117,36 @@ def readable(df: DataFrame) -> DataFrame:
 
 
 def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
-    """Raise where the declared JSON layout would silently lose rows.
+    """Raise where the declared JSON layout would lose rows.
 
-    Looks at the first two non-blank lines of the first file only, so the cost
-    does not grow with the data. An array read line by line gives only NULL
-    rows; newline-delimited JSON read as multi-line gives one row per file.
+    An array read line by line gives only malformed rows. The first line tells, and a
+    file further on with another layout shows up in the count of malformed rows, so
+    a look at one line is enough, however many files there are.
+
+    Newline-delimited JSON read as multi-line gives the first row of each file and no
+    sign of the others. So there every file is looked at, which reads the text twice.
     """
-    head = (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"))
-        .filter(F.col("value").rlike(r"\S"))
-        .limit(2)
-        .collect()
+    text = spark.read.text(path).select(
+        F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
-    if not head:
+    lines = text.filter("line <> ''")
+    if not multi_line:
+        first = lines.first()
+        if first is not None and first.line.startswith("["):
+            raise ValueError(f"{first.file} holds a JSON array: read it with multiLine=True")
         return
-    first = head[0].value.strip().lstrip("﻿")
-    if first.startswith("[") and not multi_line:
-        raise ValueError(f"{path} holds a JSON array: read it with multiLine=True")
-    another = len(head) == 2 and head[1].file == head[0].file
-    if first.startswith("{") and first.endswith("}") and multi_line and another:
-        raise ValueError(f"{path} holds one JSON object per line: read it without multiLine")
+    ends = F.concat(F.substring("line", 1, 1), F.substring("line", -1, 1))
+    wrong = (
+        lines.withColumn("row", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by(ends, F.struct("block", "row")).alias("ends"), F.count(F.lit(1)).alias("lines"))
+        .filter("ends = '{}' and lines > 1")
+        .first()
+    )
+    if wrong is not None:
+        raise ValueError(f"{wrong.file} holds one JSON object per line: read it without multiLine")
 
 
 def _first_line(spark: SparkSession, spec: SourceSpec) -> list[str]:

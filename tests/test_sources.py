@@ -58,6 +58,28 @@ def test_json_lines_with_multi_line_are_rejected(spark, tmp_path):
     assert read_source(spark, SourceSpec("x", "json", path)).count() == 2
 
 
+def test_every_file_of_a_multi_line_source_is_looked_at(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.json").write_text('[\n{"a": 1},\n{"a": 2}\n]\n')
+    spec = SourceSpec("x", "json", str(tmp_path), options={"multiLine": True})
+    assert read_source(spark, spec).count() == 10
+    (tmp_path / "5.json").write_text('{"a": 1}\n{"a": \n{"a": 3}\n')
+    with pytest.raises(ValueError, match="5.json holds one JSON object per line"):
+        read_source(spark, spec)
+
+
+def test_a_json_array_among_lines_is_counted_as_malformed(spark, tmp_path):
+    row = '{"ad_creative_id": "A", "user_id": "u", "timestamp": "2024-05-05T12:00:00Z", "website": "w"}'
+    folder = tmp_path / "ad_impressions.json"
+    folder.mkdir()
+    (folder / "1.json").write_text(f"{row}\n" * 5)
+    (folder / "2.json").write_text(f"[\n{row[:-1]}\n}}\n]\n")
+    for changes in ({}, {"schema": None}):
+        layers = plans.Layers(str(tmp_path / f"layers{len(changes)}"))
+        plans.snapshot(spark, [source_spec("ad_impressions", str(tmp_path), **changes)], layers)
+        assert [r.record_count for r in plans.read_audit(spark, layers.audit).collect()] == [4]
+
+
 def test_many_files_of_one_object_each_may_be_multi_line(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"{i}.json").write_text(f'{{"a": {i}}}')
