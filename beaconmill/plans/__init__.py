@@ -1,5 +1,5 @@
 from beaconmill.plans.analytical import correlate_layers, load_all, run_all
-from beaconmill.plans.audit import append_audit, count_steps, read_audit
+from beaconmill.plans.audit import append_audit, counted, measure, read_audit
 from beaconmill.plans.ingest import malformed_rows, snapshot, stage, staged
 from beaconmill.plans.layers import Layers, append, overwrite, read_if_present, read_layer
 from beaconmill.plans.loads import (
@@ -18,13 +18,14 @@ __all__ = [
     "cleanse",
     "close_versions",
     "correlate_layers",
-    "count_steps",
+    "counted",
     "full_load",
     "full_load_frame",
     "incremental_load",
     "incremental_load_frame",
     "load_all",
     "malformed_rows",
+    "measure",
     "overwrite",
     "read_audit",
     "read_if_present",

@@ -12,21 +12,17 @@ from beaconmill.plans.layers import append
 from beaconmill.schemas import AUDIT
 
 
-def count_steps(df: DataFrame, steps: Mapping[str, Column | None]) -> dict[str, int]:
-    """For each step the number of rows that meet its condition (None: all rows).
+def measure(df: DataFrame, aggregates: Mapping[str, Column]) -> dict[str, int]:
+    """The aggregates of all rows, by name, in one query over the columns they need.
 
-    One aggregation over the conditions' columns only. It is a query of its own
-    because a counter that rides along in front of a shuffle counts a task's rows
-    again when a lost executor makes Spark run the task again.
+    Audit counts are taken this way because a counter that rides along in front of
+    a shuffle counts a task's rows again when a lost executor makes Spark run the
+    task again.
     """
-    return measure(df, {step: _rows(condition) for step, condition in steps.items()})
-
-
-def measure(df: DataFrame, aggregates: Mapping[str, Column]) -> dict[str, int]:
     return df.agg(*[column.alias(name) for name, column in aggregates.items()]).first().asDict()
 
 
-def _rows(condition: Column | None) -> Column:
+def rows_where(condition: Column | None = None) -> Column:
     return F.count(F.lit(1)) if condition is None else F.count_if(condition)
 
 

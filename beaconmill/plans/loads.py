@@ -21,7 +21,7 @@ from beaconmill.operators import (
     uppercase,
     within_span,
 )
-from beaconmill.plans.audit import append_audit, count_steps, counted, measure
+from beaconmill.plans.audit import append_audit, counted, measure, rows_where
 from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer
 from beaconmill.schemas import (
     DEDUPLICATE_DATA,
@@ -93,7 +93,7 @@ def full_load(
 ) -> dict[str, int]:
     """Replace an ingestion dataset by all that is staged; returns the audited counts."""
     staging = read_layer(spark, staging_path)
-    counts = count_steps(staging, {READ_STAGING: None, **_checks()})
+    counts = measure(staging, {READ_STAGING: rows_where(), **_checks()})
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
     overwrite(rows, output_path, reads=staging_path, buckets=buckets)
     counts[DEDUPLICATE_DATA] = written()
@@ -121,9 +121,11 @@ def incremental_load(
     staging = read_layer(spark, staging_path)
     counts = {READ_STAGING: staging.count()}  # from the Parquet footers
     newer = newer_than(staging, last_load_date)
-    counts |= count_steps(newer, {FILTER_INCREMENTAL: None, **_checks()})
+    seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **_checks(), **time_span()})
+    span = seen.pop("first"), seen.pop("last")
+    counts |= seen
     if counts[FILTER_DATA]:
-        target = loaded_near(spark, output_path, newer) if skip_loaded else None
+        target = loaded_within(spark, output_path, *span) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
         rows, written = counted(frame)
         append(rows, output_path, buckets)
@@ -144,14 +146,18 @@ def close_versions(spark: SparkSession, path: str, closed_path: str, keys: Seque
     overwrite(close_out(read_layer(spark, path), keys), closed_path, reads=path)
 
 
-def loaded_near(spark: SparkSession, output_path: str, staging: DataFrame) -> DataFrame | None:
-    """What is loaded already from the time span of the staged rows, if anything."""
-    target = read_if_present(spark, output_path)
-    if target is None:
-        return None
+def time_span() -> dict[str, Column]:
+    """The first and last time of staged rows, in microseconds since the epoch."""
     at = F.unix_micros(F.col(TIME).try_cast("timestamp"))
-    span = measure(staging, {"first": F.min(at), "last": F.max(at)})
-    return within_span(target, span["first"], span["last"])
+    return {"first": F.min(at), "last": F.max(at)}
+
+
+def loaded_within(
+    spark: SparkSession, output_path: str, first: int | None, last: int | None
+) -> DataFrame | None:
+    """The loaded rows that staged rows of the time span can repeat, if anything is loaded."""
+    target = read_if_present(spark, output_path)
+    return None if target is None else within_span(target, first, last)
 
 
 def _checks() -> dict[str, Column]:
@@ -159,4 +165,4 @@ def _checks() -> dict[str, Column]:
     these the timestamps that are lost because they do not parse."""
     kept = F.col(USER).isNotNull()
     lost = F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp").isNull()
-    return {FILTER_DATA: kept, INVALID_TIMESTAMP: kept & lost}
+    return {FILTER_DATA: rows_where(kept), INVALID_TIMESTAMP: rows_where(kept & lost)}

@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
-from beaconmill.plans.audit import append_audit, count_steps, counted
+from beaconmill.plans.audit import append_audit, counted, measure, rows_where
 from beaconmill.plans.layers import Buckets, append, with_arrivals
-from beaconmill.plans.loads import cleanse, loaded_near
+from beaconmill.plans.loads import cleanse, loaded_within, time_span
 from beaconmill.schemas import KEYS, STREAM_LOAD, STREAM_READ
 
 
@@ -35,10 +35,10 @@ def stream_load(
 
     def load(batch: DataFrame, _: int) -> None:
         rows = deduplicate(cleanse(with_arrivals(batch)), keys)
-        target = loaded_near(spark, output_path, batch)
+        counts = measure(batch, {STREAM_READ: rows_where(), **time_span()})
+        target = loaded_within(spark, output_path, counts.pop("first"), counts.pop("last"))
         if target is not None:
             rows = not_loaded(rows, target, keys)
-        counts = count_steps(batch, {STREAM_READ: None})
         stamped, written = counted(stamp_version(rows, load_ts))
         append(stamped, output_path, buckets)
         counts[STREAM_LOAD] = written()
