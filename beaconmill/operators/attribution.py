@@ -35,7 +35,7 @@ def attribute_within(
     per bucket: two rows, however many events the bucket holds. Both joins read
     one shuffle of the impressions.
     """
-    width = tolerance // timedelta(microseconds=1)
+    width = _width(tolerance)
     timed = all_present([user, time])
     left = _bucketed(impressions.filter(timed), time, width)
     right = _bucketed(events.filter(timed).select(user, time, id_column), time, width).drop(time)
@@ -59,6 +59,12 @@ def attribute_within(
     return matched.union(without.withColumn(id_column, none))
 
 
+def _width(span: timedelta) -> int:
+    if span <= timedelta(0):
+        raise ValueError("the time span must be positive; correlate joins equal times")
+    return span // timedelta(microseconds=1)
+
+
 def _bucketed(df: DataFrame, time: str, width: int) -> DataFrame:
     """Adds ``_at`` and ``_bucket`` to rows whose time is present. Declared free of NULL,
     they give every join on them the same plan, and one shuffle serves them all."""
@@ -89,7 +95,7 @@ def attribute_last_touch(
     bucket. A window group holds at most the instants of one bucket, or the
     buckets of one user. The answers then join back to all events.
     """
-    width = bucket // timedelta(microseconds=1)
+    width = _width(bucket)
     asked = events.select(user, time).withColumn(
         id_column, F.lit(None).cast(touches.schema[id_column].dataType)
     )

@@ -256,6 +256,11 @@ def test_attribution_against_brute_force(spark, span):
     assert Counter(map(tuple, got.collect())) == want
 
 
+def test_attribution_needs_a_span(sample_frames):
+    with pytest.raises(ValueError, match="must be positive"):
+        ops.attribute_within(*sample_frames, "click_id", timedelta(0))
+
+
 def test_attribution_before_the_epoch(spark):
     schema = "user_id string, timestamp timestamp, {} string"
     a = spark.createDataFrame([("u", datetime(1969, 12, 31, 23, 59, 59), "i")], schema.format("ad"))
