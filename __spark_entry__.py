@@ -20,6 +20,14 @@ from beaconmill.scratch import scratch_dir
 from beaconmill.sources import SourceSpec, read_source, source_spec, split_malformed
 from beaconmill.streaming import stream_load
 
+try:  # the operators for training data may be left out of an installation
+    import corpus_pipeline
+    from beaconmill.llm import queries as llm
+except ImportError:
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES, LLM_SQL = {**llm.QUERIES, "pipeline": corpus_pipeline.run}, dict(llm.ORACLE_SQL)
+
 LOAD_TS = "2024-06-01 00:00:00"
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # the JSON writer cuts to milliseconds by default
 
@@ -653,9 +661,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and plan."""
-    return dict(QUERIES)
+    return {**QUERIES, **LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same in SQL for DuckDB, over views named after the tables."""
-    return dict(SQL)
+    return {**SQL, **LLM_SQL}
