@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linedup, packing, pii, simhash, toxicity
+from . import bpe, langid, linedup, packing, pii, quality, simhash, topk, toxicity, winnow
 from .common import remainder
 
 KEY = "beaconmill"
@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents")))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    model = quality.fit_quality(stats, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(stats, model)
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -22,11 +33,26 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit_languages(docs)
+    found = langid.predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linedup.deduplicate_lines(docs).select("doc_id", "lines_dropped", "text")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.replace_pii(docs, KEY).select("doc_id", "entities_replaced", "text")
@@ -41,5 +67,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op6_line_dedup, op8_pii, op9_simhash, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe, op2_quality, op3_toxicity, op4_winnowing, op5_language, op6_line_dedup, op7_top_k, op8_pii, op9_simhash, op10_packing
+    )
+}
+# Exact search is SQL; the others are models, searches for connected groups, or a library's ids.
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        ) WHERE rank <= 20
+    """
+}
