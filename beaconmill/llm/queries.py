@@ -77,8 +77,8 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op7_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
