@@ -18,6 +18,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, longer by underscores until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(column: str, divisor: int) -> Column:
     """``crc32`` of the value as text, modulo ``divisor``; 0 where the value is null."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % divisor, F.lit(0))

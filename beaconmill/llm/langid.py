@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, share, slices
+from .common import remainder, share, slices, unused
 
 BITS = 15
 UNKNOWN = "und"
@@ -126,11 +126,12 @@ def predict_language(docs: DataFrame, model: Languages, *, text_column: str = "t
     these names are replaced.
     """
     kept = [c for c in docs.columns if c not in (text_column, "lang_pred", "score", "shares")]
+    own = unused(kept, "text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, own):
             langs, scores, shares = [], [], []
-            for text in batch.column("_text").to_pylist():
+            for text in batch.column(own).to_pylist():
                 grams, counts = gram_counts(text)
                 if not len(grams) or not model.names:
                     langs.append(UNKNOWN), scores.append(0.0), shares.append([])
@@ -143,4 +144,4 @@ def predict_language(docs: DataFrame, model: Languages, *, text_column: str = "t
             yield pa.RecordBatch.from_arrays(out, names=[*kept, "lang_pred", "score", "shares"])
 
     schema = docs.select(kept).selectExpr("*", "'' as lang_pred", "0D as score", "map('', 0D) as shares").schema
-    return docs.select(*kept, F.col(text_column).alias("_text")).mapInArrow(apply, schema)
+    return docs.select(*kept, F.col(text_column).alias(own)).mapInArrow(apply, schema)

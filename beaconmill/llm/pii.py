@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 
 # What an entity of each kind looks like. The order decides where two could start.
 KINDS = {
@@ -192,12 +192,14 @@ def replace_pii(docs: DataFrame, key: str, *, id_column: str = "doc_id", text_co
     # a surrogate is looked up by the entity; one in very many texts is a long run that adaptive execution splits
     written = found.join(stored(named, "surrogate-table"), ["kind", "grp", "canon"]).select("doc", "text_hash", "pos", _written(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
     spots = stored(written, "pii-new").groupBy("doc", "text_hash", "pos").agg(F.min("new").alias("new"))
-    by_text = spots.groupBy("doc", "text_hash").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("_new"))
-    by_text = by_text.select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "_new")
+    by_text = spots.groupBy("doc", "text_hash").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("all"))
     kept = [c for c in docs.columns if c != "entities_replaced"]
+    of, hashed, ours, new = (unused(kept, c) for c in ("of", "hashed", "ours", "new"))
+    by_text = by_text.select(F.col("doc").alias(of), F.col("text_hash").alias(hashed), F.col("all").alias(new))
     text = F.col(text_column)
-    both = docs.select(*kept, F.xxhash64(text).alias("_own")).join(by_text, F.col(id_column).cast("bigint").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_hash")), "left")
+    same = F.col(id_column).cast("bigint").eqNullSafe(F.col(of)) & (F.col(ours) == F.col(hashed))
+    both = docs.select(*kept, F.xxhash64(text).alias(ours)).join(by_text, same, "left")
     parts = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(parts, "_new", lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
-    new = F.when(F.col("_new").isNull(), text).otherwise(joined)
-    return both.select(*(new.alias(c) if c == text_column else F.col(c) for c in kept), F.coalesce(F.size("_new"), F.lit(0)).alias("entities_replaced"))
+    joined = F.array_join(F.zip_with(parts, new, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    changed = F.when(F.col(new).isNull(), text).otherwise(joined)
+    return both.select(*(changed.alias(c) if c == text_column else F.col(c) for c in kept), F.coalesce(F.size(new), F.lit(0)).alias("entities_replaced"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, slices
+from .common import remainder, slices, unused
 
 STATISTICS = [
     "log_chars", "log_words", "word_length", "word_spread", "distinct_words", "commonest_word", "repeated_neighbours",
@@ -56,14 +56,15 @@ def statistics(text: str | None) -> np.ndarray:
 def with_statistics(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
     """The other columns of ``docs`` and ``stats``; one pass, no shuffle."""
     kept = [c for c in docs.columns if c not in (text_column, "stats")]
+    own = unused(kept, "text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            found = [statistics(t).tolist() for t in batch.column("_text").to_pylist()]
+        for batch in slices(batches, own):
+            found = [statistics(t).tolist() for t in batch.column(own).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found, pa.list_(pa.float64()))], names=[*kept, "stats"])
 
     schema = docs.select(kept).selectExpr("*", "array(0D) as stats").schema
-    return docs.select(*kept, F.col(text_column).alias("_text")).mapInArrow(apply, schema)
+    return docs.select(*kept, F.col(text_column).alias(own)).mapInArrow(apply, schema)
 
 
 @dataclass
