@@ -198,7 +198,8 @@ def replace_pii(docs: DataFrame, key: str, *, id_column: str = "doc_id", text_co
     by_text = by_text.select(F.col("doc").alias(of), F.col("text_hash").alias(hashed), F.col("all").alias(new))
     text = F.col(text_column)
     same = F.col(id_column).cast("bigint").eqNullSafe(F.col(of)) & (F.col(ours) == F.col(hashed))
-    both = docs.select(*kept, F.xxhash64(text).alias(ours)).join(by_text, same, "left")
+    # sorted and merged at any size: a plan that changed with it would be hard to foresee
+    both = docs.select(*kept, F.xxhash64(text).alias(ours)).join(by_text.hint("merge"), same, "left")
     parts = F.split(text, ANY, -1)
     joined = F.array_join(F.zip_with(parts, new, lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     changed = F.when(F.col(new).isNull(), text).otherwise(joined)
