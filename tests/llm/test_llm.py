@@ -319,7 +319,7 @@ def edits(a, b):
     return row[-1]
 
 
-def slow_lines(rows, least_words=5, similarity=0.9):
+def slow_lines(rows, least_words=5, similarity=0.8):
     import regex
 
     places, norms = [], {}
@@ -333,7 +333,7 @@ def slow_lines(rows, least_words=5, similarity=0.9):
     names = sorted(norms)
     for i, j in combinations(range(len(names)), 2):
         a, b = names[i], names[j]
-        if (norms[a] ^ norms[b]).bit_count() <= 3 and edits(a, b) <= (1 - similarity) * max(len(a), len(b)):
+        if (norms[a] ^ norms[b]).bit_count() <= 3 and edits(a.split(), b.split()) <= (1 - similarity) * max(len(a.split()), len(b.split())) + 1e-9:
             up.join(i, j)
     seen, gone = set(), set()
     for doc_id, pos, norm in places:
