@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,30 +21,48 @@ from .common import rows, stored
 from .words import words_of
 
 BLOCK_CHARS = 4_000_000
+WORDS_A_PART = 2_000_000
 
 
-def distinct_words(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """``(word, n, ids)``: each distinct word of the corpus, how often it occurs, and its ids, encoded once.
+def common_words(docs: DataFrame, path: str, most: int, text_column: str = "text") -> tuple[DataFrame, int]:
+    """``(word, ids)`` of words that make up at least one in ``most`` of all, and the number of all words.
 
-    Words are counted in each task before they are shuffled.
+    There can be no more than ``most`` of them. What is that common in the corpus is so in
+    a task, so each task counts all its words, but sends only those that are common in it.
     """
+    spark = docs.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = words_of(path)
+        words, counts, given_up = words_of(path), Counter(), 0
         for texts in _blocks(batches, ["text"]):
             found = [w for (text,) in texts for w in words.split(text or "")]
-            if found:
-                counts = pc.value_counts(pa.array(found, pa.string()))
-                yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["word", "n"])
+            if len(found) < 1_000:
+                counts.update(found)
+            else:
+                block = pc.value_counts(pa.array(found, pa.string()))
+                counts.update(dict(zip(block.field("values").to_pylist(), block.field("counts").to_pylist(), strict=True)))
+            if len(counts) > 4 * most:  # what has been rare so far is given up, it can only be counted too low
+                all_so_far = counts.total() + given_up
+                counts = Counter({w: n for w, n in counts.items() if n >= all_so_far / most})
+                given_up = all_so_far - counts.total()
+        total = counts.total() + given_up
+        kept = [(w, n) for w, n in counts.items() if n >= total / most]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept] + [None], pa.string()), pa.array([n for _, n in kept] + [total], pa.int64())], names=["word", "n"])
+
+    counted = docs.select(F.col(text_column).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "words")
+    total = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
+    return counted.filter(F.col("word").isNotNull() & (F.col("n") >= math.ceil(total / most))).mapInArrow(_encoder(path), "word string, ids binary"), total
+
 
+def _encoder(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
         for batch in batches:
             ids = [np.array(words.encode_word(w), "<u4").tobytes() for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], names=["word", "ids"])
 
-    counted = docs.select(F.col(text_column).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return stored(counted.mapInArrow(encode, "word string, n bigint, ids binary"), "words")
+    return encode
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], columns: list[str], most: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
@@ -61,7 +82,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], columns: list[str], most: int = B
 
 
 class Common:
-    """The ids of the commonest words: at most ``1 / part`` words can make up ``part`` of all words each."""
+    """The common words' places and ids, in one table."""
 
     def __init__(self, words: pa.Table):
         self.place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
@@ -72,30 +93,27 @@ RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 ENCODED = "doc_id bigint, ids binary"
 
 
-def encode_documents(docs: DataFrame, *, tokenizer: str | None = None, most_common: int = 1 << 17, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, *, tokenizer: str | None = None, most_common: int = 1 << 20, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc_id, ids)``: the ids of each whole text, little-endian unsigned 32-bit numbers.
 
-    Texts are split into words in Spark. A word that makes up at least one in
-    ``most_common`` of all words is common: there can be no more than ``most_common`` of
-    them, so their ids are broadcast. The ids of all others are joined to the blocks of
-    documents that hold them, one row for each word of a block, and put back by position. A
-    block is a run of documents with about four million characters, or one longer document.
+    Texts are split into words in Spark, and each distinct word is encoded once. A word that
+    makes up at least one in ``most_common`` of all words is common: there can be no more
+    than ``most_common`` of them, so their ids are broadcast. All others are dealt out by
+    the word, encoded where the same words meet, and their ids joined to the blocks of
+    documents that hold them, where all ids are put back by position. A block is a run of
+    documents with about four million characters, or one longer document.
 
     A null text is empty and has no ids. Repeated rows are encoded each; a null id stays
     null. No rows give none.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     chosen = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    table = distinct_words(chosen, path)
-    total = table.agg(F.sum("n")).first()[0] or 0
-    least = math.ceil(total / most_common)
-    spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(Common(table.filter(F.col("n") >= least).select("word", "ids").toArrow()))
+    table, total = common_words(chosen, path, most_common)
+    common = docs.sparkSession.sparkContext.broadcast(Common(table.toArrow()))
+    parts = max(16, total // WORDS_A_PART)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple], list[str], np.ndarray, np.ndarray, list[int]]]:
         """Blocks as their documents, their distinct words, each word's place among the common ones, and all words in order."""
-        from pyspark import TaskContext
-
         part, words = TaskContext.get().partitionId(), words_of(path)
         place = common.value.place
         for n, block in enumerate(_blocks(batches, ["id", "text"])):
@@ -112,27 +130,55 @@ def encode_documents(docs: DataFrame, *, tokenizer: str | None = None, most_comm
         for number, ids, _, known, codes, sizes in cut(batches):
             yield pa.RecordBatch.from_pydict({
                 "block": [number], "docs": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())),
-                "known": [known.tobytes()], "codes": [zstandard.compress(_planes(codes), 1)],
+                "known": [zstandard.compress(_planes(known), 3)], "codes": [zstandard.compress(_planes(codes), 3)],
             })
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rare words of each block, a row for each part of all words that they fall in."""
         for number, _, order, known, _, _ in cut(batches):
-            at = np.flatnonzero(known < 0)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(at), number)), "at": pa.array(at.astype(np.int32)), "word": pa.array([order[i] for i in at], pa.string())})
+            by_part: dict[int, list[tuple[str, int]]] = {}
+            for at in np.flatnonzero(known < 0).tolist():
+                by_part.setdefault(zlib.crc32(order[at].encode()) % parts, []).append((order[at], at))
+            found = [(p, sorted(words)) for p, words in sorted(by_part.items())]
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([p for p, _ in found], pa.int64()), "block": pa.array([number] * len(found), pa.int64()),
+                "at": pa.array([zstandard.compress(_planes(np.array([a for _, a in w], np.int32)), 1) for _, w in found], pa.binary()),
+                "words": pa.array([_packed(pa.array([x for x, _ in w], pa.string())) for _, w in found], pa.binary()),
+            })
 
-    asked = chosen.mapInArrow(rare, "block bigint, at int, word string")
-    given = asked.join(table.select("word", "ids"), "word").select("block", "at", "ids")
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of one part follow each other, so each of its distinct words is encoded once."""
+        words, part, known = words_of(path), None, {}
+        for batch in batches:
+            out = []
+            for p, packed in rows(batch, "part", "words"):
+                if p != part:
+                    part, known = p, {}
+                found = _unpacked(packed).to_pylist()
+                for w in found:
+                    if w not in known:
+                        known[w] = np.array(words.encode_word(w), "<u4").tobytes()
+                out.append(_packed(pa.array([known[w] for w in found], pa.binary())))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("at"), pa.array(out, pa.binary())], names=["block", "at", "ids"])
+
+    asked = chosen.mapInArrow(rare, "part bigint, block bigint, at binary, words binary")
+    given = asked.repartition("part").sortWithinPartitions("part").mapInArrow(encode, "block bigint, at binary, ids binary")
     held = chosen.mapInArrow(blocks, "block bigint, docs array<bigint>, sizes array<bigint>, known binary, codes binary")
 
     def together(block: pa.Table, words: pa.Table) -> pa.Table:
-        known = np.frombuffer(block.column("known")[0].as_py(), np.int32)
+        known = _unplaned(zstandard.decompress(block.column("known")[0].as_py()))
         codes = _unplaned(zstandard.decompress(block.column("codes")[0].as_py()))
         # ids of the block's words: the common ones in order of their places, then the rare ones
-        spots = np.full(len(known), -1, np.int64)
         is_known = known >= 0
+        spots = np.full(len(known), -1, np.int64)
         spots[is_known] = np.arange(is_known.sum())
-        spots[words.column("at").to_numpy()] = is_known.sum() + np.arange(len(words))
-        ids = pa.concat_arrays([common.value.ids.take(pa.array(known[is_known])), *words.column("ids").chunks])
+        ids, n = [common.value.ids.take(pa.array(known[is_known]))], int(is_known.sum())
+        for at, packed in zip(words.column("at").to_pylist(), words.column("ids").to_pylist(), strict=True):
+            at = _unplaned(zstandard.decompress(at))
+            ids.append(_unpacked(packed))
+            spots[at] = n + np.arange(len(at))
+            n += len(at)
+        ids = pa.concat_arrays(ids)
         out, at = [], 0
         for n in block.column("sizes")[0].as_py():
             out.append(_joined(ids, spots[codes[at : at + n]]))
@@ -142,6 +188,18 @@ def encode_documents(docs: DataFrame, *, tokenizer: str | None = None, most_comm
     return held.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(together, ENCODED)
 
 
+def _packed(values: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([values], names=["v"])
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return zstandard.compress(sink.getvalue(), 1)
+
+
+def _unpacked(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(zstandard.decompress(data)).read_all().column("v").combine_chunks()
+
+
 def _planes(codes: np.ndarray) -> bytes:
     """The numbers byte by byte, all low bytes first, which compresses better."""
     return codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()

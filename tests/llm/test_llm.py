@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -64,7 +65,7 @@ def test_words_are_the_librarys(docs, name):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids, text[:80]
 
 
-@pytest.mark.parametrize("most_common", [1, 1 << 17])
+@pytest.mark.parametrize("most_common", [1, 50, 1 << 20])
 def test_bpe_equals_library(odd, docs, most_common):
     table = odd.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
     theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,6 +77,16 @@ def test_bpe_equals_library(odd, docs, most_common):
     assert ordered(bpe.digests(bpe.encode_documents(table, most_common=most_common))) == sorted(want, key=repr)
 
 
+def test_common_words_are_bounded(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    table, total = bpe.common_words(docs, path, 50)
+    found = table.collect()
+    counts = Counter(w for r in docs.select("text").collect() for w in words_of(path).split(r.text))
+    assert total == counts.total()
+    assert len(found) <= 50
+    assert {r.word for r in found} <= {w for w, n in counts.items() if n >= total / 50}
+
+
 def test_bpe_of_nothing(empty):
     assert bpe.digests(bpe.encode_documents(empty)).collect() == []
 
