@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from beaconmill import operators as ops
 from beaconmill import plans, schemas
 from beaconmill.scratch import scratch_dir
-from beaconmill.sources import SourceSpec, read_source, source_spec, split_malformed
+from beaconmill.sources import SourceSpec, read_csv_strings, read_json_strings, read_source, source_spec, split_malformed
 from beaconmill.streaming import stream_load
 
 try:  # the operators for training data may be left out of an installation
@@ -94,10 +94,36 @@ def scan_csv(spark, sf_dir):
 
 def scan_json(spark, sf_dir):
     path = scratch_dir(spark, "json")
-    events(spark, sf_dir).drop("ts").write.json(path)
+    events(spark, sf_dir).write.option("timestampNTZFormat", MICROS).json(path)
     return read_source(spark, SourceSpec("events", "json", path))
 
 
+def scan_json_multiline(spark, sf_dir):
+    """All events as files of one array each, a thousand events to a file."""
+    path = scratch_dir(spark, "json")
+    row = F.to_json(F.struct("*"), {"timestampNTZFormat": MICROS})
+    arrays = events(spark, sf_dir).select(F.expr("event_id div 1000").alias("file"), row.alias("row")).groupBy("file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("row"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    arrays.write.partitionBy("file").text(path)
+    return read_source(spark, SourceSpec("events", "json", path, options={"multiLine": True})).drop("file")
+
+
+def scan_json_schema_file(spark, sf_dir):
+    """As strings, with the schema read from a file."""
+    path = scratch_dir(spark, "json")
+    df = events(spark, sf_dir)
+    df.write.option("timestampNTZFormat", MICROS).json(f"{path}/data")
+    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{path}/schema")
+    return read_json_strings(spark, f"{path}/data", schema_file=f"{path}/schema")
+
+
+def scan_csv_no_header(spark, sf_dir):
+    path = scratch_dir(spark, "csv")
+    ops.stringify(events(spark, sf_dir)).write.csv(path)
+    return read_csv_strings(spark, path, header=False)
+
+
 def scan_json_schema(spark, sf_dir):
     path = scratch_dir(spark, "json")
     df = events(spark, sf_dir)
@@ -227,6 +253,12 @@ def dedup_keep_latest(spark, sf_dir):
     return ntz(ops.deduplicate(df, order_by=[F.desc("ts"), F.desc("event_id")]))
 
 
+def dedup_ties(spark, sf_dir):
+    """The given order leaves ties, which the other columns settle."""
+    df = events(spark, sf_dir).select("*", cut("day"))
+    return ntz(ops.deduplicate(df, order_by=[F.desc("event_type")]))
+
+
 def dedup_lineitem(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     newest = [F.desc("l_shipdate"), F.desc("l_orderkey"), F.desc("l_linenumber")]
@@ -251,11 +283,32 @@ def scd2_current(spark, sf_dir):
     return ntz(ops.close_out(loads[0].union(loads[1]), ["user_id"]))
 
 
-def incremental_anti_join(spark, sf_dir):
+def scd2_ties(spark, sf_dir):
+    """Two loads with one load date: still one current row per key."""
     df = events(spark, sf_dir)
-    incoming = ops.deduplicate(df.filter("ts >= timestamp_ntz'2024-01-28'").select("user_id"), ["user_id"])
-    loaded = df.filter("ts >= timestamp_ntz'2024-01-27' and ts < timestamp_ntz'2024-01-28'")
-    return ops.not_loaded(incoming, loaded, ["user_id"])
+    loads = ops.stamp_version(df, LOAD_TS).unionByName(ops.stamp_version(df.filter("event_type = 'click'"), LOAD_TS))
+    closed = ops.close_out(loads, ["user_id"])
+    return closed.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_versions"), F.count_if("is_current").alias("n_current")
+    )
+
+
+def close_versions(spark, sf_dir):
+    """As a job, from one path to another."""
+    root = scratch_dir(spark, "versions")
+    newest = [F.desc("ts"), F.desc("event_id")]
+    for part, day in (("ts < timestamp_ntz'2024-01-16'", "2024-01-16"), ("ts >= timestamp_ntz'2024-01-16'", "2024-01-31")):
+        rows = ops.deduplicate(events(spark, sf_dir).filter(part), ["user_id"], newest)
+        plans.append(ops.stamp_version(rows, day), f"{root}/loaded")
+    plans.close_versions(spark, f"{root}/loaded", f"{root}/closed", ["user_id"])
+    return ntz(plans.read_layer(spark, f"{root}/closed"))
+
+
+def incremental_anti_join(spark, sf_dir):
+    """User and hour of all views but those with any other event in the hour."""
+    df = events(spark, sf_dir).select("user_id", cut("hour"), "event_type")
+    incoming = ops.deduplicate(of_type(df, "view").drop("event_type"))
+    return ntz(ops.not_loaded(incoming, df.filter("event_type <> 'view'")))
 
 
 # ---------------------------------------------------------------- correlation and attribution
@@ -285,9 +338,22 @@ def correlate_exact(spark, sf_dir):
 
 
 def correlate_hot_keys(spark, sf_dir):
-    """The way hot keys go: any user with two clicks a day counts as one here."""
+    """All clicks of a user count as one instant's, so that each user's key is hot on both sides."""
+    views, clicks = views_and(spark, sf_dir, "click", "year", "click_id")
+    pairs = ops.correlate(views, clicks, "click_id")
+    return ntz(pairs.groupBy("event_id", "user_id", "timestamp", "value").agg(F.count("click_id").alias("n_clicks"), F.min("click_id").alias("first_click"), F.max("click_id").alias("last_click")))
+
+
+def correlate_bucketed(spark, sf_dir):
+    """Bucketed tables of deduplicated views and clicks."""
     views, clicks = views_and(spark, sf_dir, "click", "day", "click_id")
-    return ntz(ops.correlate(views, clicks, "click_id", rows_per_task=1))
+    loaded = []
+    for df in (views.drop("value"), clicks):
+        path = scratch_dir(spark, "bucketed")
+        buckets = plans.Buckets(path.rsplit("/", 1)[1].replace("-", "_"), 8)
+        plans.overwrite(ops.deduplicate(df), path, buckets=buckets)
+        loaded.append(plans.read_layer(spark, path, buckets))
+    return ntz(ops.correlate(*loaded, "click_id", one_per_key=True))
 
 
 def attribute_interval(spark, sf_dir):
@@ -301,6 +367,11 @@ def attribute_interval_day(spark, sf_dir):
     return ops.attribute_within(views, clicks, "click_id", timedelta(days=1))
 
 
+def attribute_first(spark, sf_dir):
+    views, clicks = views_and(spark, sf_dir, "click", None, "click_id")
+    return ops.attribute_first(views, clicks, "click_id", timedelta(days=1))
+
+
 def attribute_last_touch(spark, sf_dir):
     df = events(spark, sf_dir)
     purchases = of_type(df, "purchase").select("event_id", "user_id", F.col("ts").alias("timestamp"))
@@ -346,6 +417,41 @@ def audit_incremental(spark, sf_dir):
     return plans.read_audit(spark, f"{root}/audit").select("operation", "record_count")
 
 
+def incremental_nothing_new(spark, sf_dir):
+    """A mark after all arrivals: counts are audited, nothing is written."""
+    root = scratch_dir(spark, "audit")
+    staged_events(spark, sf_dir, "day").write.parquet(f"{root}/staging")
+    plans.incremental_load(
+        spark, f"{root}/staging", f"{root}/ingestion", f"{root}/audit", "2030-01-01", LOAD_TS
+    )
+    audit = plans.read_audit(spark, f"{root}/audit").select("operation", "record_count")
+    written = plans.read_if_present(spark, f"{root}/ingestion") is not None
+    return audit.withColumn("written", F.lit(written))
+
+
+def incremental_arrivals(spark, sf_dir):
+    """Two arrivals in staging, and a mark between them."""
+    path = scratch_dir(spark, "staging")
+    staging = staged_events(spark, sf_dir, "hour").drop("load_date")
+    for part, arrived in (("website = 'click'", "2024-02-01 00:00:00"), ("website <> 'click'", "2024-02-02 00:00:00")):
+        plans.save_arrivals(staging.filter(part), path, arrived, "append")
+    return ntz(ops.newer_than(plans.read_layer(spark, path), "2024-02-01 12:00:00"))
+
+
+def stream_batches(spark, sf_dir):
+    """Keys spread over many files: the size of a batch changes nothing."""
+    staging = staged_events(spark, sf_dir, "day").repartition(7, "ad_creative_id")
+    out = None
+    for max_files in (1, 10_000):
+        root = scratch_dir(spark, "stream")
+        paths = (f"{root}/staging", f"{root}/ingestion", f"{root}/audit", f"{root}/checkpoint")
+        plans.append(staging, paths[0])
+        stream_load(spark, *paths, LOAD_TS, max_files=max_files)
+        loaded = ntz(plans.read_layer(spark, paths[1])).withColumn("max_files", F.lit(max_files))
+        out = loaded if out is None else out.unionByName(loaded)
+    return out
+
+
 def stream_of_staging(spark, sf_dir):
     """Two arrivals and three runs: the second brings new files, the third none."""
     root = scratch_dir(spark, "stream")
@@ -373,7 +479,7 @@ def analytical(spark, sf_dir):
         loaded[kind] = plans.full_load_frame(staging, LOAD_TS, order_by=newest)
     views = loaded["view"].withColumnRenamed("event", "ad_creative_id")
     clicks = loaded["click"].withColumnRenamed("event", "click_id")
-    return ntz(ops.correlate(views, clicks, "click_id", rows_per_task=None))
+    return ntz(ops.correlate(views, clicks, "click_id", one_per_key=True))
 
 
 # ---------------------------------------------------------------- all layers, from source files
@@ -405,7 +511,7 @@ def all_layers(spark, sf_dir) -> plans.Layers:
         ).alias("user_info"),
         F.struct(
             F.col("event_id").cast("string").alias("auction_id"),
-            F.lit(0.5).cast("float").alias("bid_amount"),
+            F.col("value").cast("float").alias("bid_amount"),
             F.col("ts").cast("string").alias("timestamp"),
         ).alias("auction_details"),
         F.struct(
@@ -431,6 +537,14 @@ def layers_conversions(spark, sf_dir):
     return ntz(plans.read_layer(spark, path))
 
 
+def layers_two_loads(spark, sf_dir):
+    """All layers, then the same arrivals loaded once more: each impression still comes out once."""
+    layers = all_layers(spark, sf_dir)
+    plans.load_all(spark, layers, "2024-07-01 00:00:00", "2024-01-01 00:00:00")
+    plans.correlate_layers(spark, layers)
+    return ntz(plans.read_layer(spark, layers.path("analytical", "ad_impressions_clicks")))
+
+
 def layers_bids(spark, sf_dir):
     return ntz(plans.read_layer(spark, all_layers(spark, sf_dir).path("ingestion", "bid_requests")))
 
@@ -459,6 +573,9 @@ STRINGS = """
 select event_id::varchar as event_id, ts::varchar as ts, user_id::varchar as user_id,
        event_type, value::varchar as value, props from events"""
 
+JSON_ROWS = """
+select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ts, user_id, event_type, value, props from events"""
+
 EVENT_ID = "sha256(concat_ws('|', user_id::varchar, ts::varchar, props, coalesce(nullif(event_type, 'click'), '')))"
 
 SPLIT = """
@@ -484,10 +601,27 @@ select v.ad_creative_id, v.user_id, v."timestamp", 'example.com' as website,
        timestamp '2024-06-01' as load_date, true as is_current, k.id as {id}
 from views v left join kept k on v.user_id = upper(k.u) and v."timestamp" = k.t"""
 
+CLOSED = """
+        with loads as (
+          select *, case when ts < timestamp '2024-01-16' then timestamp '2024-01-16'
+                         else timestamp '2024-01-31' end as load_date from events),
+        kept as (
+          select * exclude n from (
+            select *, row_number() over (partition by user_id, load_date
+                                         order by ts desc, event_id desc) as n
+            from loads) where n = 1)
+        select *, lead(load_date) over (partition by user_id order by load_date) is null as is_current
+        from kept"""
+
 SQL = {
     "scan_parquet": "select * from events",
     "scan_csv": STRINGS,
-    "scan_json": "select event_id, user_id, event_type, value, props from events",
+    "scan_json": JSON_ROWS,
+    "scan_json_multiline": JSON_ROWS,
+    "scan_json_schema_file": STRINGS,
+    "scan_csv_no_header": """
+        select event_id::varchar as _c0, ts::varchar as _c1, user_id::varchar as _c2,
+               event_type as _c3, value::varchar as _c4, props as _c5 from events""",
     "scan_json_schema": "select * from events",
     "quarantine": """
         select case when event_type <> 'error' then event_id end as event_id,
@@ -519,6 +653,12 @@ SQL = {
                  row_number() over (partition by user_id, date_trunc('hour', ts)
                                     order by ts desc, event_id desc) as n
           from events) where n = 1""",
+    "dedup_ties": """
+        select * exclude n from (
+          select *, date_trunc('day', ts)::timestamp as "timestamp",
+                 row_number() over (partition by user_id, date_trunc('day', ts)
+                                    order by event_type desc, event_id) as n
+          from events) where n = 1""",
     "dedup_lineitem": """
         select * exclude n from (
           select *, row_number() over (partition by l_partkey, l_suppkey
@@ -526,23 +666,30 @@ SQL = {
           from lineitem) where n = 1""",
     "scd_columns": """
         select event_id, user_id, timestamp '2024-06-01' as load_date, true as is_current from events""",
-    "scd2_current": """
-        with loads as (
-          select *, case when ts < timestamp '2024-01-16' then timestamp '2024-01-16'
-                         else timestamp '2024-01-31' end as load_date from events),
-        kept as (
-          select * exclude n from (
-            select *, row_number() over (partition by user_id, load_date
-                                         order by ts desc, event_id desc) as n
-            from loads) where n = 1)
-        select *, lead(load_date) over (partition by user_id order by load_date) is null as is_current
-        from kept""",
+    "scd2_current": CLOSED,
+    "close_versions": CLOSED,
+    "scd2_ties": """
+        select user_id, count(*) + count_if(event_type = 'click') as n_versions, 1::bigint as n_current
+        from events group by user_id""",
     "incremental_anti_join": """
-        select distinct user_id from events where ts >= timestamp '2024-01-28' and user_id not in (
-          select user_id from events where ts >= timestamp '2024-01-27' and ts < timestamp '2024-01-28')""",
+        with e as (select user_id, date_trunc('hour', ts)::timestamp as "timestamp", event_type from events)
+        select user_id, "timestamp" from e where event_type = 'view'
+        except select user_id, "timestamp" from e where event_type <> 'view'""",
     "correlate_clicks": ON_DAY.format(kind="click", id="click_id"),
     "correlate_conversions": ON_DAY.format(kind="purchase", id="conversion_id"),
-    "correlate_hot_keys": ON_DAY.format(kind="click", id="click_id"),
+    "correlate_hot_keys": """
+        select v.event_id, v.user_id, date_trunc('year', v.ts)::timestamp as "timestamp", v.value,
+               count(c.event_id) as n_clicks, min(c.event_id) as first_click, max(c.event_id) as last_click
+        from (select * from events where event_type = 'view') v
+        left join (select * from events where event_type = 'click') c
+          on v.user_id = c.user_id and year(v.ts) = year(c.ts)
+        group by v.event_id, v.user_id, v.ts, v.value""",
+    "correlate_bucketed": """
+        with kept as (select event_type, user_id, date_trunc('day', ts)::timestamp as "timestamp",
+                             min(event_id) as event_id from events group by all)
+        select v.event_id, v.user_id, v."timestamp", c.event_id as click_id
+        from (select * from kept where event_type = 'view') v
+        left join (select * from kept where event_type = 'click') c using (user_id, "timestamp")""",
     "correlate_exact": """
         select v.event_id, v.user_id, v.ts as "timestamp", v.value, c.event_id as click_id
         from (select * from events where event_type = 'view') v
@@ -558,6 +705,13 @@ SQL = {
         from (select * from events where event_type = 'view') v
         left join (select * from events where event_type = 'click') c
           on v.user_id = c.user_id and c.ts between v.ts and v.ts + interval 1 day""",
+    "attribute_first": """
+        with clicks as (select user_id, ts, min(event_id) as event_id from events
+                        where event_type = 'click' group by user_id, ts)
+        select v.event_id, v.user_id, v.ts as "timestamp", v.value,
+               case when c.ts <= v.ts + interval 1 day then c.event_id end as click_id
+        from (select * from events where event_type = 'view') v
+        asof left join clicks c on v.user_id = c.user_id and v.ts <= c.ts""",
     "attribute_last_touch": """
         select p.event_id, p.user_id, p.ts as "timestamp", c.event_id as click_id
         from (select * from events where event_type = 'purchase') p
@@ -601,6 +755,22 @@ SQL = {
         union all select 'invalid_timestamp', 0
         union all select 'deduplicate_data', count(*)
           from (select distinct user_id, "timestamp" from newer where user_id is not null)""",
+    "incremental_nothing_new": """
+        select 'read_staging' as operation, count(*) as record_count, false as written from events
+        union all select unnest(['filter_incremental', 'filter_data', 'invalid_timestamp', 'deduplicate_data']), 0, false""",
+    "incremental_arrivals": f"""
+        with {STAGED.format(unit="hour")}
+        select lower(user_id) as user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp", ad_creative_id,
+               event_type as website,
+               timestamp '2024-02-02' as load_date
+        from (select staged.*, event_type from staged join events on event_id::varchar = ad_creative_id)
+        where event_type <> 'click'""",
+    "stream_batches": f"""
+        with {STAGED.format(unit="day")}
+        select user_id, "timestamp", min(ad_creative_id) as ad_creative_id, 'example.com' as website,
+               timestamp '2024-06-01' as load_date, true as is_current, max_files
+        from staged, (select unnest([1, 10000]) as max_files)
+        where user_id is not null group by user_id, "timestamp", max_files""",
     "stream_of_staging": f"""
         with {STAGED.format(unit="hour")}
         select user_id, "timestamp", min(ad_creative_id) as ad_creative_id, 'example.com' as website,
@@ -620,9 +790,12 @@ SQL = {
         left join (select * from kept where event_type = 'click') c on v.user_id = c.user_id and v.day = c.day""",
     "layers_clicks": LAYERS_JOIN.format(types="'click', 'purchase', 'signup'", id="click_id"),
     "layers_conversions": LAYERS_JOIN.format(types="'purchase', 'signup'", id="conversion_id"),
+    "layers_two_loads": LAYERS_JOIN.replace("2024-06-01", "2024-07-01").format(
+        types="'click', 'purchase', 'signup'", id="click_id"
+    ),
     "layers_bids": """
         select 'USER' || user_id as user_id, event_type as location, props->>'k' as age,
-               event_id::varchar as auction_id, '0.5' as bid_amount, ts as "timestamp",
+               event_id::varchar as auction_id, value::float::varchar as bid_amount, ts as "timestamp",
                '[error, ad]' as keywords, 'mobile' as device_type, 'example.com' as website,
                timestamp '2024-06-01' as load_date, true as is_current
         from events where event_type = 'error'""",
@@ -646,15 +819,17 @@ SQL = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        scan_parquet, scan_csv, scan_json, scan_json_schema, quarantine, sink_overwrite, sink_append,
+        scan_parquet, scan_csv, scan_csv_no_header, scan_json, scan_json_multiline, scan_json_schema,
+        scan_json_schema_file, quarantine, sink_overwrite, sink_append,
         stringify_all, stringify_lineitem, flatten_json, flatten_struct, cast_timestamp,
         standardize_constant, upper_user_id, filter_not_null, incremental_filter, rename_columns,
-        derive_event_ids, derive_conversion_ids, dedup_keys, dedup_keep_latest, dedup_lineitem,
-        scd_columns, scd2_current, incremental_anti_join, correlate_clicks, correlate_conversions,
-        correlate_exact, correlate_hot_keys, attribute_interval, attribute_interval_day,
+        derive_event_ids, derive_conversion_ids, dedup_keys, dedup_keep_latest, dedup_ties, dedup_lineitem,
+        scd_columns, scd2_current, scd2_ties, close_versions, incremental_anti_join, correlate_clicks, correlate_conversions,
+        correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
-        incremental_load, incremental_skip_loaded, audit_counts, audit_incremental, stream_of_staging,
-        analytical, layers_clicks, layers_conversions, layers_bids, layers_audit,
+        incremental_load, incremental_skip_loaded, audit_counts, audit_incremental,
+        incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches,
+        analytical, layers_clicks, layers_conversions, layers_two_loads, layers_bids, layers_audit,
     )
 }
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,12 +32,30 @@ def instant(value: datetime | str, data_type: str = "timestamp") -> Column:
     return F.lit(text).cast(data_type)
 
 
-def micros(column: str) -> Column:
-    """Microseconds since the epoch, for arithmetic on time ranges."""
-    return F.unix_micros(F.col(column).cast("timestamp"))
+def micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since the epoch, for arithmetic on time ranges.
+
+    A time without a zone is taken as UTC whatever the zone of the session is, in which
+    an hour can be missing or come twice.
+    """
+    return F.expr(_micros(df, column))
 
 
-def time_bucket(column: str, width: int) -> Column:
+def time_bucket(df: DataFrame, column: str, width: int) -> Column:
     """The number of the bucket, ``width`` microseconds wide, that holds the time."""
-    at = f"unix_micros(cast(`{column}` as timestamp))"
+    at = _micros(df, column)
     return F.expr(f"({at} - pmod({at}, {width})) div {width}")
+
+
+def _micros(df: DataFrame, column: str) -> str:
+    if df.schema[column].dataType.typeName() == "timestamp_ntz":
+        # the difference of two such times needs no zone, unlike a cast or timestampdiff
+        span = f"cast(`{column}` - timestamp_ntz'1970-01-01' as interval second)"
+        return f"cast(cast({span} as decimal(18, 6)) * 1000000 as bigint)"
+    return f"unix_micros(cast(`{column}` as timestamp))"
+
+
+def refuse_column(df: DataFrame, name: str) -> None:
+    """An operator that adds a column cannot take a table that has it."""
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the table already has a column named {name}")

@@ -1,4 +1,4 @@
-from beaconmill.operators.attribution import attribute_last_touch, attribute_within
+from beaconmill.operators.attribution import attribute_first, attribute_last_touch, attribute_within
 from beaconmill.operators.cleanse import (
     convert_types,
     deduplicate,
@@ -8,7 +8,7 @@ from beaconmill.operators.cleanse import (
     standardize,
     uppercase,
 )
-from beaconmill.operators.correlate import correlate, hot_keys
+from beaconmill.operators.correlate import correlate
 from beaconmill.operators.staging import (
     clicks_of,
     conversions_of,
@@ -17,9 +17,10 @@ from beaconmill.operators.staging import (
     stamp_arrival,
     stringify,
 )
-from beaconmill.operators.versions import close_out, not_loaded, within_span
+from beaconmill.operators.versions import close_out, current_versions, not_loaded, within_span
 
 __all__ = [
+    "attribute_first",
     "attribute_last_touch",
     "attribute_within",
     "clicks_of",
@@ -27,10 +28,10 @@ __all__ = [
     "conversions_of",
     "convert_types",
     "correlate",
+    "current_versions",
     "deduplicate",
     "drop_null_keys",
     "flatten",
-    "hot_keys",
     "newer_than",
     "not_loaded",
     "rename_interactions",

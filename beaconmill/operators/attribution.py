@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconmill.functions import all_present, micros, time_bucket
+from beaconmill.functions import all_present, micros, refuse_column, time_bucket
 from beaconmill.schemas import TIME, USER
 
 
@@ -35,6 +35,7 @@ def attribute_within(
     per bucket: two rows, however many events the bucket holds. Both joins read
     one shuffle of the impressions.
     """
+    refuse_column(impressions, id_column)
     width = _width(tolerance)
     timed = all_present([user, time])
     left = _bucketed(impressions.filter(timed), time, width)
@@ -68,7 +69,7 @@ def _width(span: timedelta) -> int:
 def _bucketed(df: DataFrame, time: str, width: int) -> DataFrame:
     """Adds ``_at`` and ``_bucket`` to rows whose time is present. Declared free of NULL,
     they give every join on them the same plan, and one shuffle serves them all."""
-    at, bucket = micros(time), time_bucket(time, width)
+    at, bucket = micros(df, time), time_bucket(df, time, width)
     columns = {"_at": F.coalesce(at, F.lit(0)), "_bucket": F.coalesce(bucket, F.lit(0))}
     return df.withColumns(columns)
 
@@ -79,6 +80,55 @@ def _and_the_one_before(df: DataFrame) -> DataFrame:
     return df.withColumn("_under", shifted).drop("_bucket").withColumnRenamed("_under", "_bucket")
 
 
+def attribute_first(
+    impressions: DataFrame,
+    events: DataFrame,
+    id_column: str,
+    tolerance: timedelta,
+    user: str = USER,
+    time: str = TIME,
+) -> DataFrame:
+    """Each impression with the id of the user's first event from its time until ``tolerance`` later, or NULL.
+
+    One row per impression, and no pairs are formed on the way: of several events at one
+    instant the smallest id counts, and a window finds the next event of the same bucket.
+    With buckets as wide as the tolerance, the only other one it can lie in is the next,
+    of which the first event is enough.
+    """
+    refuse_column(impressions, id_column)
+    width = _width(tolerance)
+    none = F.lit(None).cast(events.schema[id_column].dataType)
+    both = (
+        impressions.select(user, time, none.alias(id_column), F.lit(True).alias("_asked"))
+        .unionByName(events.select(user, time, id_column, F.lit(False).alias("_asked")))
+        .filter(all_present([user, time]))
+    )
+    instants = (
+        both.withColumns({"_at": micros(both, time), "_bucket": time_bucket(both, time, width)})
+        .groupBy(user, "_bucket", time, "_at")
+        .agg(F.min(id_column).alias("_id"), F.max("_asked").alias("_asked"))
+    )
+    when = F.when(F.col("_id").isNotNull(), F.struct("_at", "_id"))
+    from_now = W.partitionBy(user, "_bucket").orderBy("_at").rowsBetween(0, W.unboundedFollowing)
+    inside = instants.withColumn("_next", F.first(when, ignorenulls=True).over(from_now))
+    # the first event of each bucket, under the bucket before it; read from the windows' own shuffle
+    later = (
+        inside.filter("_id is not null")
+        .groupBy(user, "_bucket")
+        .agg(F.min(when).alias("_later"))
+        .select(user, (F.col("_bucket") - 1).alias("_bucket"), "_later")
+    )
+    found = F.coalesce("_next", "_later")
+    answers = (
+        inside.filter("_asked")
+        .join(later, [user, "_bucket"], "left_outer")
+        .select(user, time, F.when(found["_at"] - F.col("_at") <= width, found["_id"]).alias(id_column))
+    )
+    same = (F.col(f"i.{user}") == F.col(f"a.{user}")) & (F.col(f"i.{time}") == F.col(f"a.{time}"))
+    joined = impressions.alias("i").join(answers.alias("a"), same, "left_outer")
+    return joined.select("i.*", F.col(f"a.{id_column}"))
+
+
 def attribute_last_touch(
     events: DataFrame,
     touches: DataFrame,
@@ -95,15 +145,18 @@ def attribute_last_touch(
     bucket. A window group holds at most the instants of one bucket, or the
     buckets of one user. The answers then join back to all events.
     """
+    refuse_column(events, id_column)
     width = _width(bucket)
     asked = events.select(user, time).withColumn(
         id_column, F.lit(None).cast(touches.schema[id_column].dataType)
     )
-    instants = (
+    both = (
         asked.withColumn("_asked", F.lit(True))
         .unionByName(touches.select(user, time, id_column).withColumn("_asked", F.lit(False)))
         .filter(all_present([user, time]))
-        .withColumn("_bucket", time_bucket(time, width))
+    )
+    instants = (
+        both.withColumn("_bucket", time_bucket(both, time, width))
         .groupBy(user, "_bucket", time)
         .agg(F.max(id_column).alias("_id"), F.max("_asked").alias("_asked"))
     )
@@ -111,8 +164,9 @@ def attribute_last_touch(
     inside = instants.withColumn("_inside", F.last("_id", ignorenulls=True).over(until_now))
 
     earlier = W.partitionBy(user).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    # read from the windows' own shuffle, which is on the same columns
     carried = (
-        instants.groupBy(user, "_bucket")
+        inside.groupBy(user, "_bucket")
         .agg(
             F.max_by("_id", F.when(F.col("_id").isNotNull(), F.col(time))).alias("_last"),
             F.max("_asked").alias("_asked"),

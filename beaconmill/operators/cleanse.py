@@ -38,17 +38,16 @@ def deduplicate(
 ) -> DataFrame:
     """One row per key; NULL equals NULL. ``order_by`` says which row comes first.
 
-    Without it any row would do; taking the smallest of the remaining columns
-    makes the choice repeatable when tasks are run again. Spark cuts every key
+    Without it any row would do. The remaining columns settle what it leaves open, so the
+    choice is the same however rows are dealt and when tasks are run again. Spark cuts every key
     to one row before the shuffle as well as after (``WindowGroupLimit``), so a
     key that fills a third of the table reaches its reducer as one row per task.
     """
     if set(keys) == set(df.columns):
         return df.distinct()  # hash aggregate, no sort
-    if order_by is None:
-        rest = [f.name for f in df.schema.fields if f.name not in keys and _sortable(f.dataType)]
-        order_by = [F.col(c) for c in rest] or [F.col(c) for c in keys]
-    window = W.partitionBy(*keys).orderBy(*order_by)
+    rest = [f.name for f in df.schema.fields if f.name not in keys and _sortable(f.dataType)]
+    order = [*(order_by or []), *(F.col(c) for c in rest)] or [F.col(c) for c in keys]
+    window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 

@@ -9,113 +9,41 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconmill.functions import all_present
+from beaconmill.functions import all_present, refuse_column
 from beaconmill.schemas import KEYS
 
-ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 100_000
-
 
 def correlate(
     impressions: DataFrame,
     events: DataFrame,
     id_column: str,
     keys: Sequence[str] = KEYS,
-    rows_per_task: int | None = ROWS_PER_TASK,
+    one_per_key: bool = False,
 ) -> DataFrame:
     """Impressions left outer join events on the keys: all impression columns and the id.
 
     Every impression stays; one with several events comes out several times; a
     NULL key never matches.
 
-    Adaptive execution splits a key that is hot among the impressions, but in a
-    left outer join it cannot split the other side. So keys with more than
-    ``rows_per_task`` events are looked for first and, where there are any, their
-    events are spread over several tasks. Pass ``rows_per_task=None`` for events
-    that are known to be few per key, as they are after a load.
+    In an outer join adaptive execution can split a key that is hot on the left, but
+    not on the right. So matches are an inner join, in which it splits either side,
+    and impressions without one are found against the distinct keys of the events.
+    Both joins read one shuffle of the impressions. Pass ``one_per_key`` for events that
+    hold each key once, as current rows do: they need no splitting, and one outer join does.
     """
-    ids = events.select(*keys, id_column).filter(all_present(keys))
-    hot = None if rows_per_task is None else hot_keys(ids, keys, rows_per_task)
-    if hot is None:
+    refuse_column(impressions, id_column)
+    if one_per_key:
+        ids = events.select(*keys, id_column).filter(all_present(keys))
         joined = impressions.alias("i").join(ids.alias("e"), _equal(keys), "left_outer")
         return joined.select("i.*", F.col(f"e.{id_column}"))
-    return _correlate_salted(impressions, ids, id_column, keys, hot)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
-    """The keys with about ``rows_per_task`` rows or more, and into how many
-    ``pieces`` to split each; None if there are none.
-
-    The estimate decides only how work is spread, never which rows take part, so
-    a share of the rows is enough: about 1000 of each key that is just hot. The
-    answer is fixed here, at most ``MAX_HOT_KEYS`` rows, so that both sides of a
-    join are sure to see the same one. Were there more, the rest would each hold
-    less than a hundred-thousandth of the table and join unsplit.
-    """
-    share = min(1.0, 1000 / rows_per_task)
-    seen = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=17)
-    top = (
-        seen.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > rows_per_task * share)
-        .select(*keys, F.ceil(F.col("rows") / (rows_per_task * share)).cast("int").alias("pieces"), "rows")
-        .orderBy(F.desc("rows"))
-        .limit(MAX_HOT_KEYS)
-        .drop("rows")
-    )
-    found = top.toArrow()  # Python's datetimes could not tell the two 02:30 of a clock change
-    return df.sparkSession.createDataFrame(found) if found.num_rows else None
-
-
-def _correlate_salted(
-    impressions: DataFrame, ids: DataFrame, id_column: str, keys: Sequence[str], hot: DataFrame
-) -> DataFrame:
-    """The same left outer join with the events of hot keys spread over pieces.
-
-    An impression of a hot key goes to all its pieces, which is no more work
-    than its matches are. A hot key has events by definition, so its impressions
-    all match: a copy that met an empty piece is dropped and nothing is lost.
-    Equal events are counted before the shuffle and unfolded after the join; a
-    count larger than the number of pieces is shared out among all of them.
-    """
-    few = F.broadcast(hot)  # MAX_HOT_KEYS rows at most
-    pieces = F.coalesce("h.pieces", F.lit(1))
-    left = (
-        impressions.alias("l")
-        .join(few.alias("h"), _equal(keys, "l", "h"), "left_outer")
-        .select(
-            "l.*",
-            F.col("h.pieces").isNotNull().alias("_hot"),
-            F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece"),
-        )
-    )
-    each, over = F.expr("_copies div _pieces"), F.expr("_copies % _pieces")
-    parts = F.when(each > 0, F.col("_pieces")).otherwise(over).cast("int")
-    right = (
-        ids.groupBy(*keys, id_column)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .alias("l")
-        .join(few.alias("h"), _equal(keys, "l", "h"), "left_outer")
-        .select("l.*", pieces.alias("_pieces"))
-        .select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-        .select(
-            *keys,
-            id_column,
-            F.pmod(F.xxhash64(id_column) + F.col("_part"), "_pieces").cast("int").alias("_piece"),
-            (each + F.when(F.col("_part") < over, 1).otherwise(0)).cast("int").alias("_copies"),
-        )
-    )
-    joined = (
-        left.alias("i")
-        .join(right.alias("e"), _equal([*keys, "_piece"]), "left_outer")
-        .filter(~F.col("i._hot") | F.col("e._copies").isNotNull())
-    )
-    copies = F.coalesce("e._copies", F.lit(1))
-    return joined.select(
-        *[F.col(f"i.`{c}`") for c in impressions.columns],
-        F.col(f"e.{id_column}"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
-    ).drop("_copy")
+    present = all_present(keys)
+    left = impressions.filter(present)
+    ids = events.select(*keys, id_column).filter(present)
+    kept = [F.col(f"i.`{c}`") for c in impressions.columns]
+    matched = left.alias("i").join(ids.alias("e"), _equal(keys), "inner").select(*kept, F.col(f"e.{id_column}"))
+    missed = left.alias("i").join(ids.select(*keys).distinct().alias("e"), _equal(keys), "left_anti").select(*kept)
+    without = missed.union(impressions.filter(~present))
+    return matched.union(without.withColumn(id_column, F.lit(None).cast(events.schema[id_column].dataType)))
 
 
 def _equal(columns: Sequence[str], left: str = "i", right: str = "e") -> Column:

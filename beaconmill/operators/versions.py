@@ -6,23 +6,45 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, TIME
 
 
 def close_out(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Set ``is_current`` on the newest version of every key and clear it on the others.
+    """Set ``is_current`` on one version of every key and clear it on the others.
 
-    The newest load per key is a hash aggregate that combines before the
-    shuffle. Joining it back on key and load date, rather than ranking whole
-    rows in a window, leaves no task that must hold all versions of one key.
+    The newest load date decides, then a hash of the row's content, then, among equal
+    rows, any one of them. Each task cuts a key to its newest version before the shuffle
+    (``WindowGroupLimit``); joining that back on key, load date and hash leaves no task
+    that must hold all versions of one key, only equal copies of one row meet.
     """
-    newest = df.groupBy(*keys).agg(F.max(LOAD_DATE).alias(LOAD_DATE)).withColumn("_newest", F.lit(True))
-    versions = df.drop(IS_CURRENT).alias("v")
-    joined = versions.join(newest.alias("n"), _same([*keys, LOAD_DATE], "v", "n"), "left_outer")
-    return joined.select("v.*", F.coalesce("n._newest", F.lit(False)).alias(IS_CURRENT))
+    marked = df.drop(IS_CURRENT).withColumn("_hash", _content(df, keys))
+    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), "_hash")
+    at = [*keys, LOAD_DATE, "_hash"]
+    top = marked.select(*at, F.row_number().over(newest).alias("_rank")).filter("_rank = 1").drop("_rank")
+    copies = W.partitionBy(*at).orderBy("_hash")
+    joined = marked.alias("v").join(top.withColumn("_newest", F.lit(True)).alias("n"), _same(at, "v", "n"), "left_outer")
+    ranked = joined.select("v.*", "n._newest").withColumn("_copy", F.when(F.col("_newest"), F.row_number().over(copies)))
+    current = F.coalesce(F.col("_copy") == 1, F.lit(False)).alias(IS_CURRENT)
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns if c != IS_CURRENT], current)
+
+
+def current_versions(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Just the version of every key that ``close_out`` calls current, whether or not it has run.
+
+    One shuffle on the keys, which a join on them afterwards reuses.
+    """
+    marked = df.withColumn("_hash", _content(df, keys))
+    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), "_hash")
+    return marked.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank", "_hash")
+
+
+def _content(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A hash of what a row holds beside its key and version columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns) if c not in (*keys, LOAD_DATE, IS_CURRENT)], F.lit(0))
 
 
 def not_loaded(incoming: DataFrame, target: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -1,7 +1,7 @@
 from beaconmill.plans.analytical import correlate_layers, load_all, run_all
 from beaconmill.plans.audit import append_audit, counted, measure, read_audit
 from beaconmill.plans.ingest import malformed_rows, snapshot, stage, staged
-from beaconmill.plans.layers import Layers, append, overwrite, read_if_present, read_layer
+from beaconmill.plans.layers import Buckets, Layers, append, overwrite, read_if_present, read_layer, save_arrivals
 from beaconmill.plans.loads import (
     cleanse,
     close_versions,
@@ -12,6 +12,7 @@ from beaconmill.plans.loads import (
 )
 
 __all__ = [
+    "Buckets",
     "Layers",
     "append",
     "append_audit",
@@ -30,6 +31,7 @@ __all__ = [
     "read_audit",
     "read_if_present",
     "read_layer",
+    "save_arrivals",
     "run_all",
     "snapshot",
     "stage",

@@ -17,7 +17,7 @@ from beaconmill.operators import (
     stringify,
 )
 from beaconmill.plans.audit import append_audit, counted
-from beaconmill.plans.layers import Layers, overwrite, read_layer, save_arrivals
+from beaconmill.plans.layers import Layers, at_once, overwrite, read_layer, save_arrivals
 from beaconmill.schemas import MALFORMED
 from beaconmill.sources import SourceSpec, read_source, readable, split_malformed
 
@@ -37,16 +37,21 @@ def snapshot(spark: SparkSession, specs: Iterable[SourceSpec], layers: Layers) -
     its own column, which costs next to nothing where it is NULL, and such rows are
     copied from the snapshot to the quarantine layer.
     """
-    counts = {}
-    for spec in specs:
+
+    def land(spec: SourceSpec) -> dict[str, int]:
         landed = layers.path("snapshot", spec.name)
         keep = spec.format == "csv" or (spec.format == "json" and spec.schema is not None)
         overwrite(read_source(spark, spec, keep_malformed=keep), landed, reads=spec.path)
         _, malformed = split_malformed(read_layer(spark, landed))
-        if MALFORMED in malformed.columns:
-            rows, written = counted(malformed)
-            overwrite(rows, layers.path("quarantine", spec.name))
-            counts[f"malformed_{spec.name}"] = written()
+        if MALFORMED not in malformed.columns:
+            return {}
+        rows, written = counted(malformed)
+        overwrite(rows, layers.path("quarantine", spec.name))
+        return {f"malformed_{spec.name}": written()}
+
+    counts = {}
+    for found in at_once(lambda s=spec: land(s) for spec in specs):
+        counts |= found
     if counts:
         append_audit(spark, layers.audit, counts.items())
 
@@ -63,14 +68,17 @@ def stage(
     datasets: Iterable[str] = tuple(STAGED),
     mode: str = "overwrite",
 ) -> None:
-    """Snapshot to staging, one map-only job per dataset. ``mode="append"`` keeps
+    """Snapshot to staging, one map-only job per dataset, side by side. ``mode="append"`` keeps
     what arrived earlier, for incremental loads to choose from. Rows of which nothing
     could be read stay behind."""
-    for dataset in datasets:
+
+    def one(dataset: str) -> None:
         origin, make = STAGED[dataset]
         df = make(readable(read_layer(spark, layers.path("snapshot", origin))))
         save_arrivals(staged(df, arrived), layers.path("staging", dataset), arrived, mode)
 
+    at_once(lambda d=dataset: one(d) for dataset in datasets)
+
 
 def malformed_rows(spark: SparkSession, layers: Layers, dataset: str) -> DataFrame:
     """The raw text of the rows of a source that did not parse."""

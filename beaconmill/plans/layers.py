@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -98,26 +98,20 @@ def append(df: DataFrame, path: str, buckets: Buckets | None = None) -> None:
 
 
 def _save(df: DataFrame, path: str, mode: str, buckets: Buckets | None) -> None:
-    with _timestamps_with_statistics(df.sparkSession):
-        if buckets is None:
-            df.write.mode(mode).parquet(path)
-        else:
-            keys = list(buckets.keys)
-            writer = df.write.mode(mode).format("parquet").option("path", path)
-            writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
-
-
-@contextmanager
-def _timestamps_with_statistics(spark: SparkSession):
-    """Spark's default Parquet timestamp has no minimum and maximum per row group, so
-    no filter on time could skip any. The setting exists for the session only."""
-    setting = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "TIMESTAMP_MICROS")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    times_with_statistics(df.sparkSession)
+    if buckets is None:
+        df.write.mode(mode).parquet(path)
+    else:
+        keys = list(buckets.keys)
+        writer = df.write.mode(mode).format("parquet").option("path", path)
+        writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
+
+
+def times_with_statistics(spark: SparkSession) -> None:
+    """Spark's default Parquet timestamp has no minimum and maximum per row group, so no
+    filter on time could skip any. There is a setting for the session only. It is set
+    before each write and left so: setting it back would race with another write."""
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
 
 def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str) -> None:
@@ -126,12 +120,19 @@ def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str)
     spark = df.sparkSession
     at = spark.range(1).select(F.unix_micros(instant(arrived))).first()[0]
     writer = df.withColumn(ARRIVAL, F.lit(at)).write.mode(mode)
-    with _timestamps_with_statistics(spark):
-        writer.option("partitionOverwriteMode", "static").partitionBy(ARRIVAL).parquet(path)
+    times_with_statistics(spark)
+    writer.option("partitionOverwriteMode", "static").partitionBy(ARRIVAL).parquet(path)
     if read_if_present(spark, path) is None:
         # No row, hence no directory: leave an empty file that tells the columns.
         append(df.limit(0), f"{path}/{ARRIVAL}={at}")
 
 
+def at_once(jobs: Iterable[Callable[[], object]], most: int = 4) -> list:
+    """Independent jobs side by side, so that one's last tasks leave no executor idle. The
+    first failure is raised after all have ended."""
+    with ThreadPoolExecutor(most) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def _clean(path: str) -> str:
     return os.path.normpath(path.removeprefix("file://"))

@@ -93,7 +93,7 @@ def full_load(
 ) -> dict[str, int]:
     """Replace an ingestion dataset by all that is staged; returns the audited counts."""
     staging = read_layer(spark, staging_path)
-    counts = measure(staging, {READ_STAGING: rows_where(), **_checks()})
+    counts = measure(staging, {READ_STAGING: rows_where(), **checks()})
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
     overwrite(rows, output_path, reads=staging_path, buckets=buckets)
     counts[DEDUPLICATE_DATA] = written()
@@ -121,7 +121,7 @@ def incremental_load(
     staging = read_layer(spark, staging_path)
     counts = {READ_STAGING: staging.count()}  # from the Parquet footers
     newer = newer_than(staging, last_load_date)
-    seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **_checks(), **time_span()})
+    seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **checks(), **time_span()})
     span = seen.pop("first"), seen.pop("last")
     counts |= seen
     if counts[FILTER_DATA]:
@@ -160,7 +160,7 @@ def loaded_within(
     return None if target is None else within_span(target, first, last)
 
 
-def _checks() -> dict[str, Column]:
+def checks() -> dict[str, Column]:
     """What a load audits about its input: rows kept by the filter, and among
     these the timestamps that are lost because they do not parse."""
     kept = F.col(USER).isNotNull()

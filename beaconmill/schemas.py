@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 # Field names and types of the sources, as their producers ship them.
@@ -45,7 +46,6 @@ MALFORMED = "_corrupt_record"
 AUDIT = "operation string, record_count bigint, operation_timestamp timestamp"
 
 
-def schema_from_file(path: str) -> StructType:
-    """The ``StructType`` kept as JSON (``df.schema.json()``) in a local file."""
-    with open(path, encoding="utf-8") as file:
-        return StructType.fromJson(json.load(file))
+def schema_from_file(spark: SparkSession, path: str) -> StructType:
+    """The ``StructType`` kept as JSON (``df.schema.json()``) in a file that Spark can read."""
+    return StructType.fromJson(json.loads(spark.read.text(path, wholetext=True).first().value))

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+SETTING = "spark.checkpoint.dir"
+
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting: a temporary folder of one
-    machine is invisible to the others.
+    A local session that does not name one gets one of its own, set as that setting for
+    the rest of the session and removed when the process ends. Elsewhere it must be set: a
+    folder of one machine is invisible to the others.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get(SETTING, None)
     if shared is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            raise ValueError(f"set {SETTING} to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="beaconmill-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        spark.conf.set(SETTING, shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session made, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -22,7 +22,7 @@ def read_json_strings(
     Without either Spark infers one, which reads the whole input once more.
     """
     if schema_file is not None:
-        schema = schema_from_file(schema_file)
+        schema = schema_from_file(spark, schema_file)
     spec = SourceSpec("json", "json", path, schema, {"multiLine": multi_line})
     return stringify(flatten(read_source(spark, spec)))
 

@@ -64,7 +64,8 @@ def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = Fa
 
     A CSV header names the columns, all strings. It has to be the same in all
     files: Spark would take the first one for all and mix up the columns of a
-    file that has another, so that file fails here.
+    file that has another, so that file fails here. Where names repeat or are
+    missing, and Spark invents others, the header lines are compared as they stand.
 
     With ``keep_malformed`` a JSON or CSV row that does not parse keeps its raw
     text in ``_corrupt_record``; see ``split_malformed``. JSON needs a schema for it.
@@ -75,8 +76,10 @@ def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = Fa
     schema = StructType.fromDDL(spec.schema) if isinstance(spec.schema, str) else spec.schema
     if spec.format == "csv" and schema is None and not _flag(spec.options.get("inferSchema")):
         schema = reader.load(spec.path).schema  # reads one line
-        if schema.names == _first_line(spark, spec):  # else Spark had to invent names
+        if schema.names == _first_line(spark, spec):
             reader = reader.option("enforceSchema", False)
+        elif _flag(spec.options.get("header")):  # Spark had to invent names
+            _check_headers(spark, spec)
     if keep_malformed and spec.format in ("json", "csv"):
         if schema is None:
             raise ValueError(f"{spec.name}: keeping malformed rows needs a schema")
@@ -123,30 +126,36 @@ def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
     file further on with another layout shows up in the count of malformed rows, so
     a look at one line is enough, however many files there are.
 
-    Newline-delimited JSON read as multi-line gives the first row of each file and no
-    sign of the others. So there every file is looked at, which reads the text twice.
+    Read as multi-line, a file gives what its first value holds, one object or one array,
+    and no sign of anything after it. So there every file has to be one value, which
+    reads the text twice, by files and without a shuffle.
     """
-    text = spark.read.text(path).select(
-        F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    lines = text.filter("line <> ''")
+    trimmed = F.btrim("value", F.lit(" \t\r\n\ufeff"))
+    text = spark.read.text(path, wholetext=multi_line)
+    text = text.select(trimmed.alias("text"), F.col("_metadata.file_path").alias("file")).filter("text <> ''")
     if not multi_line:
-        first = lines.first()
-        if first is not None and first.line.startswith("["):
+        first = text.first()
+        if first is not None and first.text.startswith("["):
             raise ValueError(f"{first.file} holds a JSON array: read it with multiLine=True")
         return
-    ends = F.concat(F.substring("line", 1, 1), F.substring("line", -1, 1))
-    wrong = (
-        lines.withColumn("row", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by(ends, F.struct("block", "row")).alias("ends"), F.count(F.lit(1)).alias("lines"))
-        .filter("ends = '{}' and lines > 1")
-        .first()
-    )
+    # as an element of an array a value counts once; several, with or without commas, do not
+    values = F.json_array_length(F.concat(F.lit("["), "text", F.lit("]")))
+    wrong = text.filter(~(F.coalesce(values, F.lit(0)) == 1)).select("file").first()
     if wrong is not None:
-        raise ValueError(f"{wrong.file} holds one JSON object per line: read it without multiLine")
+        raise ValueError(f"{wrong.file} is not one JSON object or array: read one object per line without multiLine")
+
+
+def _check_headers(spark: SparkSession, spec: SourceSpec) -> None:
+    """Raise unless the first lines of all files are the same."""
+    lines = spark.read.text(spec.path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    )
+    headers = lines.filter("trim(value) <> ''").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = headers.groupBy(F.btrim("header", F.lit("\r\ufeff")).alias("header")).agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"{found[1].file} has another header than {found[0].file}: {found[1].header!r}, {found[0].header!r}")
 
 
 def _first_line(spark: SparkSession, spec: SourceSpec) -> list[str]:

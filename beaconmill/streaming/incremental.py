@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, counted, measure, rows_where
-from beaconmill.plans.layers import Buckets, append, with_arrivals
-from beaconmill.plans.loads import cleanse, loaded_within, time_span
-from beaconmill.schemas import KEYS, STREAM_LOAD, STREAM_READ
+from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, with_arrivals
+from beaconmill.plans.loads import checks, cleanse, loaded_within, time_span
+from beaconmill.schemas import INVALID_TIMESTAMP, KEYS, STREAM_LOAD, STREAM_READ
+from beaconmill.scratch import remove_dir
 
 
 def stream_load(
@@ -27,31 +28,41 @@ def stream_load(
 ) -> None:
     """Load the staged files that no earlier run has loaded, then stop.
 
-    ``max_files`` bounds one micro-batch. Rows whose key is already loaded are
-    left out by a join with the output rather than by state that would grow with
-    every key ever seen; it also makes a batch that runs again after a failure
-    harmless, as its rows are then found to be loaded.
+    ``max_files`` bounds one micro-batch. The batches only cleanse and set aside, a
+    directory for each, next to the checkpoint; what all of them brought is then
+    deduplicated and loaded as one, so the result does not depend on how files fell into
+    batches. Rows whose key is already loaded are left out by a join with the output
+    rather than by state that would grow with every key ever seen. It also makes a
+    second try harmless after a failure between loading and clearing away, and what
+    failed before loading is loaded by the next run.
     """
+    pending = f"{checkpoint_path.rstrip('/')}_pending"
 
-    def load(batch: DataFrame, _: int) -> None:
-        rows = deduplicate(cleanse(with_arrivals(batch)), keys)
-        counts = measure(batch, {STREAM_READ: rows_where(), **time_span()})
-        target = loaded_within(spark, output_path, counts.pop("first"), counts.pop("last"))
-        if target is not None:
-            rows = not_loaded(rows, target, keys)
-        stamped, written = counted(stamp_version(rows, load_ts))
-        append(stamped, output_path, buckets)
-        counts[STREAM_LOAD] = written()
-        append_audit(spark, audit_path, counts.items())
+    def set_aside(batch: DataFrame, number: int) -> None:
+        counts = measure(batch, {STREAM_READ: rows_where(), **checks()})
+        overwrite(cleanse(with_arrivals(batch)), f"{pending}/batch={number}")
+        append_audit(spark, audit_path, [(name, counts[name]) for name in (STREAM_READ, INVALID_TIMESTAMP)])
 
     schema = spark.read.parquet(staging_path).schema
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files)
         .parquet(staging_path)
-        .writeStream.foreachBatch(load)
+        .writeStream.foreachBatch(set_aside)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    brought = read_if_present(spark, pending)
+    if brought is None:
+        return
+    rows = deduplicate(brought.drop("batch"), keys)
+    span = measure(brought, time_span())
+    target = loaded_within(spark, output_path, span["first"], span["last"])
+    if target is not None:
+        rows = not_loaded(rows, target, keys)
+    stamped, written = counted(stamp_version(rows, load_ts))
+    append(stamped, output_path, buckets)
+    append_audit(spark, audit_path, [(STREAM_LOAD, written())])
+    remove_dir(spark, pending)

@@ -146,16 +146,14 @@ FANOUT = (
 )
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 1, 1_000_000])
-def test_correlate_keeps_impressions_and_fans_out(spark, rows_per_task):
-    got = ops.correlate(*frames(spark, *FANOUT), "click_id", rows_per_task=rows_per_task)
+def test_correlate_keeps_impressions_and_fans_out(spark):
+    got = ops.correlate(*frames(spark, *FANOUT), "click_id")
     assert got.columns == ["user_id", "timestamp", "ad", "click_id"]
     assert Counter(map(tuple, got.collect())) == expected_correlation(*FANOUT)
     assert got.count() == 7
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 1, 3, 10, 200])
-def test_correlate_with_a_hot_key_of_copies(spark, rows_per_task):
+def test_correlate_with_a_hot_key_of_copies(spark):
     """A third of the events are copies of one, a third share its key, on few impressions."""
     draw = random.Random(3)
     impressions = [("hot", 1, "h1"), ("hot", 1, "h2"), ("hot", 2, "h3"), (None, 1, "n")] + [
@@ -164,21 +162,71 @@ def test_correlate_with_a_hot_key_of_copies(spark, rows_per_task):
     events = [("hot", 1, "copy")] * 200 + [("hot", 1, f"c{i % 150}") for i in range(200)]
     events += [(f"u{draw.randrange(20)}", draw.randrange(4), f"e{i % 60}") for i in range(200)]
     events += [("hot", 1, None), ("absent", 1, "never")] + [("absent", 2, "never")] * 50
-    got = ops.correlate(*frames(spark, impressions, events), "click_id", rows_per_task=rows_per_task)
+    got = ops.correlate(*frames(spark, impressions, events), "click_id")
     assert Counter(map(tuple, got.collect())) == expected_correlation(impressions, events)
 
 
-def test_hot_keys_are_found_with_their_number_of_pieces(spark):
-    df = spark.createDataFrame([("h", 1)] * 25 + [("u", i) for i in range(9)], "user_id string, timestamp int")
-    assert ops.hot_keys(df, ["user_id", "timestamp"], 10).collect() == [("h", 1, 3)]
-    assert ops.hot_keys(df, ["user_id", "timestamp"], 100) is None
-
-
-def test_hot_keys_are_found_from_a_share_of_the_rows(spark):
-    df = spark.range(400_000).selectExpr("if(id % 3 = 0, 'h', concat('u', id)) as user_id", "1 as timestamp")
-    found = ops.hot_keys(df, ["user_id", "timestamp"], 10_000).collect()
-    assert [r.user_id for r in found] == ["h"]
-    assert 12 <= found[0].pieces <= 15
+def test_one_event_per_key_needs_one_join(spark):
+    events = [e for i, e in enumerate(FANOUT[1]) if i != 1]
+    got = ops.correlate(*frames(spark, FANOUT[0], events), "click_id", one_per_key=True)
+    assert Counter(map(tuple, got.collect())) == expected_correlation(FANOUT[0], events)
+
+
+def test_a_column_of_the_ids_name_is_refused(spark):
+    views, clicks = frames(spark, *FANOUT)
+    taken = views.withColumnRenamed("ad", "Click_id")
+    for add in (ops.correlate, ops.attribute_last_touch):
+        with pytest.raises(ValueError, match="click_id"):
+            add(taken, clicks, "click_id")
+    for add in (ops.attribute_within, ops.attribute_first):
+        with pytest.raises(ValueError, match="click_id"):
+            add(taken, clicks, "click_id", timedelta(minutes=1))
+
+
+def test_ties_are_settled_by_the_data(spark):
+    rows = [(i % 7, 1, f"x{i}", 5) for i in range(2000)]
+    df = spark.createDataFrame(rows, "user_id int, timestamp int, ad string, rank int")
+    for add in (lambda d: ops.deduplicate(d, order_by=[F.desc("rank")]),):
+        results = {tuple(sorted(map(tuple, add(df.repartition(n)).collect()))) for n in (1, 3, 8)}
+        assert len(results) == 1
+
+
+def test_one_version_stays_current_when_load_dates_tie(spark):
+    rows = [(1, "a", 1), (1, "b", 1), (1, "b", 1), (2, "c", 1), (None, "d", 1), (None, "d", 0)]
+    df = spark.createDataFrame(rows, "user_id int, ad string, day int").selectExpr("user_id", "ad", "timestamp_seconds(day) as load_date", "true as is_current")
+    for n in (1, 3, 8):
+        out = ops.close_out(df.repartition(n), ["user_id"])
+        assert {r.user_id: r.n for r in out.groupBy("user_id").agg(F.count_if("is_current").alias("n")).collect()} == {1: 1, 2: 1, None: 1}
+        assert out.count() == 6
+        current = sorted(map(tuple, out.filter("is_current").select("user_id", "ad").collect()), key=repr)
+        assert sorted(map(tuple, ops.current_versions(df.repartition(n), ["user_id"]).select("user_id", "ad").collect()), key=repr) == current
+
+
+def test_times_without_zone_do_not_follow_the_sessions_clock(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select 'u' as user_id, timestamp_ntz'2024-03-10 03:01:00' as timestamp, 1 as event_id")
+        touch = spark.sql("select 'u' as user_id, timestamp_ntz'2024-03-10 02:30:00' as timestamp, 9 as touch")
+        assert ops.attribute_last_touch(df, touch, "touch").first().touch == 9
+        before = spark.sql("select 'u' as user_id, timestamp_ntz'2024-03-10 01:59:00' as timestamp, 1 as ad")
+        after = df.withColumnRenamed("event_id", "click_id")
+        for add in (ops.attribute_within, ops.attribute_first):
+            assert add(before, after, "click_id", timedelta(minutes=10)).first().click_id is None
+            assert add(before, after, "click_id", timedelta(minutes=62)).first().click_id == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_first_events_equal_brute_force(spark):
+    draw = random.Random(8)
+    views = [(draw.choice(["u", "v", None]), draw.choice([None, *range(40)]), f"i{i}") for i in range(120)]
+    clicks = [(draw.choice(["u", "v", "w", None]), draw.choice([None, *range(0, 60, 3)]), f"c{i}") for i in range(60)]
+    left, right = (df.withColumn("timestamp", F.timestamp_seconds("timestamp")) for df in frames(spark, views, clicks))
+    got = {r.ad: r.click_id for r in ops.attribute_first(left, right, "click_id", timedelta(seconds=5)).collect()}
+    for user, at, ad in views:
+        near = [(t, c) for u, t, c in clicks if None not in (user, at, t) and u == user and at <= t <= at + 5]
+        assert got[ad] == (min(near)[1] if near else None)
 
 
 # ------------------------------------------------------------ attribution

@@ -55,24 +55,45 @@ def test_a_load_is_one_shuffle_and_cuts_keys_before_it(staging):
 def test_loaded_frames_correlate_without_another_shuffle(staging):
     loaded = plans.full_load_frame(staging, "2024-06-01")
     other = plans.full_load_frame(staging.withColumnRenamed("ad", "click_id"), "2024-06-01")
-    text = plan(ops.correlate(loaded, other, "click_id", rows_per_task=None))
+    text = plan(ops.correlate(loaded, other, "click_id", one_per_key=True))
     assert text.count("Exchange hashpartitioning") <= 3
 
 
 def test_correlation_reads_three_columns_of_the_events(staging):
     events = staging.withColumnRenamed("ad", "click_id")
-    text = plan(ops.correlate(staging, events, "click_id", rows_per_task=None))
+    text = plan(ops.correlate(staging, events, "click_id", one_per_key=True))
     assert "ReadSchema: struct<user_id:string,timestamp:string,ad:string>" in text
     assert "PushedFilters: [IsNotNull(user_id), IsNotNull(timestamp)]" in text
 
 
 def test_audit_counts_read_only_their_columns(spark, staging):
-    from beaconmill.plans.loads import _checks
+    from beaconmill.plans.loads import checks
 
-    counted = staging.agg(F.count(F.lit(1)), *_checks().values())
+    counted = staging.agg(F.count(F.lit(1)), *checks().values())
     assert "ReadSchema: struct<user_id:string,timestamp:string>" in plan(counted)
 
 
-def test_close_out_sums_up_before_the_shuffle(staging):
+def test_close_out_cuts_keys_before_the_shuffle(staging):
     text = plan(ops.close_out(staging.withColumn("is_current", F.lit(True))))
-    assert "partial_max(load_date" in text and "Window" not in text
+    limits = text[text.index("WindowGroupLimit"):]
+    assert "Partial" in limits[limits.index("Exchange"):]
+
+
+def test_both_joins_of_a_correlation_read_one_shuffle_of_the_impressions(staging):
+    events = staging.withColumnRenamed("ad", "click_id")
+    staging.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = ops.correlate(staging, events, "click_id")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "ReusedExchange" in plan(joined)
+    finally:
+        staging.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_first_events_form_no_pairs(staging):
+    from datetime import timedelta
+
+    events = staging.withColumnRenamed("ad", "click_id")
+    text = plan(ops.attribute_first(ops.convert_types(staging), ops.convert_types(events), "click_id", timedelta(hours=1)))
+    assert "Window" in text and "Inner" not in text

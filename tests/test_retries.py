@@ -40,6 +40,6 @@ def test_a_load_survives_tasks_that_fail_before_and_after_the_shuffle(spark, sta
 def test_hot_keys_survive_tasks_that_fail(spark, staging):
     impressions = ops.convert_types(staging.filter("ad < '2'"))
     events = ops.convert_types(staging.withColumnRenamed("ad", "click_id"))
-    want = ops.correlate(impressions, events, "click_id", rows_per_task=None).collect()
-    got = ops.correlate(flaky(impressions), flaky(events), "click_id", rows_per_task=5).collect()
+    want = ops.correlate(impressions, events, "click_id").collect()
+    got = ops.correlate(flaky(impressions), flaky(events), "click_id").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))

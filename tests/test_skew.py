@@ -56,8 +56,7 @@ def final_plan(df):
 
 
 def test_hot_impressions_are_split(cluster_like):
-    joined = ops.correlate(skewed(cluster_like, 60_000, "ad"), even(cluster_like, 60_000, "click_id"), "click_id",
-                           rows_per_task=None)
+    joined = ops.correlate(skewed(cluster_like, 60_000, "ad"), even(cluster_like, 60_000, "click_id"), "click_id", one_per_key=True)
     plan, rows = final_plan(joined)
     assert len(rows) == 60_000
     assert "skew=true" in plan
@@ -70,32 +69,22 @@ def largest_share(df):
 
 
 def test_hot_events_are_split(cluster_like):
-    spark = cluster_like
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    impressions, events = even(spark, 2_000, "ad"), skewed(spark, 60_000, "click_id")
-    unsplit = ops.correlate(impressions, events, "click_id", rows_per_task=None)
-    assert largest_share(unsplit) > 0.8
-    split = ops.correlate(impressions, events, "click_id", rows_per_task=1_000)
-    assert split.count() == unsplit.count() == 20_000 + 1_999
-    assert largest_share(split) < 0.35
-
+    impressions, events = even(cluster_like, 2_000, "ad"), skewed(cluster_like, 60_000, "click_id")
+    plan, rows = final_plan(ops.correlate(impressions, events, "click_id"))
+    assert len(rows) == 20_000 + 1_999
+    assert "skew=true" in plan and "skewed" in plan
+    assert "ReusedExchange" in plan
 
-def test_hot_copies_are_split(cluster_like):
-    spark = cluster_like
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    events = skewed(spark, 60_000, "click_id").withColumn("click_id", F.expr("if(user_id = 'hot', 'same', click_id)"))
-    split = ops.correlate(even(spark, 2_000, "ad"), events, "click_id", rows_per_task=1_000)
-    assert split.count() == 20_000 + 1_999
-    assert largest_share(split) < 0.35
 
-
-def test_hot_versions_are_split(cluster_like):
+def test_hot_versions_are_spread_by_their_content(cluster_like):
+    cluster_like.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     versions = skewed(cluster_like, 60_000, "ad").selectExpr(
         "user_id", "timestamp", "ad", "timestamp_seconds(0) as load_date", "true as is_current"
     )
-    plan, rows = final_plan(ops.close_out(versions))
-    assert len(rows) == 60_000 and all(r.is_current for r in rows)
-    assert "skew=true" in plan
+    closed = ops.close_out(versions)
+    assert closed.count() == 60_000
+    assert closed.filter("is_current").count() == 40_001
+    assert largest_share(closed) < 0.35
 
 
 @pytest.mark.parametrize("hot_side", ["impressions", "events"])

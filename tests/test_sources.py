@@ -50,10 +50,33 @@ def test_json_array_without_multi_line_is_rejected(spark, samples):
         read_source(spark, source_spec("ad_impressions", samples))
 
 
+@pytest.mark.parametrize(
+    "text", ['{\n "a": 1\n}\n{\n "a": 2\n}\n', '[{"a": 1}]\n[{"a": 2}]\n', '{"a": 1},\n{"a": 2}', '[{"a": 1}', "x"]
+)
+def test_multi_line_files_of_more_than_one_value_are_rejected(spark, tmp_path, text):
+    (tmp_path / "1.json").write_text('[{"a": 1}]')
+    (tmp_path / "2.json").write_text(text)
+    with pytest.raises(ValueError, match="2.json is not one"):
+        read_source(spark, SourceSpec("x", "json", str(tmp_path), options={"multiLine": True}))
+
+
+@pytest.mark.parametrize(("first", "second"), [("a,b,a", "b,a,a"), ("a,,", ",a,"), ("a,a", "a,b")])
+def test_headers_that_repeat_or_lack_names_must_agree(spark, tmp_path, first, second):
+    width = first.count(",")
+    (tmp_path / "1.csv").write_text(first + "\n" + "1" + ",2" * width + "\n")
+    spec = SourceSpec("x", "csv", str(tmp_path), options={"header": True})
+    assert read_source(spark, spec).count() == 1
+    (tmp_path / "2.csv").write_text(first + "\r\n" + "3" + ",4" * width + "\r\n")
+    assert read_source(spark, spec).count() == 2
+    (tmp_path / "3.csv").write_text(second + "\n" + "5" + ",6" * width + "\n")
+    with pytest.raises(ValueError, match="another header"):
+        read_source(spark, spec)
+
+
 def test_json_lines_with_multi_line_are_rejected(spark, tmp_path):
     (tmp_path / "lines.json").write_text('\n{"a": 1}\n\n{"a": 2}\n')
     path = str(tmp_path / "lines.json")
-    with pytest.raises(ValueError, match="one JSON object per line"):
+    with pytest.raises(ValueError, match="not one JSON object or array"):
         read_source(spark, SourceSpec("x", "json", path, options={"multiLine": True}))
     assert read_source(spark, SourceSpec("x", "json", path)).count() == 2
 
@@ -64,7 +87,7 @@ def test_every_file_of_a_multi_line_source_is_looked_at(spark, tmp_path):
     spec = SourceSpec("x", "json", str(tmp_path), options={"multiLine": True})
     assert read_source(spark, spec).count() == 10
     (tmp_path / "5.json").write_text('{"a": 1}\n{"a": \n{"a": 3}\n')
-    with pytest.raises(ValueError, match="5.json holds one JSON object per line"):
+    with pytest.raises(ValueError, match="5.json is not one JSON object or array"):
         read_source(spark, spec)
 
 
