@@ -408,6 +408,21 @@ def audit_counts(spark, sf_dir):
     return plans.read_audit(spark, f"{root}/audit").select("operation", "record_count")
 
 
+def unparsed_times(spark, sf_dir):
+    """Rows whose time does not parse are kept apart with its text; the others are loaded."""
+    root = scratch_dir(spark, "unparsed")
+    bad = F.expr("if(website = 'purchase', 'no time', timestamp)")
+    staged_events(spark, sf_dir, "hour").withColumn("timestamp", bad).write.parquet(f"{root}/staging")
+    plans.full_load(
+        spark, f"{root}/staging", f"{root}/ingestion", f"{root}/audit", LOAD_TS, unparsed_path=f"{root}/aside"
+    )
+    kept = plans.read_layer(spark, f"{root}/aside").select("user_id", "ad_creative_id", "timestamp")
+    loaded = plans.read_layer(spark, f"{root}/ingestion").select(
+        F.lower("user_id").alias("user_id"), "ad_creative_id", F.col("timestamp").cast("string").alias("timestamp")
+    )
+    return kept.unionByName(loaded)
+
+
 def audit_incremental(spark, sf_dir):
     root = scratch_dir(spark, "audit")
     staged_events(spark, sf_dir, "day").write.parquet(f"{root}/staging")
@@ -747,6 +762,14 @@ SQL = {
         union all select 'invalid_timestamp', 0
         union all select 'deduplicate_data', count(*)
           from (select distinct user_id, "timestamp" from staged where user_id is not null)""",
+    "unparsed_times": f"""
+        with {STAGED.format(unit="hour")}, typed as (
+          select lower(staged.user_id) as user_id, ad_creative_id, "timestamp", event_type
+          from staged join events on event_id::varchar = ad_creative_id where staged.user_id is not null)
+        select user_id, ad_creative_id, 'no time' as "timestamp" from typed where event_type = 'purchase'
+        union all
+        select user_id, min(ad_creative_id), strftime("timestamp", '%Y-%m-%d %H:%M:%S') from typed
+        where event_type <> 'purchase' group by user_id, "timestamp" """,
     "audit_incremental": f"""
         with {STAGED.format(unit="day")}, newer as (select * from staged where ts > timestamp '2024-01-20')
         select 'read_staging' as operation, count(*) as record_count from staged
@@ -827,7 +850,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd_columns, scd2_current, scd2_ties, close_versions, incremental_anti_join, correlate_clicks, correlate_conversions,
         correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
-        incremental_load, incremental_skip_loaded, audit_counts, audit_incremental,
+        incremental_load, incremental_skip_loaded, audit_counts, unparsed_times, audit_incremental,
         incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches,
         analytical, layers_clicks, layers_conversions, layers_two_loads, layers_bids, layers_audit,
     )

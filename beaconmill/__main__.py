@@ -80,7 +80,8 @@ def stream(spark, given, layers):
         loaded = layers.path("ingestion", name)
         checkpoint = layers.path("ingestion", f"_stream_{name}")
         stream_load(spark, layers.path("staging", name), loaded, layers.audit, checkpoint,
-                    given.load_date, buckets=layers.bucketed(name))
+                    given.load_date, buckets=layers.bucketed(name),
+                    unparsed_path=layers.path("quarantine", f"{name}_times"))
 
 
 def close_versions(spark, given, layers):

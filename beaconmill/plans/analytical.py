@@ -56,10 +56,10 @@ def load_all(
 
     def load(dataset: str) -> dict[str, int]:
         paths = (layers.path("staging", dataset), layers.path("ingestion", dataset), layers.audit)
-        buckets = layers.bucketed(dataset)
+        aside = {"buckets": layers.bucketed(dataset), "unparsed_path": layers.path("quarantine", f"{dataset}_times")}
         if last_load_date is None:
-            return full_load(spark, *paths, load_ts, buckets=buckets)
-        return incremental_load(spark, *paths, last_load_date, load_ts, skip_loaded=skip_loaded, buckets=buckets)
+            return full_load(spark, *paths, load_ts, **aside)
+        return incremental_load(spark, *paths, last_load_date, load_ts, skip_loaded=skip_loaded, **aside)
 
     datasets = list(datasets)
     return dict(zip(datasets, at_once(lambda d=dataset: load(d) for dataset in datasets), strict=True))

@@ -49,6 +49,20 @@ def cleanse(df: DataFrame, constants: Mapping[str, str] = STANDARD) -> DataFrame
     )
 
 
+def unparsed(staging: DataFrame) -> DataFrame:
+    """Staged rows that a load would keep, but for a time that does not parse; the text is still there."""
+    return staging.filter(F.col(USER).isNotNull() & _lost())
+
+
+def parsed(staging: DataFrame) -> DataFrame:
+    """All other rows. A time that is missing is not one that does not parse."""
+    return staging.filter(~_lost())
+
+
+def _lost() -> Column:
+    return F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp").isNull()
+
+
 def full_load_frame(
     staging: DataFrame,
     load_ts: datetime | str,
@@ -90,10 +104,18 @@ def full_load(
     load_ts: datetime | str,
     order_by: Sequence[Column] | None = None,
     buckets: Buckets | None = None,
+    unparsed_path: str | None = None,
 ) -> dict[str, int]:
-    """Replace an ingestion dataset by all that is staged; returns the audited counts."""
+    """Replace an ingestion dataset by all that is staged; returns the audited counts.
+
+    With ``unparsed_path`` rows whose time does not parse go there, with its text, and
+    not into the dataset, where all of a user's would count as one key.
+    """
     staging = read_layer(spark, staging_path)
     counts = measure(staging, {READ_STAGING: rows_where(), **checks()})
+    if unparsed_path is not None:
+        overwrite(unparsed(staging), unparsed_path)
+        staging = parsed(staging)
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
     overwrite(rows, output_path, reads=staging_path, buckets=buckets)
     counts[DEDUPLICATE_DATA] = written()
@@ -112,11 +134,12 @@ def incremental_load(
     order_by: Sequence[Column] | None = None,
     skip_loaded: bool = False,
     buckets: Buckets | None = None,
+    unparsed_path: str | None = None,
 ) -> dict[str, int]:
     """Append what arrived after the mark; writes nothing if there is nothing new.
 
     ``skip_loaded`` leaves out keys the ingestion dataset already holds, which
-    makes running the same load twice harmless.
+    makes running the same load twice harmless. ``unparsed_path`` is as in ``full_load``.
     """
     staging = read_layer(spark, staging_path)
     counts = {READ_STAGING: staging.count()}  # from the Parquet footers
@@ -124,6 +147,10 @@ def incremental_load(
     seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **checks(), **time_span()})
     span = seen.pop("first"), seen.pop("last")
     counts |= seen
+    if unparsed_path is not None:
+        if counts[INVALID_TIMESTAMP]:
+            append(unparsed(newer), unparsed_path)
+        staging = parsed(staging)
     if counts[FILTER_DATA]:
         target = loaded_within(spark, output_path, *span) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
@@ -164,5 +191,4 @@ def checks() -> dict[str, Column]:
     """What a load audits about its input: rows kept by the filter, and among
     these the timestamps that are lost because they do not parse."""
     kept = F.col(USER).isNotNull()
-    lost = F.col(TIME).isNotNull() & F.col(TIME).try_cast("timestamp").isNull()
-    return {FILTER_DATA: rows_where(kept), INVALID_TIMESTAMP: rows_where(kept & lost)}
+    return {FILTER_DATA: rows_where(kept), INVALID_TIMESTAMP: rows_where(kept & _lost())}

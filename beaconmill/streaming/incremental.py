@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, counted, measure, rows_where
 from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, with_arrivals
-from beaconmill.plans.loads import checks, cleanse, loaded_within, time_span
+from beaconmill.plans.loads import checks, cleanse, loaded_within, parsed, time_span, unparsed
 from beaconmill.schemas import INVALID_TIMESTAMP, KEYS, STREAM_LOAD, STREAM_READ
 from beaconmill.scratch import remove_dir
 
@@ -25,6 +25,7 @@ def stream_load(
     keys: Sequence[str] = KEYS,
     max_files: int = 10_000,
     buckets: Buckets | None = None,
+    unparsed_path: str | None = None,
 ) -> None:
     """Load the staged files that no earlier run has loaded, then stop.
 
@@ -34,13 +35,18 @@ def stream_load(
     batches. Rows whose key is already loaded are left out by a join with the output
     rather than by state that would grow with every key ever seen. It also makes a
     second try harmless after a failure between loading and clearing away, and what
-    failed before loading is loaded by the next run.
+    failed before loading is loaded by the next run. With ``unparsed_path`` rows whose time
+    does not parse go there, a directory for each batch; they are counted in the audit.
     """
     pending = f"{checkpoint_path.rstrip('/')}_pending"
 
     def set_aside(batch: DataFrame, number: int) -> None:
         counts = measure(batch, {STREAM_READ: rows_where(), **checks()})
-        overwrite(cleanse(with_arrivals(batch)), f"{pending}/batch={number}")
+        rows = with_arrivals(batch)
+        if unparsed_path is not None:
+            overwrite(unparsed(rows), f"{unparsed_path}/batch={number}")
+            rows = parsed(rows)
+        overwrite(cleanse(rows), f"{pending}/batch={number}")
         append_audit(spark, audit_path, [(name, counts[name]) for name in (STREAM_READ, INVALID_TIMESTAMP)])
 
     schema = spark.read.parquet(staging_path).schema
