@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconmill.scratch import scratch_dir
@@ -62,13 +62,16 @@ def components(edges: DataFrame) -> DataFrame:
     def star(pairs: DataFrame, least: DataFrame) -> DataFrame:
         return pairs.join(least, "u")
 
-    spark: SparkSession = edges.sparkSession
     now = stored(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    state = None
     while True:
+        # done when the edges are stars: each node has one parent, and no parent has one
+        sides = now.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(now.select(F.col("v").alias("node"), F.lit(0).alias("up")).distinct())
+        shape = sides.groupBy("node").agg(F.sum("up").alias("parents"), F.min("up").alias("low"))
+        if shape.filter("parents > 1 or (parents = 1 and low = 0)").isEmpty():
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = star(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -78,10 +81,6 @@ def components(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         )
         now = stored(small.select("e.u", "e.v").filter("u <> v").distinct(), "small")
-        found = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(found) == state:
-            break
-        state = tuple(found)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
