@@ -154,7 +154,7 @@ def pack(
 
     chosen = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     step = stored(chosen.mapInArrow(first, OPEN), "packing")
-    parts, level = chosen.rdd.getNumPartitions(), 0
+    parts, level = (step.agg(F.max("part")).first()[0] or 0) + 1, 0
     done = step.filter("ids is null")
     while True:
         level += 1

@@ -94,8 +94,11 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
     like = _characters(canon, key, kind, canon, tries)
     s = _stream(key, kind, canon, tries)
     domain = F.regexp_extract(canon, r"(\.[\p{L}\p{N}-]+)$", 1)  # the kind of domain stays
-    email = F.concat(_characters(F.substring(canon, F.lit(1), F.length(canon) - F.length(domain)), key, kind, canon, tries), domain)
-    octets = F.concat_ws(".", F.lit("10"), *(_pick(s, at, 256).cast("string") for at in (1, 7, 13)))
+    local = _characters(F.substring(canon, F.lit(1), F.length(canon) - F.length(domain)), key, kind, canon, tries)
+    # where a format has too few values for its entities, later tries draw from more
+    email = F.concat(F.when(tries < 6, F.lit("")).otherwise(F.substring(s, 1, 6)), local, domain)
+    network = F.when(tries < 4, F.lit("10")).otherwise((_pick(s, 19, 223) + 1).cast("string"))
+    octets = F.concat_ws(".", network, *(_pick(s, at, 256).cast("string") for at in (1, 7, 13)))
     iban = F.concat(F.substring(canon, 1, 2), _characters(F.substring(canon, F.lit(3), F.length(canon)), key, kind, canon, tries))
     card = F.concat(F.substring(canon, 1, 1), F.substring(_luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like)))), F.lit(2), F.length(like)))
 

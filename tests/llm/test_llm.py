@@ -485,6 +485,14 @@ def test_surrogates_stay_distinct(spark):
         assert not set(before) & set(after)
 
 
+def test_formats_with_few_values_are_left(spark):
+    texts = [f"{a}@{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    out = replaced(spark, *texts)
+    assert len(set(out)) == len(texts)
+    assert not set(out) & set(texts)
+    assert all(t.endswith(".com") and t.count("@") == 1 for t in out)
+
+
 def test_pii_on_odd_rows(odd, empty):
     out = pii.replace_pii(odd, "k")
     assert out.columns == [c for c in odd.columns if c != "entities_replaced"] + ["entities_replaced"]
