@@ -44,13 +44,20 @@ def _kind(entity: Column) -> Column:
     return F.when(entity.rlike(r"^\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?$"), F.lit("name")).otherwise(out)
 
 
+def _by_kind(kind: Column, values: dict[str, Column], otherwise: Column) -> Column:
+    out = otherwise
+    for name, value in values.items():
+        out = F.when(kind == name, value).otherwise(out)
+    return out
+
+
 def _canonical(kind: Column, entity: Column) -> Column:
     """What is the same in all spellings of one entity: the digits of numbers, the lower case of words."""
     digits = F.regexp_replace(entity, r"\D", "")
     # a national number is the same as the one with the country's 1 in front
     phone = F.when(F.length(digits) == 11, F.regexp_replace(digits, "^1", "")).otherwise(digits)
     plain = F.upper(F.regexp_replace(entity, " ", ""))
-    return F.when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).when(kind == "iban", plain).when(kind == "secret", entity).otherwise(F.lower(entity))
+    return _by_kind(kind, {"phone": phone, "card": digits, "ssn": digits, "iban": plain, "secret": entity}, F.lower(entity))
 
 
 def _stream(key: str, *parts: Column) -> Column:
@@ -84,7 +91,10 @@ def _characters(model: Column, key: str, *parts: Column) -> Column:
 def _luhn(digits: Column) -> Column:
     """``digits`` with the last one set so that the check sum holds."""
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    doubled = F.transform(F.split(F.reverse(body), ""), lambda c, i: F.when(i % 2 == 0, c.cast("int") * 2 - F.when(c.cast("int") > 4, 9).otherwise(0)).otherwise(c.cast("int")))
+    twice = lambda d: d * 2 - F.when(d > 4, 9).otherwise(0)
+    doubled = F.transform(
+        F.split(F.reverse(body), ""), lambda c, i: F.when(i % 2 == 0, twice(c.cast("int"))).otherwise(c.cast("int"))
+    )
     total = F.aggregate(doubled, F.lit(0), lambda a, x: a + x)
     return F.concat(body, ((10 - total % 10) % 10).cast("string"))
 
@@ -100,7 +110,8 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
     network = F.when(tries < 4, F.lit("10")).otherwise((_pick(s, 19, 223) + 1).cast("string"))
     octets = F.concat_ws(".", network, *(_pick(s, at, 256).cast("string") for at in (1, 7, 13)))
     iban = F.concat(F.substring(canon, 1, 2), _characters(F.substring(canon, F.lit(3), F.length(canon)), key, kind, canon, tries))
-    card = F.concat(F.substring(canon, 1, 1), F.substring(_luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like)))), F.lit(2), F.length(like)))
+    # a card keeps its first digit, which names the issuer's kind
+    card = _luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like))))
 
     # a family name has the same surrogate alone and after a given name
     first, last = F.substring_index(canon, " ", 1), F.substring_index(canon, " ", -1)
@@ -114,10 +125,13 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
         given = F.when(group == name, choose(values)).otherwise(given)
     for script, values in SYLLABLES.items():
         # more syllables with every try, so that there is always a name left
-        more = F.array_join(F.transform(F.sequence(F.lit(2), F.least(tries + 4, F.lit(9))), lambda i: F.element_at(F.array(*map(F.lit, values)), (_pick(s2, (i * 6 + 1).cast("int"), len(values)) + 1).cast("int"))), "")
+        some = F.array(*map(F.lit, values))
+        nth = lambda i, n=len(values): (_pick(s2, (i * 6 + 1).cast("int"), n) + 1).cast("int")
+        places = F.sequence(F.lit(2), F.least(tries + 4, F.lit(9)))
+        more = F.array_join(F.transform(places, lambda i: F.element_at(some, nth(i))), "")
         family = F.when(F.startswith(group, F.lit(script)), more).otherwise(family)
     name = F.lower(F.when(F.instr(canon, " ") > 0, F.concat_ws(" ", given, family)).otherwise(family))
-    return F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "iban", iban).when(kind == "card", card).when(kind == "name", name).otherwise(like)
+    return _by_kind(kind, {"email": email, "ip": octets, "iban": iban, "card": card, "name": name}, like)
 
 
 def _written(kind: Column, raw: Column, surrogate: Column) -> Column:
@@ -128,21 +142,27 @@ def _written(kind: Column, raw: Column, surrogate: Column) -> Column:
     slots = F.split(raw, "")
     nth = F.transform(slots, lambda c, i: F.length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), r"\D", "")))
     filled = F.zip_with(slots, nth, lambda c, n: F.when(c.rlike(r"^\d$") & (n > lead), F.substring(surrogate, n - lead, F.lit(1))).otherwise(c))
-    spaced = F.transform(slots, lambda c, i: F.when(c == " ", c).otherwise(F.substring(surrogate, F.length(F.replace(F.substring(raw, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1))))
-    cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(F.substring(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
-    return F.when(kind.isin("phone", "card", "ssn"), F.array_join(filled, "")).when(kind == "iban", F.array_join(spaced, "")).when(kind == "name", F.initcap(surrogate)).when(kind == "email", cased).otherwise(surrogate)
+    until = lambda i: F.length(F.replace(F.substring(raw, F.lit(1), i + 1), F.lit(" "), F.lit("")))
+    spaced = F.transform(slots, lambda c, i: F.when(c == " ", c).otherwise(F.substring(surrogate, until(i), F.lit(1))))
+    capital = lambda i: F.substring(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}")
+    cased = F.transform(F.split(surrogate, ""), lambda c, i: F.when(capital(i), F.upper(c)).otherwise(c))
+    forms = {**dict.fromkeys(("phone", "card", "ssn"), F.array_join(filled, "")), "iban": F.array_join(spaced, "")}
+    return _by_kind(kind, {**forms, "name": F.initcap(surrogate), "email": F.array_join(cased, "")}, surrogate)
 
 
 def entities(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``(doc, text_hash, pos, raw, kind, canon, grp)`` of each entity; ``pos`` counts the entities of a text."""
     text = F.col(text_column)
     # a name's gender is in the title before it, so the text before each entity is cut out too
-    cut = docs.select(F.col(id_column).cast("bigint").alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("t"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)).alias("found")).filter(F.size("found") > 0)
+    own = [F.col(id_column).cast("bigint").alias("doc"), F.xxhash64(text).alias("text_hash"), text.alias("t")]
+    cut = docs.select(*own, F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)).alias("found")).filter(F.size("found") > 0)
     before = F.transform(F.split("t", ANY), lambda p: F.regexp_extract(p, rf"({FEMALE})\.? $", 1) != "")
-    cut = cut.select("doc", "text_hash", F.posexplode(F.arrays_zip(F.col("found").alias("raw"), F.slice(before, F.lit(1), F.size("found")).alias("female"))).alias("pos", "e"))
+    each = F.arrays_zip(F.col("found").alias("raw"), F.slice(before, F.lit(1), F.size("found")).alias("female"))
+    cut = cut.select("doc", "text_hash", F.posexplode(each).alias("pos", "e"))
     kind = _kind(F.col("e.raw"))
     script = F.when(F.col("e.raw").rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
-    group = F.when(kind == "name", F.concat(script, F.when(F.instr("e.raw", " ") == 0, F.lit("")).when(F.col("e.female"), F.lit(" f")).otherwise(F.lit(" m")))).otherwise(F.lit(""))
+    gender = F.when(F.instr("e.raw", " ") == 0, F.lit("")).when(F.col("e.female"), F.lit(" f")).otherwise(F.lit(" m"))
+    group = F.when(kind == "name", F.concat(script, gender)).otherwise(F.lit(""))
     out = cut.select("doc", "text_hash", "pos", F.col("e.raw").alias("raw"), kind.alias("kind"), group.alias("grp"))
     return out.withColumn("canon", _canonical(F.col("kind"), F.col("raw")))
 
@@ -193,9 +213,11 @@ def replace_pii(docs: DataFrame, key: str, *, id_column: str = "doc_id", text_co
     found = stored(entities(docs, id_column=id_column, text_column=text_column), "pii")
     named = surrogates(found, key)
     # a surrogate is looked up by the entity; one in very many texts is a long run that adaptive execution splits
-    written = found.join(stored(named, "surrogate-table"), ["kind", "grp", "canon"]).select("doc", "text_hash", "pos", _written(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new"))
+    here = _written(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new")
+    written = found.join(stored(named, "surrogate-table"), ["kind", "grp", "canon"]).select("doc", "text_hash", "pos", here)
     spots = stored(written, "pii-new").groupBy("doc", "text_hash", "pos").agg(F.min("new").alias("new"))
-    by_text = spots.groupBy("doc", "text_hash").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("all"))
+    in_order = F.sort_array(F.collect_list(F.struct("pos", "new")))
+    by_text = spots.groupBy("doc", "text_hash").agg(F.transform(in_order, lambda x: x["new"]).alias("all"))
     kept = [c for c in docs.columns if c != "entities_replaced"]
     of, hashed, ours, new = (unused(kept, c) for c in ("of", "hashed", "ours", "new"))
     by_text = by_text.select(F.col("doc").alias(of), F.col("text_hash").alias(hashed), F.col("all").alias(new))
