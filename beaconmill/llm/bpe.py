@@ -47,12 +47,14 @@ def common_words(docs: DataFrame, path: str, most: int, text_column: str = "text
                 given_up = all_so_far - counts.total()
         total = counts.total() + given_up
         kept = [(w, n) for w, n in counts.items() if n >= total / most]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept] + [None], pa.string()), pa.array([n for _, n in kept] + [total], pa.int64())], names=["word", "n"])
+        kept.append((None, total))
+        yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in kept], pa.string()), "n": pa.array([n for _, n in kept], pa.int64())})
 
     counted = docs.select(F.col(text_column).alias("text")).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counted = stored(counted, "words")
     total = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
-    return counted.filter(F.col("word").isNotNull() & (F.col("n") >= math.ceil(total / most))).mapInArrow(_encoder(path), "word string, ids binary"), total
+    table = counted.filter(F.col("word").isNotNull() & (F.col("n") >= math.ceil(total / most)))
+    return table.mapInArrow(_encoder(path), "word string, ids binary"), total
 
 
 def _encoder(path: str):
@@ -93,7 +95,14 @@ RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 ENCODED = "doc_id bigint, ids binary"
 
 
-def encode_documents(docs: DataFrame, *, tokenizer: str | None = None, most_common: int = 1 << 20, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame,
+    *,
+    tokenizer: str | None = None,
+    most_common: int = 1 << 20,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
     """``(doc_id, ids)``: the ids of each whole text, little-endian unsigned 32-bit numbers.
 
     Texts are split into words in Spark, and each distinct word is encoded once. A word that
@@ -256,6 +265,7 @@ def digests(encoded: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
                 n.append(len(at))
                 a.append(hashlib.sha256(_joined(decimal, at)[:-1]).hexdigest())
                 b.append(hashlib.sha256(decode_ids(ids, path).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            out = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(apply, RESULT)

@@ -68,7 +68,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while True:
         # done when the edges are stars: each node has one parent, and no parent has one
-        sides = now.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(now.select(F.col("v").alias("node"), F.lit(0).alias("up")).distinct())
+        parents = now.select(F.col("v").alias("node"), F.lit(0).alias("up")).distinct()
+        sides = now.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(parents)
         shape = sides.groupBy("node").agg(F.sum("up").alias("parents"), F.min("up").alias("low"))
         if shape.filter("parents > 1 or (parents = 1 and low = 0)").isEmpty():
             break

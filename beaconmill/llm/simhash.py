@@ -156,7 +156,16 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=EDGE)
 
 
-def simhash_groups(docs: DataFrame, *, width: int = 3, radius: int = 3, seed: int = 42, shard_size: int = 256, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def simhash_groups(
+    docs: DataFrame,
+    *,
+    width: int = 3,
+    radius: int = 3,
+    seed: int = 42,
+    shard_size: int = 256,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
     """``(id, fp, component_id)`` for each row: the fingerprint and the smallest id that links reach.
 
     Equal fingerprints are linked, and those that differ in at most ``radius`` bits. A null

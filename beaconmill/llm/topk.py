@@ -28,7 +28,14 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return ids, v.flatten().to_numpy().reshape(batch.num_rows, -1)
 
 
-def _histograms(cands: DataFrame, queries: tuple[np.ndarray, np.ndarray], lo: np.ndarray, width: np.ndarray, key: str, floor: np.ndarray) -> np.ndarray:
+def _histograms(
+    cands: DataFrame,
+    queries: tuple[np.ndarray, np.ndarray],
+    lo: np.ndarray,
+    width: np.ndarray,
+    key: str,
+    floor: np.ndarray,
+) -> np.ndarray:
     """For each query, how many candidates fall in each of ``BINS`` bins from ``lo``; those above go to one bin more.
 
     ``key`` "score" counts scores; "id" counts the negated ids of candidates whose score is ``floor``.
@@ -89,7 +96,16 @@ def _locate(cands: DataFrame, queries, lo: np.ndarray, hi: np.ndarray, k: np.nda
     return lo, above
 
 
-def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64, block: int = 2048, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
+def top_k(
+    vectors: DataFrame,
+    *,
+    k: int = 20,
+    every: int = 20,
+    scale: int = 64,
+    block: int = 2048,
+    id_column: str = "vec_id",
+    vector_column: str = "embedding",
+) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query the ``k`` largest inner products, ties to the smaller id.
 
     Queries are the rows whose id is divisible by ``every``; candidates are all others. The
@@ -114,7 +130,9 @@ def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64,
     limit = int(reach["n"]) + 1  # no inner product is larger than the largest squared length
     # blocks are ranges of query ids, from exact counts of ids in order
     n = asked.count()
-    edges = [] if n <= block else sorted(set(asked.agg(F.percentile_approx("id", [i / -(-n * 2 // block) for i in range(1, -(-n * 2 // block))], 1_000_000)).first()[0]))
+    ranges = -(-n * 2 // block)
+    steps = [i / ranges for i in range(1, ranges)]
+    edges = sorted(set(asked.agg(F.percentile_approx("id", steps, 1_000_000)).first()[0])) if n > block else []
     found = []
     for low, high in zip([None, *edges], [*edges, None], strict=True):
         part = asked

@@ -114,7 +114,15 @@ def _part(order: Column, bounds: list[int]) -> Column:
     return F.when(order.isNull(), 0).when(place == 0, len(bounds)).otherwise(place - 1).cast("int")
 
 
-def fingerprint_neighbours(docs: DataFrame, *, k: int = 12, window: int = 64, parts: int | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def fingerprint_neighbours(
+    docs: DataFrame,
+    *,
+    k: int = 12,
+    window: int = 64,
+    parts: int | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likenesses.
 
     The next document is that with the next larger id; after the last comes the first.
@@ -125,7 +133,8 @@ def fingerprint_neighbours(docs: DataFrame, *, k: int = 12, window: int = 64, pa
     text is empty; an empty text has an empty fingerprint. A single document follows itself.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    texts = docs.select(F.col(id_column).cast("bigint").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    texts = texts.withColumn("hash", F.xxhash64("text"))
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / parts for i in range(1, parts)]
     bounds = (texts.agg(F.percentile_approx("id", steps, 20 * parts)).first()[0] if steps else []) or []
@@ -133,11 +142,13 @@ def fingerprint_neighbours(docs: DataFrame, *, k: int = 12, window: int = 64, pa
     # the first row of each range, one for each range, goes to the end of the range before it as well
     heads = placed.groupBy("part").agg(F.min(F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("key"), "hash", "id")).alias("at"))
     around = Window.orderBy("part")  # as many rows as ranges
-    heads = heads.select("at", F.coalesce(F.lag("part").over(around), F.max("part").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
+    last = F.max("part").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select("at", F.coalesce(F.lag("part").over(around), last).alias("before"))
     first = heads.select(F.col("at.id").alias("fid"), F.col("at.hash").alias("fhash"), "before")
     successor = texts.join(F.broadcast(first), texts.id.eqNullSafe(F.col("fid")) & (texts.hash == F.col("fhash")))
     successor = successor.dropDuplicates(["before"]).select("id", "text", "hash", F.col("before").alias("part"), F.lit(1).alias("extra"))
-    dealt = placed.withColumn("extra", F.lit(0)).unionByName(successor).repartition(parts, "part").sortWithinPartitions("part", "extra", "id", "hash")
+    dealt = placed.withColumn("extra", F.lit(0)).unionByName(successor).repartition(parts, "part")
+    dealt = dealt.sortWithinPartitions("part", "extra", "id", "hash")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RESULT.split(", ")]
@@ -151,7 +162,9 @@ def fingerprint_neighbours(docs: DataFrame, *, k: int = 12, window: int = 64, pa
                     before_id, before, entries_before, own_before = last[1:]
                     other = edited(before, text)
                     changed = winnow(other, k, window)
-                    out.append((before_id, len(before), hashlib.sha256(other.encode()).hexdigest(), written(entries_before), written(changed), likeness(own_before, np.unique(changed[:, 0])), likeness(own_before, own)))
+                    digest = hashlib.sha256(other.encode()).hexdigest()
+                    near = likeness(own_before, np.unique(changed[:, 0])), likeness(own_before, own)
+                    out.append((before_id, len(before), digest, written(entries_before), written(changed), *near))
                 last = None if extra else (part, doc_id, text, entries, own)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
