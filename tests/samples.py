@@ -18,11 +18,11 @@ INTERACTIONS = [
     ("2024-05-05T12:50:20Z", "user789", "CampaignXYZ", "signup"),
 ]
 BIDS = [
-    ("user789", "New York", 28, "auction123", 0.50, "12:00", ["sports", "technology"], "mobile"),
-    ("user456", "Los Angeles", 35, "auction456", 0.75, "12:10", ["fashion", "travel"], "desktop"),
-    ("user123", "Chicago", 40, "auction789", 0.60, "12:20", ["food", "health"], "mobile"),
-    ("user456", "San Francisco", 25, "auction101", 0.80, "12:30", ["fitness", "lifestyle"], "tablet"),
-    ("user789", "Seattle", 30, "auction112", 0.65, "12:40", ["music", "entertainment"], "desktop"),
+    ("user789", "New York", 28, "auction123", 0.50, "2024-05-05T12:00:00Z", ["sports", "technology"], "mobile"),
+    ("user456", "Los Angeles", 35, "auction456", 0.75, "2024-05-05T12:10:00Z", ["fashion", "travel"], "desktop"),
+    ("user123", "Chicago", 40, "auction789", 0.60, "2024-05-05T12:20:00Z", ["food", "health"], "mobile"),
+    ("user456", "San Francisco", 25, "auction101", 0.80, "2024-05-05T12:30:00Z", ["fitness", "lifestyle"], "tablet"),
+    ("user789", "Seattle", 30, "auction112", 0.65, "2024-05-05T12:40:00Z", ["music", "entertainment"], "desktop"),
 ]
 
 
@@ -32,7 +32,7 @@ def _bid(user, place, age, auction, amount, time, keywords, device):
         "auction_details": {
             "auction_id": auction,
             "bid_amount": amount,
-            "timestamp": f"2024-05-05T{time}:00Z",
+            "timestamp": time,
         },
         "ad_targeting_criteria": {"keywords": keywords, "device_type": device},
     }

@@ -326,3 +326,24 @@ def test_jobs_fail_loudly(spark, tmp_path):
         main(["incremental-load", "--root", str(tmp_path)])
     with pytest.raises(SystemExit):
         main(["snapshot", "--root", str(tmp_path)])
+
+
+def test_writes_side_by_side_keep_their_statistics(spark, tmp_path):
+    from beaconmill.plans.layers import at_once
+
+    df = spark.range(1000).selectExpr("id", "timestamp_seconds(id) as timestamp")
+    paths = [str(tmp_path / str(i)) for i in range(6)]
+    at_once(lambda p=path: plans.overwrite(df, p) for path in paths)
+    for path in paths:
+        files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+        groups = [pq.ParquetFile(os.path.join(path, f)).metadata.row_group(0) for f in files]
+        assert all(g.column(1).statistics.has_min_max for g in groups)
+
+
+def test_a_failing_job_is_raised_after_the_others_ended():
+    from beaconmill.plans.layers import at_once
+
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        at_once([lambda: 1 / 0, lambda: done.append(1)])
+    assert done == [1]
