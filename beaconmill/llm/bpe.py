@@ -7,11 +7,11 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,11 +36,7 @@ def common_words(docs: DataFrame, path: str, most: int, text_column: str = "text
         words, counts, given_up = words_of(path), Counter(), 0
         for texts in _blocks(batches, ["text"]):
             found = [w for (text,) in texts for w in words.split(text or "")]
-            if len(found) < 1_000:
-                counts.update(found)
-            else:
-                block = pc.value_counts(pa.array(found, pa.string()))
-                counts.update(dict(zip(block.field("values").to_pylist(), block.field("counts").to_pylist(), strict=True)))
+            counts.update(found)
             if len(counts) > 4 * most:  # what has been rare so far is given up, it can only be counted too low
                 all_so_far = counts.total() + given_up
                 counts = Counter({w: n for w, n in counts.items() if n >= all_so_far / most})
@@ -144,11 +140,14 @@ def encode_documents(
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The rare words of each block, a row for each part of all words that they fall in."""
-        for number, _, order, known, _, _ in cut(batches):
-            by_part: dict[int, list[tuple[str, int]]] = {}
-            for at in np.flatnonzero(known < 0).tolist():
-                by_part.setdefault(zlib.crc32(order[at].encode()) % parts, []).append((order[at], at))
-            found = [(p, sorted(words)) for p, words in sorted(by_part.items())]
+        task, words, place = TaskContext.get().partitionId(), words_of(path), common.value.place
+        for n, block in enumerate(_blocks(batches, ["id", "text"])):
+            number, by_part = task << 32 | n, {}
+            order = dict.fromkeys(chain.from_iterable(words.split(text or "") for _, text in block))  # as in ``cut``
+            for at, word in enumerate(order):
+                if word not in place:
+                    by_part.setdefault(zlib.crc32(word.encode()) % parts, []).append((word, at))
+            found = [(p, sorted(pairs)) for p, pairs in sorted(by_part.items())]
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([p for p, _ in found], pa.int64()), "block": pa.array([number] * len(found), pa.int64()),
                 "at": pa.array([zstandard.compress(_planes(np.array([a for _, a in w], np.int32)), 1) for _, w in found], pa.binary()),
