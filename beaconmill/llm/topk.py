@@ -32,18 +32,19 @@ def _histograms(
     cands: DataFrame,
     queries: tuple[np.ndarray, np.ndarray],
     lo: np.ndarray,
+    span: np.ndarray,
     width: np.ndarray,
     key: str,
     floor: np.ndarray,
 ) -> np.ndarray:
-    """For each query, how many candidates fall in each of ``BINS`` bins from ``lo``; those above go to one bin more.
+    """For each query, how many candidates fall in each of ``BINS`` bins from ``lo``, which cover ``span`` values at least; those beyond ``span`` are not counted.
 
     ``key`` "score" counts scores; "id" counts the negated ids of candidates whose score is ``floor``.
     """
     ids_q, q = queries
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(ids_q), BINS + 1), np.int64)
+        total = np.zeros((len(ids_q), BINS), np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 ids, v = _matrix(batch.slice(at, 2048))
@@ -53,9 +54,8 @@ def _histograms(
                     valid &= scores == floor[:, None]
                     scores = np.broadcast_to(-ids[None, :], scores.shape)
                 place = (scores - lo[:, None]) // width[:, None]
-                valid &= place >= 0
-                place = np.minimum(place, BINS)
-                flat = (np.arange(len(ids_q))[:, None] * (BINS + 1) + place)[valid]
+                valid &= (scores >= lo[:, None]) & (scores < (lo + span)[:, None])
+                flat = (np.arange(len(ids_q))[:, None] * BINS + place)[valid]
                 total += np.bincount(flat, minlength=total.size).reshape(total.shape)
         yield pa.RecordBatch.from_pydict({"query": pa.array(np.arange(len(ids_q))), "counts": pa.array([r.tobytes() for r in total], pa.binary())})
 
@@ -65,7 +65,7 @@ def _histograms(
 
     schema = "query bigint, counts binary"
     summed = cands.mapInArrow(count, schema).groupBy("query").applyInArrow(add, schema).toPandas()  # a row for each query of the block
-    out = np.zeros((len(ids_q), BINS + 1), np.int64)
+    out = np.zeros((len(ids_q), BINS), np.int64)
     for i, c in zip(summed["query"], summed["counts"], strict=True):
         out[i] = np.frombuffer(c, np.int64)
     return out
@@ -80,14 +80,12 @@ def _locate(cands: DataFrame, queries, lo: np.ndarray, hi: np.ndarray, k: np.nda
     above = np.zeros(len(lo), np.int64)
     while (span > 1).any():
         width = np.maximum(1, -(-span // BINS))
-        counts = _histograms(cands, queries, lo, width, key, floor)
-        # what lies beyond the range is in ``above`` already
-        place = np.arange(BINS)[None, :] * width[:, None]
-        counts[:, :BINS][place >= span[:, None]] = 0
-        down = counts[:, :BINS][:, ::-1].cumsum(1)
+        # what lies beyond the range is in ``above`` already, also where the last bin reaches past it
+        counts = _histograms(cands, queries, lo, span, width, key, floor)
+        down = counts[:, ::-1].cumsum(1)
         reached = down + above[:, None] >= k[:, None]
         last = np.where(reached.any(1), reached.argmax(1), BINS - 1)
-        lowest = (counts[:, :BINS] > 0).argmax(1)
+        lowest = (counts > 0).argmax(1)
         chosen = np.where(reached.any(1), BINS - 1 - last, lowest)
         over = np.where(chosen < BINS - 1, np.take_along_axis(down, np.maximum(0, BINS - 2 - chosen)[:, None], 1)[:, 0], 0)
         above = above + over

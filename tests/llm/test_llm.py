@@ -436,6 +436,17 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(table.filter("vec_id = 0")).collect() == []
 
 
+def test_top_k_over_wide_ranges(spark):
+    # ids far above 65,536, all tied; the last bin of a round reaches past its range
+    ids = {int(i) for i in np.random.default_rng(331).integers(1, 1_000_000, 1000)}
+    rows = [(i, [300.0, -200.0]) for i in sorted(ids | {1_000_000})]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    want = sorted(ids)[:20]
+    got = topk.top_k(table, every=1_000_000).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == want
+    assert [r["rank"] for r in got] == list(range(1, 21))
+
+
 # ---------------------------------------------------------------- 8: personal data
 
 
