@@ -397,6 +397,27 @@ def test_lines_on_odd_rows(odd, empty):
         linedup.deduplicate_lines(odd, max_bits=4)
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    said = "this very line is said twice over in the corpus"
+    own = [f"only row number {n} of all has words like w{n}a w{n}b w{n}c w{n}d" for n in range(8)]
+    rows = [(None, f"{own[n]}\n{said}") for n in range(3)] + [(7, f"{said}\n{own[3]}"), (7, f"{own[4]}\n{own[5]}")]
+    rows += [(8, " ".join(f"w{i}" for i in range(100)))] * 3  # three times 100 words in lanes of a byte
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = linedup.deduplicate_lines(table).collect()
+    lines = [line for r in out for line in r.text.split("\n")]
+    assert sorted(line for line in lines if line.startswith("only")) == own[:6]
+    assert lines.count(said) == 1
+    assert sum(r.lines_dropped for r in out) == 3
+    prints = linedup._prints(linedup._lines(table.filter("doc_id = 8"), "doc_id", "text"), 5).collect()
+    assert [r.n for r in prints] == [100]
+
+
+def test_near_copies_keep_other_texts_of_an_id(spark):
+    rows = [(7, "a text of its own about the weather in the mountains today"), (7, "quite another text that tells of ships and harbours far away"), (9, "a third one")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert ordered(corpus_pipeline.drop_near_copies(spark, table, "")) == sorted(rows, key=repr)
+
+
 def test_lines_run_no_python(spark):
     table = spark.createDataFrame(line_rows()[:4], "doc_id bigint, text string")
     for df in (linedup.deduplicate_lines(table), pii.replace_pii(table, "k")):
