@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from beaconmill.llm import bpe, common, langid, linedup, packing, pii, quality, simhash, topk, toxicity, winnow
+from beaconmill.llm import bpe, common, langid, linedup, packing, pii, quality, queries, simhash, topk, toxicity, winnow
 from beaconmill.llm.words import words_of
 
 SF = "/root/testdata/sf0.001"
@@ -418,6 +418,16 @@ def test_near_copies_keep_other_texts_of_an_id(spark):
     assert ordered(corpus_pipeline.drop_near_copies(spark, table, "")) == sorted(rows, key=repr)
 
 
+def test_short_lines_and_scripts_without_spaces(spark, tmp_path):
+    base = "这一行文字在整个语料库里出现了很多次所以应该删除"
+    rows = [(1, f"All rights reserved\nok\n{base}"), (2, f"all rights reserved!\nall rights kept\n{base}"), (3, "OK.\n你好\n\n--"), (4, "你好\n\n--"), (5, f"{base}吗")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r.text for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: rows[0][1], 2: "all rights kept", 3: "你好\n\n--", 4: "\n--", 5: out[5]}
+    lines = linedup._prints(linedup._lines(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text"), 5).collect()
+    assert sorted((r.doc, r.n) for r in lines) == [(1, len(base)), (2, len(base)), (5, len(base) + 1)]
+
+
 def test_lines_run_no_python(spark):
     table = spark.createDataFrame(line_rows()[:4], "doc_id bigint, text string")
     for df in (linedup.deduplicate_lines(table), pii.replace_pii(table, "k")):
