@@ -46,7 +46,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linedup.deduplicate_lines(docs, least_exact=1).select("doc_id", "lines_dropped", "text")
+    return linedup.deduplicate_lines(docs, least_exact=1, max_bits=None).select("doc_id", "lines_dropped", "text")
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -428,6 +428,33 @@ def test_short_lines_and_scripts_without_spaces(spark, tmp_path):
     assert sorted((r.doc, r.n) for r in lines) == [(1, len(base)), (2, len(base)), (5, len(base) + 1)]
 
 
+def test_all_similar_lines_are_linked(spark):
+    """Links by edit similarity alone, of lines with as many edits as it allows."""
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    lines = []
+    for n in [5, 6, 9, 10, 14, 15, 19, 20, 31, 50, 100] * 2:
+        base = list(rng.choice(vocabulary, n))
+        for edit in ("change", "leave out", "put in", "mixed"):
+            words, most = list(base), int(0.2 * n)
+            for i in range(most):
+                at, what = int(rng.integers(len(words))), edit if edit != "mixed" else ("change", "leave out", "put in")[i % 3]
+                words[at : at + (what != "put in")] = [] if what == "leave out" else [str(rng.choice(vocabulary))]
+            lines.append(" ".join(words))
+        lines.append(" ".join(base))
+    lines = sorted(set(lines))
+    order = [int(i) for i in rng.permutation(len(lines))]
+    up = simhash.Joined()
+    for i, j in combinations(range(len(lines)), 2):
+        a, b = lines[order[i]].split(), lines[order[j]].split()
+        if min(len(a), len(b)) >= 5 and abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b)) and edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            up.join(i, j)
+    want = {i for i in range(len(lines)) if up.find(i) != i}
+    table = spark.createDataFrame([(i, lines[n]) for i, n in enumerate(order)], "doc_id bigint, text string")
+    assert len(want) > 70
+    assert {r.doc for r in linedup.line_drops(table, max_bits=None).collect()} == want
+
+
 def test_lines_run_no_python(spark):
     table = spark.createDataFrame(line_rows()[:4], "doc_id bigint, text string")
     for df in (linedup.deduplicate_lines(table), pii.replace_pii(table, "k")):
