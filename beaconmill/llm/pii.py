@@ -14,7 +14,7 @@ KINDS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)",
+    "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)|\+(?=\d(?:[ .-]?\(?\d\)?){6})\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\d)",
     "secret": r"(?<![\p{L}\p{N}])(?=[\p{L}\p{N}_-]*\d)(?=[\p{L}\p{N}_-]*\p{L})[A-Za-z0-9_-]{24,}(?![\p{L}\p{N}])",
     "name": r"(?<=\b(?:Mr|Mrs|Ms|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.? )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
 }
@@ -105,13 +105,16 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
     s = _stream(key, kind, canon, tries)
     domain = F.regexp_extract(canon, r"(\.[\p{L}\p{N}-]+)$", 1)  # the kind of domain stays
     local = _characters(F.substring(canon, F.lit(1), F.length(canon) - F.length(domain)), key, kind, canon, tries)
-    # where a format has too few values for its entities, later tries draw from more
-    email = F.concat(F.when(tries < 6, F.lit("")).otherwise(F.substring(s, 1, 6)), local, domain)
+    # where a format has too few values for its entities, later tries draw from more: from longer and longer forms
+    longer = F.greatest(F.lit(0), F.least(tries - 5, F.lit(40)))
+    digits = _characters(F.repeat(F.lit("0"), longer), key, kind, canon, tries, F.lit("longer"))
+    signs = F.substring(_stream(key, kind, canon, tries, F.lit("longer")), F.lit(1), longer)
+    email = F.concat(F.when(tries < 6, F.lit("")).otherwise(F.substring(s, F.lit(1), longer + 5)), local, domain)
     network = F.when(tries < 4, F.lit("10")).otherwise((_pick(s, 19, 223) + 1).cast("string"))
     octets = F.concat_ws(".", network, *(_pick(s, at, 256).cast("string") for at in (1, 7, 13)))
-    iban = F.concat(F.substring(canon, 1, 2), _characters(F.substring(canon, F.lit(3), F.length(canon)), key, kind, canon, tries))
+    iban = F.concat(F.substring(canon, 1, 2), _characters(F.substring(canon, F.lit(3), F.length(canon)), key, kind, canon, tries), digits)
     # a card keeps its first digit, which names the issuer's kind
-    card = _luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like))))
+    card = _luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like)), digits))
 
     # a family name has the same surrogate alone and after a given name
     first, last = F.substring_index(canon, " ", 1), F.substring_index(canon, " ", -1)
@@ -131,14 +134,15 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
         more = F.array_join(F.transform(places, lambda i: F.element_at(some, nth(i))), "")
         family = F.when(F.startswith(group, F.lit(script)), more).otherwise(family)
     name = F.lower(F.when(F.instr(canon, " ") > 0, F.concat_ws(" ", given, family)).otherwise(family))
-    return _by_kind(kind, {"email": email, "ip": octets, "iban": iban, "card": card, "name": name}, like)
+    return _by_kind(kind, {"email": email, "ip": octets, "iban": iban, "card": card, "name": name, "secret": F.concat(like, signs)}, F.concat(like, digits))
 
 
-def _written(kind: Column, raw: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of this occurrence."""
+def _written(kind: Column, raw: Column, canon: Column, surrogate: Column) -> Column:
+    """The surrogate in the format of this occurrence; what is longer than the format follows it."""
     digits = F.regexp_replace(raw, r"\D", "")
     # a country's number in front is no part of the canonical form, and stays
-    lead = F.length(digits) - F.length(surrogate)
+    lead = F.length(digits) - F.length(canon)
+    rest = F.substring(surrogate, F.length(canon) + 1, F.length(surrogate))
     slots = F.split(raw, "")
     nth = F.transform(slots, lambda c, i: F.length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), r"\D", "")))
     filled = F.zip_with(slots, nth, lambda c, n: F.when(c.rlike(r"^\d$") & (n > lead), F.substring(surrogate, n - lead, F.lit(1))).otherwise(c))
@@ -146,7 +150,7 @@ def _written(kind: Column, raw: Column, surrogate: Column) -> Column:
     spaced = F.transform(slots, lambda c, i: F.when(c == " ", c).otherwise(F.substring(surrogate, until(i), F.lit(1))))
     capital = lambda i: F.substring(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}")
     cased = F.transform(F.split(surrogate, ""), lambda c, i: F.when(capital(i), F.upper(c)).otherwise(c))
-    forms = {**dict.fromkeys(("phone", "card", "ssn"), F.array_join(filled, "")), "iban": F.array_join(spaced, "")}
+    forms = {**dict.fromkeys(("phone", "card", "ssn"), F.concat(F.array_join(filled, ""), rest)), "iban": F.concat(F.array_join(spaced, ""), rest)}
     return _by_kind(kind, {**forms, "name": F.initcap(surrogate), "email": F.array_join(cased, "")}, surrogate)
 
 
@@ -204,7 +208,8 @@ def replace_pii(docs: DataFrame, key: str, *, id_column: str = "doc_id", text_co
     the same case, a valid check digit for cards, a name of the same gender and script.
     Which one depends on ``key`` and the entity only, so an entity has the same surrogate
     in all documents and spellings. A surrogate that another entity has, or that is a real
-    entity of the corpus, is drawn again.
+    entity of the corpus, is drawn again; where a format has too few free values for that,
+    later draws are longer than the entity. A number after ``+`` is a phone from seven digits on.
 
     A null text stays null, with 0 replaced, and an empty one empty. Repeated rows get the
     same text. A null id is a document like any other. Columns keep their names and order;
@@ -213,7 +218,7 @@ def replace_pii(docs: DataFrame, key: str, *, id_column: str = "doc_id", text_co
     found = stored(entities(docs, id_column=id_column, text_column=text_column), "pii")
     named = surrogates(found, key)
     # a surrogate is looked up by the entity; one in very many texts is a long run that adaptive execution splits
-    here = _written(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new")
+    here = _written(F.col("kind"), F.col("raw"), F.col("canon"), F.col("surrogate")).alias("new")
     written = found.join(stored(named, "surrogate-table"), ["kind", "grp", "canon"]).select("doc", "text_hash", "pos", here)
     spots = stored(written, "pii-new").groupBy("doc", "text_hash", "pos").agg(F.min("new").alias("new"))
     in_order = F.sort_array(F.collect_list(F.struct("pos", "new")))

@@ -562,6 +562,20 @@ def test_formats_with_few_values_are_left(spark):
     assert all(t.endswith(".com") and t.count("@") == 1 for t in out)
 
 
+def test_a_format_that_is_used_up_has_longer_surrogates(spark):
+    texts = [f"{'_' * 22}{n}{letter}" for n in range(10) for letter in "abcdefghijklmnopqrst"]  # 200 of 260
+    out = replaced(spark, *texts, "+100 and +2 50 are no phones, +44 20 7946 0958 is")
+    assert len({*texts, *out[:-1]}) == 400
+    assert out[-1].startswith("+100 and +2 50 are no phones, +") and "+44 20 7946 0958" not in out[-1]
+    found = spark.createDataFrame([("phone", "", f"{n:03}") for n in range(600)], "kind string, grp string, canon string")
+    found = found.unionByName(spark.createDataFrame([("phone", "", "6405550953")], found.schema))
+    named = pii.surrogates(found, "k")
+    rows = named.collect()
+    assert len({r.surrogate for r in rows} | {r.canon for r in rows}) == 2 * 601
+    table = spark.createDataFrame([("+1 (640) 555-0953", "6405550953", "123456789042"), ("640-555-0953", "6405550953", "123456789042")], "raw string, canon string, s string")
+    assert [r[0] for r in table.select(pii._written(F.lit("phone"), F.col("raw"), F.col("canon"), F.col("s"))).collect()] == ["+1 (123) 456-789042", "123-456-789042"]
+
+
 def test_pii_on_odd_rows(odd, empty):
     out = pii.replace_pii(odd, "k")
     assert out.columns == [c for c in odd.columns if c != "entities_replaced"] + ["entities_replaced"]
