@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,25 +118,33 @@ def _surrogate(key: str, kind: Column, canon: Column, group: Column, tries: Colu
     # a card keeps its first digit, which names the issuer's kind
     card = _luhn(F.concat(F.substring(canon, 1, 1), F.substring(like, F.lit(2), F.length(like)), digits))
 
-    # a family name has the same surrogate alone and after a given name
-    first, last = F.substring_index(canon, " ", 1), F.substring_index(canon, " ", -1)
-    s1, s2 = _stream(key, group, first, tries), _stream(key, F.lit("family"), last, tries)
+    # a family name is drawn by itself; its group is the script
+    s2, family = _stream(key, F.lit("family"), canon, tries), F.lit(None).cast("string")
+    for script, values in SYLLABLES.items():
+        # more syllables with every try, so that there is always a name left
+        family = F.when(group == script, _syllables(s2, values, F.least(tries + 3, F.lit(8)))).otherwise(family)
+    family = F.lower(family)
+    return _by_kind(kind, {"email": email, "ip": octets, "iban": iban, "card": card, "family": family, "secret": F.concat(like, signs)}, F.concat(like, digits))
+
+
+def _syllables(stream: Column, values: list[str], n: Column) -> Column:
+    """``n`` of the syllables, at most 8."""
+    nth = lambda i: (_pick(stream, (i * 6 + 1).cast("int"), len(values)) + 1).cast("int")
+    return F.array_join(F.transform(F.slice(F.sequence(F.lit(2), F.lit(9)), F.lit(1), n), lambda i: F.element_at(F.array(*map(F.lit, values)), nth(i))), "")
 
-    def choose(values: list[str]) -> Column:
-        return F.element_at(F.array(*map(F.lit, values)), (_pick(s1, 1, len(values)) + 1).cast("int"))
 
-    given, family = F.lit(None).cast("string"), F.lit(None).cast("string")
+def _full_name(key: str, group: Column, canon: Column, family: Column, tries: Column) -> Column:
+    """A given name of the group before the family's surrogate; later tries add syllables to the given name."""
+    first = F.substring_index(canon, " ", 1)
+    s = _stream(key, group, first, tries)
+    # later tries depend on the family too, so that two people who collide once do not go on colliding
+    s = F.when(tries == 0, s).otherwise(_stream(key, group, canon, tries))
+    given = F.lit(None).cast("string")
     for name, values in NAMES.items():
-        given = F.when(group == name, choose(values)).otherwise(given)
-    for script, values in SYLLABLES.items():
-        # more syllables with every try, so that there is always a name left
-        some = F.array(*map(F.lit, values))
-        nth = lambda i, n=len(values): (_pick(s2, (i * 6 + 1).cast("int"), n) + 1).cast("int")
-        places = F.sequence(F.lit(2), F.least(tries + 4, F.lit(9)))
-        more = F.array_join(F.transform(places, lambda i: F.element_at(some, nth(i))), "")
-        family = F.when(F.startswith(group, F.lit(script)), more).otherwise(family)
-    name = F.lower(F.when(F.instr(canon, " ") > 0, F.concat_ws(" ", given, family)).otherwise(family))
-    return _by_kind(kind, {"email": email, "ip": octets, "iban": iban, "card": card, "name": name, "secret": F.concat(like, signs)}, F.concat(like, digits))
+        one = F.element_at(F.array(*map(F.lit, values)), (_pick(s, 1, len(values)) + 1).cast("int"))
+        more = _syllables(s, SYLLABLES[name.split(" ")[0]], F.least(tries, F.lit(8)))
+        given = F.when(group == name, F.concat(one, more)).otherwise(given)
+    return F.lower(F.concat_ws(" ", given, family))
 
 
 def _written(kind: Column, raw: Column, canon: Column, surrogate: Column) -> Column:
@@ -172,14 +182,34 @@ def entities(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
 
 
 def surrogates(found: DataFrame, key: str, most_tries: int = 60) -> DataFrame:
-    """``(kind, grp, canon, surrogate)``: no two entities of a kind share a surrogate, and none is another's real value."""
+    """``(kind, grp, canon, surrogate)``: no two entities of a kind share a surrogate, and none is another's real value.
+
+    Each family name has one surrogate, alone and after all given names; full names that
+    would be the same have their given names drawn again.
+    """
     own = ["kind", "grp", "canon"]
     known = stored(found.select(own).distinct(), "entities")
-    ready, tries = None, F.lit(0)
-    todo = known
+    names = known.filter("kind = 'name'")
+    last = F.substring_index("canon", " ", -1).alias("last")
+    script = F.substring_index("grp", " ", 1).alias("script")
+    families = names.select(F.lit("family").alias("kind"), script.alias("grp"), last.alias("canon")).distinct()
+    single = known.filter("kind <> 'name'").unionByName(families)
+    draw = lambda tries: _surrogate(key, F.col("kind"), F.col("canon"), F.col("grp"), tries)
+    ready = stored(_drawn(stored(single, "entities"), draw, most_tries), "surrogates")
+    family = ready.filter("kind = 'family'").select(F.col("grp").alias("script"), F.col("canon").alias("last"), F.col("surrogate").alias("family"))
+    named = stored(names.select(*own, script, last).join(family, ["script", "last"]).select(*own, "family"), "entities")
+    alone = named.filter("instr(canon, ' ') = 0").select(*own, F.col("family").alias("surrogate"))
+    full = named.filter("instr(canon, ' ') > 0")
+    draw = lambda tries: _full_name(key, F.col("grp"), F.col("canon"), F.col("family"), tries)
+    return ready.filter("kind <> 'family'").unionByName(alone).unionByName(_drawn(full, draw, most_tries).select(*own, "surrogate"))
+
+
+def _drawn(known: DataFrame, draw: Callable[[Column], Column], most_tries: int) -> DataFrame:
+    """``known`` and ``surrogate``, drawn again while two entities of a kind share one or it is a real one."""
+    columns = known.columns
+    ready, todo = None, known
     for n in range(most_tries):
-        tries = F.lit(n)
-        now = todo.withColumn("surrogate", _surrogate(key, F.col("kind"), F.col("canon"), F.col("grp"), tries))
+        now = todo.withColumn("surrogate", draw(F.lit(n)))
         if ready is not None:
             taken = ready.select("kind", "surrogate").distinct()
             now = now.join(taken.withColumn("taken", F.lit(True)), ["kind", "surrogate"], "left")
@@ -190,10 +220,10 @@ def surrogates(found: DataFrame, key: str, most_tries: int = 60) -> DataFrame:
         first = now.groupBy("kind", "surrogate").agg(F.min(F.concat_ws("\x1f", "grp", "canon")).alias("first"))
         now = now.join(first, ["kind", "surrogate"])
         good = ~F.coalesce("taken", F.lit(False)) & ~F.coalesce("real", F.lit(False)) & (F.concat_ws("\x1f", "grp", "canon") == F.col("first"))
-        now = stored(now.select(*own, "surrogate", good.alias("good")), "surrogates")
+        now = stored(now.select(*columns, "surrogate", good.alias("good")), "surrogates")
         done = now.filter("good").drop("good")
         ready = done if ready is None else ready.unionByName(done)
-        todo = now.filter("not good").select(own)
+        todo = now.filter("not good").select(columns)
         if todo.isEmpty():
             return ready
     raise ValueError(f"no free surrogates after {most_tries} tries: a format has too few values for its entities")

@@ -576,6 +576,19 @@ def test_a_format_that_is_used_up_has_longer_surrogates(spark):
     assert [r[0] for r in table.select(pii._written(F.lit("phone"), F.col("raw"), F.col("canon"), F.col("s"))).collect()] == ["+1 (123) 456-789042", "123-456-789042"]
 
 
+def test_a_family_has_one_surrogate(spark):
+    pieces = ["al", "be", "co", "di", "em", "fa", "gu", "ho"]
+    given = [f"{a}{b}".capitalize() for a in pieces for b in pieces[:5]]  # 40, beyond the 16 to choose from
+    rows = [("name", "latin m", f"{g} {f}".lower()) for f in ("Smith", "Jones") for g in given] + [("name", "latin", "smith")]
+    rows += [("name", "latin", f"{a}{b}{c}{d}") for a in pieces for b in pieces for c in pieces for d in pieces[:3]]  # 1,536 others
+    out = pii.surrogates(spark.createDataFrame(rows, "kind string, grp string, canon string"), "k").collect()
+    named = {r.canon: r.surrogate for r in out}
+    assert len(out) == len(rows) == len(set(named.values()))
+    assert not set(named) & set(named.values())
+    assert {named[f"{g.lower()} smith"].split()[1] for g in given} == {named["smith"]}
+    assert len({named[f"{g.lower()} jones"].split()[1] for g in given}) == 1
+
+
 def test_pii_on_odd_rows(odd, empty):
     out = pii.replace_pii(odd, "k")
     assert out.columns == [c for c in odd.columns if c != "entities_replaced"] + ["entities_replaced"]
