@@ -1,0 +1,278 @@
+"""Alignment of tokenizers, MinHash groups and collocations: brute force, odd rows, hot groups."""
+
+import hashlib
+import os
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from beaconmill.llm import align, minhash, phrases, queries
+
+SF = "/root/testdata/sf0.001"
+LONG = "word after word, and a line.\n" * 6000
+TEXTS = [None, "", "   \n\t ", "a", "b", "a b", "A  B", "ñandú’s œuvre ½²x 你好 😀 <|endoftext|><s> tail  ", LONG, "the the the the the the", "x▁y", "end;\r\n  two\r go", "Ünïcödé straße\x1c\x85x　y z", "\n\n  lead", "q" * 5000]
+CLASH = ["node", "key", "root", "x", "y", "a", "b", "n", "l", "r", "rank", "phrase", "words", "w1", "c", "f", "part", "pair", "block", "nth", "id", "body", "sig", "least", "component_id"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, "en" if i % 2 else None) for i, t in enumerate(TEXTS)]
+    rows += [(None, "one two three four", "de"), (None, "one two three four", "de"), (5, "other words with the id", "en"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    return df.select("*", *(F.lit("x").alias(c) for c in CLASH)).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def ordered(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# ---------------------------------------------------------------- 11
+
+
+def slow_alignment(rows):
+    a, b = Tokenizer.from_file(align.BYTE_FILE), sentencepiece.SentencePieceProcessor(model_file=align.PIECE_FILE)
+    a.encode_special_tokens = True
+    letters = {c: i for i, c in enumerate(align.byte_letters())}
+    a_bytes = lambda i: bytes(letters[c] for c in a.id_to_token(i))
+
+    def b_bytes(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def ends(parts):
+        at, out = 0, []
+        for p in parts:
+            at += len(p)
+            out.append(at)
+        return out
+
+    made = []
+    for _, text in rows:
+        x, y = ([], []) if not text else (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text))
+        data = (" " + text).encode() if text else b""
+        if b"".join(map(a_bytes, x)) != data or b"".join(map(b_bytes, y)) != data:
+            x, y = [], []
+        ends_a, ends_b = ends(map(a_bytes, x)), ends(map(b_bytes, y))
+        groups, low = [], 0
+        for e in sorted(set(ends_a) & set(ends_b)):
+            groups.append(([i for i, at in zip(x, ends_a) if low < at <= e], [i for i, at in zip(y, ends_b) if low < at <= e]))
+            low = e
+        made.append((x, y, groups, Counter((i, j) for p, q in groups for i in p for j in q)))
+    counts = Counter(pair for *_, links in made for pair in links)
+    high = {}
+    for (i, _), n in counts.items():
+        high[i] = max(high.get(i, 0), n)
+    out = []
+    for (doc_id, _), (x, y, groups, links) in zip(rows, made):
+        text = ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups)
+        best = sum(n for pair, n in links.items() if counts[pair] == high[pair[0]])
+        total = sum(n * counts[pair] for pair, n in links.items())
+        out.append((doc_id, len(x), len(y), len(groups), links.total(), best, total, hashlib.sha256(text.encode()).hexdigest() if x else ""))
+    return out, counts
+
+
+def test_alignment_equals_brute_force(odd, docs):
+    table = odd.select("doc_id", "text", "pair").unionByName(docs.select("doc_id", F.col("text").substr(1, 3000).alias("text"), F.lit("").alias("pair")))
+    want, _ = slow_alignment([(r.doc_id, r.text) for r in table.select("doc_id", "text").collect() if r.text is None or len(r.text) < 100_000])
+    got = align.align_documents(table.filter("text is null or length(text) < 100000"))
+    assert ordered(got) == sorted(want, key=repr)
+
+
+def test_alignment_of_odd_rows(odd):
+    got = {r.doc_id: r for r in align.align_documents(odd).collect() if r.doc_id is not None and r.doc_id != 5}
+    assert [got[i].n_links for i in (0, 1, 10)] == [0, 0, 0] and got[10].groups_sha256 == ""  # a blank's mark does not come back as itself
+    assert got[8].n_a > 40_000
+    assert align.align_documents(odd.filter("false")).collect() == []
+
+
+def test_counts_of_pairs_across_blocks(docs, monkeypatch):
+    rows = [tuple(r) for r in docs.select("doc_id", F.col("text").substr(1, 300)).collect()]
+    _, counts = slow_alignment(rows)
+    table = docs.select(F.col("doc_id").alias("id"), F.col("text").substr(1, 300).alias("text")).repartition(5)
+    both = align.aligned(table, align.BYTE_FILE, align.PIECE_FILE).cache()
+    index = both.filter("pair is not null").select("pair", "block", "planes")
+    assert index.select("block").distinct().count() == 5
+    found = {(r.pair >> 32, r.pair & 0xFFFFFFFF): r.docs for r in align.pair_counts(index).collect()}
+    assert found == dict(counts)
+
+
+@pytest.mark.parametrize("n", [0, 1, align.SPARSE, align.SPARSE + 1, align.BLOCK])
+def test_bitmaps_give_back_their_members(n):
+    at = np.sort(np.random.default_rng(n).choice(align.BLOCK, n, replace=False))
+    assert align.members(align.compressed(at)).tolist() == at.tolist()
+
+
+# ---------------------------------------------------------------- 12
+
+
+def sets_of(text, width):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")) if w]
+    return {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def slow_groups(rows, width, percent):
+    sets = [sets_of(t, width) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(x & sets[j])
+            if x and both and 100 * both >= percent * (len(x) + len(sets[j]) - both):
+                up[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(doc_id, least.get(find(i), doc_id))
+    return sorted(((d, len(s), least.get(find(i)), d == least.get(find(i))) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=repr)
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+@pytest.fixture(scope="module")
+def copies(spark):
+    rng = random.Random(3)
+    rows = []
+    for base in range(12):
+        words = [f"w{rng.randrange(500)}" for _ in range(rng.choice([4, 20, 60, 300]))]
+        rows += [edited(rng, words, min(len(words), n)) for n in (0, 0, 1, 2, 3, 5, 8, 13)]
+        chain = words
+        for _ in range(6):
+            chain = edited(rng, chain, 1 if len(chain) < 100 else 6).split()
+            rows.append(" ".join(chain))
+    rows += [t.upper() for t in rows[:20]]
+    return spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(7)
+
+
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80), (1, 90)])
+def test_minhash_groups_equal_brute_force(copies, docs, odd, width, percent):
+    some = copies.unionByName(docs.select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text"))
+    some = some.unionByName(odd.select(F.col("doc_id") + 5000, "text").toDF("doc_id", "text"))
+    rows = [tuple(r) for r in some.collect()]
+    assert ordered(minhash.minhash_groups(some, width=width, percent=percent)) == slow_groups(rows, width, percent)
+
+
+def test_minhash_of_odd_rows(odd):
+    got = [tuple(r) for r in minhash.minhash_groups(odd, width=3, percent=85).collect()]
+    by_id = {r[0]: r for r in got if r[0] not in (None, 5)}
+    assert by_id[0] == (0, 0, 0, True) and by_id[2] == (2, 0, 2, True)  # empty sets are linked with nothing
+    assert by_id[6] == (6, 1, 5, False)  # "A  B" is "a b"
+    assert sorted(r for r in got if r[0] is None) == [(None, 0, None, True), (None, 2, None, True), (None, 2, None, True)]
+    assert minhash.minhash_groups(odd.filter("false")).collect() == []
+
+
+def test_estimate_is_near_the_similarity():
+    rng = np.random.default_rng(5)
+    x = np.unique(rng.integers(0, 1 << 63, 3000, np.uint64))
+    for kept in (1500, 2700, 2990):
+        y = np.unique(np.concatenate([x[:kept], rng.integers(0, 1 << 63, 3000 - kept, np.uint64)]))
+        low, other = minhash.minima(x), minhash.minima(y)
+        equal = np.mean((low ^ other) & np.uint64((1 << minhash.BITS) - 1) == 0)
+        truth = kept / (6000 - kept)
+        assert abs((equal - 2.0**-minhash.BITS) / (1 - 2.0**-minhash.BITS) - truth) < minhash.SLACK
+
+
+def test_one_group_of_near_copies_gives_no_pairs_of_all(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, edited(rng, words, 2)) for i in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    compared = []
+    plain = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *rest: compared.append(pairs.count()) or plain(pairs, *rest))
+    got = minhash.minhash_groups(table, width=3, percent=85)
+    assert got.select("component_id").distinct().count() == 1
+    assert sum(compared) < 40 * len(rows)
+
+
+# ---------------------------------------------------------------- 13
+
+
+def slow_collocations(rows, least, top, longest=5):
+    n, f = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\n-\r]", text):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            f.update((lang, *words[i : i + k]) for i in range(len(words)) for k in range(1, longest + 1) if i + k <= len(words))
+    candidates = {p: a for p, a in f.items() if len(p) > 2 and a >= least}
+    held = set()
+    for p, a in candidates.items():
+        for k in range(2, len(p) - 1):
+            for i in range(1, len(p) - k + 1):
+                inside = (p[0], *p[i : i + k])
+                if a >= f[inside]:
+                    held.add(inside)
+    out = []
+    for p, a in candidates.items():
+        if p not in held:
+            lang, *words = p
+            cuts = [(1000 * a * n[lang] // (f[(lang, *words[:k])] * f[(lang, *words[k:])]), k) for k in range(1, len(words))]
+            score, k = min(cuts)
+            out.append((lang, -score, -a, " ".join(words).encode(), f[(lang, *words[:k])], f[(lang, *words[k:])], n[lang]))
+    rank, found = Counter(), []
+    for lang, score, a, phrase, l, r, n_ in sorted(out):
+        rank[lang] += 1
+        if rank[lang] <= top:
+            found.append((lang, rank[lang], phrase.decode(), -a, l, r, n_, -score))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("least, top, slots", [(3, 2000, 1 << 20), (3, 50, 64), (20, 7, 1 << 12)])
+def test_collocations_equal_brute_force(odd, docs, least, top, slots):
+    both = odd.select("lang", "text", "phrase").unionByName(docs.select("lang", "text", F.lit("").alias("phrase")))
+    want = slow_collocations([(r.lang, r.text) for r in both.collect()], least, top)
+    got = ordered(phrases.collocations(both.repartition(5), least=least, top=top, slots=slots))
+    assert got == want and got
+
+
+def test_collocations_of_odd_rows(odd):
+    assert phrases.collocations(odd.filter("false"), slots=1 << 10).collect() == []
+    assert phrases.collocations(odd.filter("text is null or text = ''"), slots=1 << 10).collect() == []
+
+
+def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
+    a, n = 10**13 + 7, 10**14 + 3
+    windows = spark.createDataFrame([("en", "x", "y", None, None, None, a)], "lang string, w1 string, w2 string, w3 string, w4 string, w5 string, c bigint")
+    y = spark.createDataFrame([("en", "y", None, None, None, None, a)], windows.schema)
+    monkeypatch.setattr(phrases, "windows", lambda *_: windows.unionByName(y))
+    monkeypatch.setattr(phrases, "_counters", lambda docs, *_: docs.sparkSession.createDataFrame([("en", n, None, None)], "lang string, n bigint, block int, counts binary"))
+    (row,) = phrases.collocations(spark.createDataFrame([("en", "")], "lang string, text string"), slots=1 << 10).collect()
+    assert row.score == 1000 * a * n // (a * a) and (row.l, row.r) == (a, a)
+
+
+# ---------------------------------------------------------------- SQL
+
+
+@pytest.mark.parametrize("name", ["op12_minhash", "op13_collocations"])
+def test_queries_agree_with_duckdb(spark, name):
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from read_parquet('{folder}/documents.parquet')")
+    df = queries.QUERIES[name](spark, folder)
+    result = duck.execute(queries.ORACLE_SQL[name])
+    assert [c[0] for c in result.description] == df.columns
+    assert ordered(df) == sorted(result.fetchall(), key=repr)
