@@ -59,3 +59,14 @@ def refuse_column(df: DataFrame, name: str) -> None:
     """An operator that adds a column cannot take a table that has it."""
     if name.lower() in (c.lower() for c in df.columns):
         raise ValueError(f"the table already has a column named {name}")
+
+
+def unused(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, each longer by underscores until no column, nor another of them, has it."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconmill.functions import all_present, micros, refuse_column, time_bucket
+from beaconmill.functions import all_present, micros, refuse_column, time_bucket, unused
 from beaconmill.schemas import TIME, USER
 
 
@@ -38,23 +38,24 @@ def attribute_within(
     refuse_column(impressions, id_column)
     width = _width(tolerance)
     timed = all_present([user, time])
-    left = _bucketed(impressions.filter(timed), time, width)
-    right = _bucketed(events.filter(timed).select(user, time, id_column), time, width).drop(time)
-    same = (F.col(f"i.{user}") == F.col(f"e.{user}")) & (F.col("i._bucket") == F.col("e._bucket"))
-    until = F.col("i._at") + F.lit(width)
+    at, bucket, first, last = names = unused([*impressions.columns, user, time, id_column], "_at", "_bucket", "_first", "_last")
+    left = _bucketed(impressions.filter(timed), time, width, *names[:2])
+    right = _bucketed(events.filter(timed).select(user, time, id_column), time, width, *names[:2]).drop(time)
+    same = (F.col(f"i.{user}") == F.col(f"e.{user}")) & (F.col(f"i.{bucket}") == F.col(f"e.{bucket}"))
+    until = F.col(f"i.{at}") + F.lit(width)
     kept = [F.col(f"i.`{c}`") for c in impressions.columns]
     matched = (
         left.alias("i")
         .join(
-            _and_the_one_before(right).alias("e"),
-            same & F.col("e._at").between(F.col("i._at"), until),
+            _and_the_one_before(right, bucket).alias("e"),
+            same & F.col(f"e.{at}").between(F.col(f"i.{at}"), until),
             "inner",
         )
         .select(*kept, F.col(f"e.{id_column}"))
     )
-    spans = right.groupBy(user, "_bucket").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
-    meets = same & (F.col("e._last") >= F.col("i._at")) & (F.col("e._first") <= until)
-    missed = left.alias("i").join(_and_the_one_before(spans).alias("e"), meets, "left_anti").select(*kept)
+    spans = right.groupBy(user, bucket).agg(F.min(at).alias(first), F.max(at).alias(last))
+    meets = same & (F.col(f"e.{last}") >= F.col(f"i.{at}")) & (F.col(f"e.{first}") <= until)
+    missed = left.alias("i").join(_and_the_one_before(spans, bucket).alias("e"), meets, "left_anti").select(*kept)
     without = missed.union(impressions.filter(~timed))
     none = F.lit(None).cast(events.schema[id_column].dataType)
     return matched.union(without.withColumn(id_column, none))
@@ -66,18 +67,18 @@ def _width(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 
 
-def _bucketed(df: DataFrame, time: str, width: int) -> DataFrame:
-    """Adds ``_at`` and ``_bucket`` to rows whose time is present. Declared free of NULL,
+def _bucketed(df: DataFrame, time: str, width: int, at: str, bucket: str) -> DataFrame:
+    """Adds the instant and its bucket to rows whose time is present. Declared free of NULL,
     they give every join on them the same plan, and one shuffle serves them all."""
-    at, bucket = micros(df, time), time_bucket(df, time, width)
-    columns = {"_at": F.coalesce(at, F.lit(0)), "_bucket": F.coalesce(bucket, F.lit(0))}
+    columns = {at: F.coalesce(micros(df, time), F.lit(0)), bucket: F.coalesce(time_bucket(df, time, width), F.lit(0))}
     return df.withColumns(columns)
 
 
-def _and_the_one_before(df: DataFrame) -> DataFrame:
+def _and_the_one_before(df: DataFrame, bucket: str) -> DataFrame:
     """Every row under its own bucket and under the bucket before it."""
-    shifted = F.explode(F.array(F.col("_bucket"), F.col("_bucket") - 1))
-    return df.withColumn("_under", shifted).drop("_bucket").withColumnRenamed("_under", "_bucket")
+    (under,) = unused(df.columns, "_under")
+    shifted = F.explode(F.array(F.col(bucket), F.col(bucket) - 1))
+    return df.withColumn(under, shifted).drop(bucket).withColumnRenamed(under, bucket)
 
 
 def attribute_first(
@@ -97,32 +98,33 @@ def attribute_first(
     """
     refuse_column(impressions, id_column)
     width = _width(tolerance)
+    at, bucket, ident, asked, following, later_ = unused([user, time, id_column], "_at", "_bucket", "_id", "_asked", "_next", "_later")
     none = F.lit(None).cast(events.schema[id_column].dataType)
     both = (
-        impressions.select(user, time, none.alias(id_column), F.lit(True).alias("_asked"))
-        .unionByName(events.select(user, time, id_column, F.lit(False).alias("_asked")))
+        impressions.select(user, time, none.alias(id_column), F.lit(True).alias(asked))
+        .unionByName(events.select(user, time, id_column, F.lit(False).alias(asked)))
         .filter(all_present([user, time]))
     )
     instants = (
-        both.withColumns({"_at": micros(both, time), "_bucket": time_bucket(both, time, width)})
-        .groupBy(user, "_bucket", time, "_at")
-        .agg(F.min(id_column).alias("_id"), F.max("_asked").alias("_asked"))
+        both.withColumns({at: micros(both, time), bucket: time_bucket(both, time, width)})
+        .groupBy(user, bucket, time, at)
+        .agg(F.min(id_column).alias(ident), F.max(asked).alias(asked))
     )
-    when = F.when(F.col("_id").isNotNull(), F.struct("_at", "_id"))
-    from_now = W.partitionBy(user, "_bucket").orderBy("_at").rowsBetween(0, W.unboundedFollowing)
-    inside = instants.withColumn("_next", F.first(when, ignorenulls=True).over(from_now))
+    when = F.when(F.col(ident).isNotNull(), F.struct(F.col(at).alias("at"), F.col(ident).alias("id")))
+    from_now = W.partitionBy(user, bucket).orderBy(at).rowsBetween(0, W.unboundedFollowing)
+    inside = instants.withColumn(following, F.first(when, ignorenulls=True).over(from_now))
     # the first event of each bucket, under the bucket before it; read from the windows' own shuffle
     later = (
-        inside.filter("_id is not null")
-        .groupBy(user, "_bucket")
-        .agg(F.min(when).alias("_later"))
-        .select(user, (F.col("_bucket") - 1).alias("_bucket"), "_later")
+        inside.filter(F.col(ident).isNotNull())
+        .groupBy(user, bucket)
+        .agg(F.min(when).alias(later_))
+        .select(user, (F.col(bucket) - 1).alias(bucket), later_)
     )
-    found = F.coalesce("_next", "_later")
+    found = F.coalesce(following, later_)
     answers = (
-        inside.filter("_asked")
-        .join(later, [user, "_bucket"], "left_outer")
-        .select(user, time, F.when(found["_at"] - F.col("_at") <= width, found["_id"]).alias(id_column))
+        inside.filter(asked)
+        .join(later, [user, bucket], "left_outer")
+        .select(user, time, F.when(found["at"] - F.col(at) <= width, found["id"]).alias(id_column))
     )
     same = (F.col(f"i.{user}") == F.col(f"a.{user}")) & (F.col(f"i.{time}") == F.col(f"a.{time}"))
     joined = impressions.alias("i").join(answers.alias("a"), same, "left_outer")

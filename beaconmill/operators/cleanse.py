@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, AtomicType, DataType, StructType
 
-from beaconmill.functions import all_present, instant
+from beaconmill.functions import all_present, instant, unused
 from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, STANDARD, TIME, USER
 
 
@@ -48,7 +48,8 @@ def deduplicate(
     rest = [f.name for f in df.schema.fields if f.name not in keys and _sortable(f.dataType)]
     order = [*(order_by or []), *(F.col(c) for c in rest)] or [F.col(c) for c in keys]
     window = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    (rank,) = unused(df.columns, "_rank")
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 
 
 def _sortable(data_type: DataType) -> bool:

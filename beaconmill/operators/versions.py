@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beaconmill.functions import unused
 from beaconmill.schemas import IS_CURRENT, KEYS, LOAD_DATE, TIME
 
 
@@ -21,14 +22,15 @@ def close_out(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     (``WindowGroupLimit``); joining that back on key, load date and hash leaves no task
     that must hold all versions of one key, only equal copies of one row meet.
     """
-    marked = df.drop(IS_CURRENT).withColumn("_hash", _content(df, keys))
-    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), "_hash")
-    at = [*keys, LOAD_DATE, "_hash"]
-    top = marked.select(*at, F.row_number().over(newest).alias("_rank")).filter("_rank = 1").drop("_rank")
-    copies = W.partitionBy(*at).orderBy("_hash")
-    joined = marked.alias("v").join(top.withColumn("_newest", F.lit(True)).alias("n"), _same(at, "v", "n"), "left_outer")
-    ranked = joined.select("v.*", "n._newest").withColumn("_copy", F.when(F.col("_newest"), F.row_number().over(copies)))
-    current = F.coalesce(F.col("_copy") == 1, F.lit(False)).alias(IS_CURRENT)
+    content, rank, first, copy = unused(df.columns, "_hash", "_rank", "_newest", "_copy")
+    marked = df.drop(IS_CURRENT).withColumn(content, _content(df, keys))
+    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), content)
+    at = [*keys, LOAD_DATE, content]
+    top = marked.select(*at, F.row_number().over(newest).alias(rank)).filter(F.col(rank) == 1).drop(rank)
+    copies = W.partitionBy(*at).orderBy(content)
+    joined = marked.alias("v").join(top.withColumn(first, F.lit(True)).alias("n"), _same(at, "v", "n"), "left_outer")
+    ranked = joined.select("v.*", f"n.{first}").withColumn(copy, F.when(F.col(first), F.row_number().over(copies)))
+    current = F.coalesce(F.col(copy) == 1, F.lit(False)).alias(IS_CURRENT)
     return ranked.select(*[F.col(f"`{c}`") for c in df.columns if c != IS_CURRENT], current)
 
 
@@ -37,9 +39,10 @@ def current_versions(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     One shuffle on the keys, which a join on them afterwards reuses.
     """
-    marked = df.withColumn("_hash", _content(df, keys))
-    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), "_hash")
-    return marked.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank", "_hash")
+    content, rank = unused(df.columns, "_hash", "_rank")
+    marked = df.withColumn(content, _content(df, keys))
+    newest = W.partitionBy(*keys).orderBy(F.desc(LOAD_DATE), content)
+    return marked.withColumn(rank, F.row_number().over(newest)).filter(F.col(rank) == 1).drop(rank, content)
 
 
 def _content(df: DataFrame, keys: Sequence[str]) -> Column:

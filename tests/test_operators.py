@@ -315,3 +315,36 @@ def test_attribution_before_the_epoch(spark):
     b = spark.createDataFrame([("u", datetime(1970, 1, 1, 0, 0, 1), "c")], schema.format("click_id"))
     assert ops.attribute_within(a, b, "click_id", timedelta(seconds=2)).collect()[0].click_id == "c"
     assert ops.attribute_within(a, b, "click_id", timedelta(seconds=1)).collect()[0].click_id is None
+
+
+OWN_NAMES = ["_rank", "_hash", "_at", "_bucket", "_copy", "_newest", "_id", "_next", "_first", "_last", "_under", "_asked", "_inside", "_later"]
+
+
+def test_columns_named_like_our_own_come_back(spark):
+    """Every operator keeps a caller's columns of the names it uses itself."""
+    plain = spark.sql(
+        "select * from values ('u1', timestamp'2024-05-01 10:00:00', 'a', timestamp'2024-06-01', true),"
+        " ('u1', timestamp'2024-05-01 10:00:00', 'b', timestamp'2024-06-02', true),"
+        " ('u2', timestamp'2024-05-01 11:00:00', 'c', timestamp'2024-06-01', true) as t(user_id, timestamp, ad, load_date, is_current)"
+    )
+    df = plain.withColumns({c: F.concat(F.lit(c), "ad") for c in OWN_NAMES})
+    events = plain.select("user_id", "timestamp", F.col("ad").alias("click_id"), *(F.lit("e").alias(c) for c in OWN_NAMES)).filter("click_id <> 'b'")
+    made = {
+        "deduplicate": ops.deduplicate(df, order_by=[F.desc("ad")]),
+        "close_out": ops.close_out(df),
+        "current_versions": ops.current_versions(df),
+        "not_loaded": ops.not_loaded(df, plain.filter("user_id = 'u2'")),
+        "correlate": ops.correlate(df, events, "click_id"),
+        "attribute_within": ops.attribute_within(df, events, "click_id", timedelta(hours=1)),
+        "attribute_first": ops.attribute_first(df, events, "click_id", timedelta(hours=1)),
+        "attribute_last_touch": ops.attribute_last_touch(df, events, "click_id"),
+    }
+    for name, out in made.items():
+        rows = out.collect()
+        assert rows and set(df.columns) <= set(out.columns), name
+        assert all(r[c] == c + r.ad for r in rows for c in OWN_NAMES), name
+    assert sorted(r.ad for r in made["deduplicate"].collect()) == ["b", "c"]
+    assert sorted(r.ad for r in made["current_versions"].collect()) == ["b", "c"]
+    assert made["close_out"].filter("is_current").count() == 2
+    for name in ("correlate", "attribute_within", "attribute_first", "attribute_last_touch"):
+        assert sorted((r.ad, r.click_id) for r in made[name].collect()) == [("a", "a"), ("b", "a"), ("c", "c")], name
