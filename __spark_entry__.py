@@ -396,10 +396,55 @@ def incremental_load(spark, sf_dir):
 
 
 def incremental_skip_loaded(spark, sf_dir):
+    """The second load of a dataset: arrivals after the mark, without the keys of the first, by its index."""
+    root = scratch_dir(spark, "skip")
     staging = staged_events(spark, sf_dir, "day")
-    loaded = plans.full_load_frame(staging.filter("load_date <= '2024-01-20 12:00:00'"), "2024-01-20")
+    plans.overwrite(staging.filter("load_date <= '2024-01-20 12:00:00'"), f"{root}/early")
+    plans.overwrite(staging, f"{root}/all")
+    out, audit = f"{root}/ingestion", f"{root}/audit"
+    plans.full_load(spark, f"{root}/early", out, audit, "2024-01-20")
     newest = [F.desc("load_date"), F.desc("ad_creative_id")]
-    return ntz(plans.incremental_load_frame(staging, "2024-01-20", LOAD_TS, loaded, order_by=newest))
+    plans.incremental_load(spark, f"{root}/all", out, audit, "2024-01-20", LOAD_TS, newest, skip_loaded=True)
+    return ntz(plans.read_loads(spark, out, plans.listed(spark, out).loads[1:]))
+
+
+def incremental_by_mark(spark, sf_dir):
+    """Three loads, each after the newest arrival that the one before has read."""
+    root = scratch_dir(spark, "mark")
+    staging = staged_events(spark, sf_dir, "hour")
+    out = f"{root}/ingestion"
+    for n, day in enumerate(("2024-01-10", "2024-01-20", "2024-02-20")):
+        plans.overwrite(staging.filter(F.col("load_date") < F.lit(day).cast("timestamp")), f"{root}/staging{n}")
+        plans.incremental_load(spark, f"{root}/staging{n}", out, f"{root}/audit", None, day, skip_loaded=True)
+    return ntz(plans.read_layer(spark, out))
+
+
+def publish_in_place(spark, sf_dir):
+    """Two loads of a dataset, then its versions closed where it lies."""
+    path = scratch_dir(spark, "published")
+    newest = [F.desc("ts"), F.desc("event_id")]
+    for part, day in (("ts < timestamp_ntz'2024-01-16'", "2024-01-16"), ("ts >= timestamp_ntz'2024-01-16'", "2024-01-31")):
+        rows = ops.deduplicate(events(spark, sf_dir).filter(part), ["user_id"], newest)
+        plans.add_load(ops.stamp_version(rows, day), path, keys=["user_id"])
+    plans.close_versions(spark, path, keys=["user_id"])
+    return ntz(plans.read_layer(spark, path))
+
+
+def analytical_delta(spark, sf_dir):
+    """Nine tenths of the events, then the other tenth of the last days: the second run joins those alone."""
+    layers = plans.Layers(scratch_dir(spark, "delta"))
+    df = events(spark, sf_dir)
+    kinds = {"ad_impressions": ("ad_creative_id", ["view"]), "clicks": ("click_id", ["click"]), "conversions": ("conversion_id", ["purchase", "signup"])}
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
+    for rows, load_ts in ((df.filter("event_id % 10 <> 0"), LOAD_TS), (df.filter(late), "2024-07-01 00:00:00")):
+        for name, (id_column, types) in kinds.items():
+            staging = ops.stringify(
+                of_type(rows, *types).select(F.expr("concat('user', user_id)").alias("user_id"), cut("day"), F.col("event_id").alias(id_column))
+            )
+            plans.add_load(plans.full_load_frame(staging, load_ts), layers.path("ingestion", name))
+        plans.update_analytical(spark, layers)
+    clicks, conversions = (plans.read_layer(spark, layers.path("analytical", f"ad_impressions_{n}")) for n in ("clicks", "conversions"))
+    return ntz(clicks.join(conversions.select("ad_creative_id", "conversion_id"), "ad_creative_id"))
 
 
 def audit_counts(spark, sf_dir):
@@ -755,6 +800,30 @@ SQL = {
                                            order by ts desc, ad_creative_id desc) as n
               from staged where user_id is not null and ts > timestamp '2024-01-20')
         where n = 1 and (user_id, "timestamp") not in (select (user_id, "timestamp") from loaded)""",
+    "incremental_by_mark": f"""
+        with {STAGED.format(unit="hour")}, kept as (
+          select *, case when ts < timestamp '2024-01-10' then timestamp '2024-01-10'
+                         when ts < timestamp '2024-01-20' then timestamp '2024-01-20'
+                         else timestamp '2024-02-20' end as load_date
+          from staged where user_id is not null and ts < timestamp '2024-02-20')
+        select user_id, "timestamp", min_by(ad_creative_id, (load_date, ad_creative_id)) as ad_creative_id,
+               'example.com' as website, min(load_date) as load_date, true as is_current
+        from kept group by user_id, "timestamp" """,
+    "publish_in_place": CLOSED,
+    "analytical_delta": """
+        with e as (
+          select 'USER' || user_id as user_id, date_trunc('day', ts)::timestamp as day, event_id::varchar as id, event_type,
+                 case when event_id % 10 <> 0 then timestamp '2024-06-01' else timestamp '2024-07-01' end as load_date
+          from events where event_id % 10 <> 0 or ts >= timestamp '2024-01-25'),
+        kept as (
+          select * from (
+            select *, case event_type when 'view' then 'view' when 'click' then 'click' when 'error' then 'error' else 'conversion' end as kind,
+                   row_number() over (partition by kind, user_id, day order by load_date desc, id) as n from e) where n = 1)
+        select v.user_id, v.day as "timestamp", v.id as ad_creative_id, 'example.com' as website, v.load_date, true as is_current,
+               c.id as click_id, p.id as conversion_id
+        from (select * from kept where kind = 'view') v
+        left join (select * from kept where kind = 'click') c on v.user_id = c.user_id and v.day = c.day
+        left join (select * from kept where kind = 'conversion') p on v.user_id = p.user_id and v.day = p.day""",
     "audit_counts": f"""
         with {STAGED.format(unit="hour")}
         select 'read_staging' as operation, count(*) as record_count from staged
@@ -850,7 +919,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd_columns, scd2_current, scd2_ties, close_versions, incremental_anti_join, correlate_clicks, correlate_conversions,
         correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
-        incremental_load, incremental_skip_loaded, audit_counts, unparsed_times, audit_incremental,
+        incremental_load, incremental_skip_loaded, incremental_by_mark, publish_in_place, analytical_delta, audit_counts, unparsed_times, audit_incremental,
         incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches,
         analytical, layers_clicks, layers_conversions, layers_two_loads, layers_bids, layers_audit,
     )

@@ -29,7 +29,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     option("--multi-line", action="store_true", help="JSON sources are arrays")
     option("--dataset", action="append", choices=list(STAGED), help="staged dataset; default all")
     option("--load-date", default=datetime.now(timezone.utc).isoformat(sep=" "))
-    option("--last-load-date", help="incremental-load: the mark")
+    option("--last-load-date", help="incremental-load: the mark; default the newest arrival loaded")
     option("--skip-loaded", action="store_true", help="incremental-load: leave out loaded keys")
     option("--append", action="store_true", help="stage: keep earlier arrivals")
     option("--buckets", type=int, default=0,
@@ -38,8 +38,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     given = parser.parse_args(argv)
     if given.job in ("snapshot", "run-all") and not given.input:
         parser.error(f"{given.job} needs --input")
-    if given.job == "incremental-load" and not given.last_load_date:
-        parser.error("incremental-load needs --last-load-date")
     given.dataset = given.dataset or list(STAGED)
     return given
 
@@ -71,8 +69,9 @@ def stage(spark, given, layers):
 
 
 def load(spark, given, layers):
-    mark = given.last_load_date if given.job == "incremental-load" else None
-    plans.load_all(spark, layers, given.load_date, mark, given.skip_loaded, given.dataset)
+    incremental = given.job == "incremental-load"
+    mark = given.last_load_date if incremental else None
+    plans.load_all(spark, layers, given.load_date, mark, given.skip_loaded, given.dataset, incremental)
 
 
 def stream(spark, given, layers):
@@ -87,13 +86,17 @@ def stream(spark, given, layers):
 def close_versions(spark, given, layers):
     for name in given.dataset:
         loaded = layers.path("ingestion", name)
-        plans.close_versions(spark, loaded, f"{loaded}_closed")
+        plans.close_versions(spark, loaded, f"{loaded}_closed" if given.buckets else None)
 
 
 def correlate(spark, given, layers):
     plans.correlate_layers(spark, layers)
 
 
+def update(spark, given, layers):
+    plans.update_analytical(spark, layers)
+
+
 def run_all(spark, given, layers):
     plans.run_all(spark, sources(given), layers, given.load_date)
 
@@ -106,6 +109,7 @@ JOBS = {
     "stream-load": stream,
     "close-versions": close_versions,
     "correlate": correlate,
+    "update-analytical": update,
     "run-all": run_all,
 }
 

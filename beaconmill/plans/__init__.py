@@ -1,5 +1,6 @@
 from beaconmill.plans.analytical import correlate_layers, load_all, run_all
 from beaconmill.plans.audit import append_audit, counted, measure, read_audit
+from beaconmill.plans.delta import update_analytical
 from beaconmill.plans.ingest import malformed_rows, snapshot, stage, staged
 from beaconmill.plans.layers import Buckets, Layers, append, overwrite, read_if_present, read_layer, save_arrivals
 from beaconmill.plans.loads import (
@@ -9,11 +10,16 @@ from beaconmill.plans.loads import (
     full_load_frame,
     incremental_load,
     incremental_load_frame,
+    remembered_mark,
 )
+from beaconmill.plans.published import Listed, Load, add_load, listed, read_loads, remove_unlisted, replace_dataset, write_load
 
 __all__ = [
     "Buckets",
     "Layers",
+    "Listed",
+    "Load",
+    "add_load",
     "append",
     "append_audit",
     "cleanse",
@@ -24,6 +30,7 @@ __all__ = [
     "full_load_frame",
     "incremental_load",
     "incremental_load_frame",
+    "listed",
     "load_all",
     "malformed_rows",
     "measure",
@@ -31,9 +38,15 @@ __all__ = [
     "read_audit",
     "read_if_present",
     "read_layer",
+    "read_loads",
+    "remembered_mark",
+    "remove_unlisted",
+    "replace_dataset",
     "save_arrivals",
     "run_all",
     "snapshot",
     "stage",
     "staged",
+    "update_analytical",
+    "write_load",
 ]

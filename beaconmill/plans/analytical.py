@@ -51,13 +51,15 @@ def load_all(
     last_load_date: datetime | str | None = None,
     skip_loaded: bool = False,
     datasets: Iterable[str] = tuple(STAGED),
+    incremental: bool = False,
 ) -> dict[str, dict[str, int]]:
-    """Load every dataset: fully, or incrementally if there is a last load date."""
+    """Load every dataset: fully, or incrementally if there is a last load date or, with
+    ``incremental``, after the newest arrival that each dataset's loads have read."""
 
     def load(dataset: str) -> dict[str, int]:
         paths = (layers.path("staging", dataset), layers.path("ingestion", dataset), layers.audit)
         aside = {"buckets": layers.bucketed(dataset), "unparsed_path": layers.path("quarantine", f"{dataset}_times")}
-        if last_load_date is None:
+        if last_load_date is None and not incremental:
             return full_load(spark, *paths, load_ts, **aside)
         return incremental_load(spark, *paths, last_load_date, load_ts, skip_loaded=skip_loaded, **aside)
 

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconmill.functions import instant
+from beaconmill.plans.published import listed, read_loads
 from beaconmill.schemas import KEYS, LOAD_DATE
+from beaconmill.storage import times_with_statistics
 
 LAYERS = ("snapshot", "quarantine", "staging", "ingestion", "analytical", "audit")
 
@@ -21,6 +23,9 @@ LAYERS = ("snapshot", "quarantine", "staging", "ingestion", "analytical", "audit
 # the epoch: a number means the same in every time zone.
 ARRIVAL = "arrival_micros"
 
+# The directories of analytical tables that are kept up to date, one per day of the impression.
+EVENT_DAY = "event_day"
+
 
 @dataclass(frozen=True)
 class Buckets:
@@ -59,11 +64,15 @@ class Layers:
 
 
 def read_layer(spark: SparkSession, path: str, buckets: Buckets | None = None) -> DataFrame:
-    """The table at the path. The scan decides the partitioning and adaptive execution
-    adjusts it; repartitioning here would only add a shuffle."""
+    """The table at the path; of a dataset with a list of loads, those that it names. The scan
+    decides the partitioning and adaptive execution adjusts it; repartitioning here would
+    only add a shuffle."""
     if buckets is not None:
         return spark.table(buckets.table)
-    return with_arrivals(spark.read.parquet(path))
+    now = listed(spark, path)
+    if now is not None:
+        return read_loads(spark, path, now.loads)
+    return with_arrivals(spark.read.parquet(path)).drop(EVENT_DAY)
 
 
 def with_arrivals(df: DataFrame) -> DataFrame:
@@ -88,8 +97,7 @@ def overwrite(
 ) -> None:
     """Replace the table at the path. It must not be the one the plan reads, which
     Spark would delete before reading it."""
-    if reads is not None and _clean(reads) == _clean(path):
-        raise ValueError(f"cannot overwrite {path} while reading it")
+    refuse_same(reads, path)
     _save(df, path, "overwrite", buckets)
 
 
@@ -107,13 +115,6 @@ def _save(df: DataFrame, path: str, mode: str, buckets: Buckets | None) -> None:
         writer.bucketBy(buckets.count, keys).sortBy(keys).saveAsTable(buckets.table)
 
 
-def times_with_statistics(spark: SparkSession) -> None:
-    """Spark's default Parquet timestamp has no minimum and maximum per row group, so no
-    filter on time could skip any. There is a setting for the session only. It is set
-    before each write and left so: setting it back would race with another write."""
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-
-
 def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str) -> None:
     """Write staged rows with a directory per arrival, so that an incremental load
     opens only the arrivals after its mark."""
@@ -134,5 +135,10 @@ def at_once(jobs: Iterable[Callable[[], object]], most: int = 4) -> list:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
+def refuse_same(reads: str | None, path: str) -> None:
+    if reads is not None and _clean(reads) == _clean(path):
+        raise ValueError(f"cannot overwrite {path} while reading it")
+
+
 def _clean(path: str) -> str:
     return os.path.normpath(path.removeprefix("file://"))

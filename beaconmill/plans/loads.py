@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +22,15 @@ from beaconmill.operators import (
     within_span,
 )
 from beaconmill.plans.audit import append_audit, counted, measure, rows_where
-from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer
+from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, read_layer, refuse_same
+from beaconmill.plans.published import add_load, listed, loads_with, read_loads, replace_dataset
 from beaconmill.schemas import (
     DEDUPLICATE_DATA,
     FILTER_DATA,
     FILTER_INCREMENTAL,
     INVALID_TIMESTAMP,
     KEYS,
+    LOAD_DATE,
     READ_STAGING,
     STANDARD,
     TIME,
@@ -108,16 +110,23 @@ def full_load(
 ) -> dict[str, int]:
     """Replace an ingestion dataset by all that is staged; returns the audited counts.
 
+    Readers see the old rows until the new ones are whole; a load that fails changes nothing.
+
     With ``unparsed_path`` rows whose time does not parse go there, with its text, and
     not into the dataset, where all of a user's would count as one key.
     """
+    refuse_same(staging_path, output_path)
     staging = read_layer(spark, staging_path)
-    counts = measure(staging, {READ_STAGING: rows_where(), **checks()})
+    counts = measure(staging, {READ_STAGING: rows_where(), **checks(), **newest_arrival(staging)})
+    mark = counts.pop("mark")
     if unparsed_path is not None:
         overwrite(unparsed(staging), unparsed_path)
         staging = parsed(staging)
     rows, written = counted(full_load_frame(staging, load_ts, order_by=order_by))
-    overwrite(rows, output_path, reads=staging_path, buckets=buckets)
+    if buckets is None:
+        replace_dataset(rows, output_path, mark)
+    else:
+        overwrite(rows, output_path, buckets=buckets)
     counts[DEDUPLICATE_DATA] = written()
     append_audit(spark, audit_path, counts.items())
     log.info("full load of %s: %s", output_path, counts)
@@ -129,7 +138,7 @@ def incremental_load(
     staging_path: str,
     output_path: str,
     audit_path: str,
-    last_load_date: datetime | str,
+    last_load_date: datetime | str | None,
     load_ts: datetime | str,
     order_by: Sequence[Column] | None = None,
     skip_loaded: bool = False,
@@ -138,24 +147,31 @@ def incremental_load(
 ) -> dict[str, int]:
     """Append what arrived after the mark; writes nothing if there is nothing new.
 
-    ``skip_loaded`` leaves out keys the ingestion dataset already holds, which
-    makes running the same load twice harmless. ``unparsed_path`` is as in ``full_load``.
+    Without a mark it is the newest arrival that the dataset's loads have read, or everything
+    staged if there is none. ``skip_loaded`` leaves out keys the ingestion dataset already
+    holds, which makes running the same load twice harmless; of its loads only those are
+    opened whose times and key index leave room for a key that has arrived. ``unparsed_path`` is as in ``full_load``.
     """
     staging = read_layer(spark, staging_path)
     counts = {READ_STAGING: staging.count()}  # from the Parquet footers
+    if last_load_date is None:
+        last_load_date = remembered_mark(spark, output_path)
     newer = newer_than(staging, last_load_date)
-    seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **checks(), **time_span()})
-    span = seen.pop("first"), seen.pop("last")
+    seen = measure(newer, {FILTER_INCREMENTAL: rows_where(), **checks(), **time_span(), **newest_arrival(staging)})
+    span, mark = [seen.pop(name) for name in ("first", "last", "untimed")], seen.pop("mark")
     counts |= seen
     if unparsed_path is not None:
         if counts[INVALID_TIMESTAMP]:
             append(unparsed(newer), unparsed_path)
         staging = parsed(staging)
     if counts[FILTER_DATA]:
-        target = loaded_within(spark, output_path, *span) if skip_loaded else None
+        target = loaded_that_repeat(spark, output_path, cleanse(newer), *span) if skip_loaded else None
         frame = incremental_load_frame(staging, last_load_date, load_ts, target, order_by=order_by)
         rows, written = counted(frame)
-        append(rows, output_path, buckets)
+        if buckets is None:
+            add_load(rows, output_path, mark)
+        else:
+            append(rows, output_path, buckets)
         counts[DEDUPLICATE_DATA] = written()
     else:
         counts[DEDUPLICATE_DATA] = 0
@@ -164,27 +180,56 @@ def incremental_load(
     return counts
 
 
-def close_versions(spark: SparkSession, path: str, closed_path: str, keys: Sequence[str] = KEYS) -> None:
-    """Write the dataset with only the newest version per key marked current.
+def close_versions(spark: SparkSession, path: str, closed_path: str | None = None, keys: Sequence[str] = KEYS) -> None:
+    """Mark only the newest version per key current, in place or in a dataset at another path.
 
-    Plain Parquet has no update, so this writes another path for the caller to
-    put in place of the first.
+    In place the result becomes the dataset once it is whole, and keeps its mark; plain files
+    have to go to another path, for Spark would delete them before reading them.
     """
-    overwrite(close_out(read_layer(spark, path), keys), closed_path, reads=path)
+    closed = close_out(read_layer(spark, path), keys)
+    before = listed(spark, path)
+    if closed_path is not None:
+        overwrite(closed, closed_path, reads=path)
+    elif before is None:
+        raise ValueError(f"{path} has no list of loads: give another path for the closed versions")
+    else:
+        replace_dataset(closed, path, before.mark, keys)
 
 
 def time_span() -> dict[str, Column]:
-    """The first and last time of staged rows, in microseconds since the epoch."""
+    """The first and last time of staged rows, in microseconds since the epoch, and the rows without one."""
     at = F.unix_micros(F.col(TIME).try_cast("timestamp"))
-    return {"first": F.min(at), "last": F.max(at)}
+    return {"first": F.min(at), "last": F.max(at), "untimed": F.count_if(at.isNull())}
+
 
+def newest_arrival(staging: DataFrame) -> dict[str, Column]:
+    """The newest arrival among staged rows, in microseconds since the epoch."""
+    known = LOAD_DATE in staging.columns
+    return {"mark": F.max(F.unix_micros(LOAD_DATE)) if known else F.lit(None).cast("bigint")}
 
-def loaded_within(
-    spark: SparkSession, output_path: str, first: int | None, last: int | None
+
+def remembered_mark(spark: SparkSession, path: str) -> datetime:
+    """Up to which arrival the dataset's loads have read; before all times if there is none."""
+    now = listed(spark, path)
+    mark = now.mark if now is not None else None
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=-(1 << 55) if mark is None else mark)
+
+
+def loaded_that_repeat(
+    spark: SparkSession, path: str, rows: DataFrame, first: int | None, last: int | None, untimed: int, keys: Sequence[str] = KEYS
 ) -> DataFrame | None:
-    """The loaded rows that staged rows of the time span can repeat, if anything is loaded."""
-    target = read_if_present(spark, output_path)
-    return None if target is None else within_span(target, first, last)
+    """The loaded rows that ``rows``, of the time span, can repeat, if there are any.
+
+    Of a dataset with a list of loads only those are opened whose times meet the span and
+    whose key index has a key of ``rows``.
+    """
+    now = listed(spark, path)
+    if now is None:
+        target = read_if_present(spark, path)
+        return None if target is None else within_span(target, first, last)
+    loads = [load for load in now.loads if load.may_repeat(first, last, untimed > 0)]
+    loads = loads_with(spark, path, loads, rows, keys) if loads else []
+    return within_span(read_loads(spark, path, loads), first, last) if loads else None
 
 
 def checks() -> dict[str, Column]:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, counted, measure, rows_where
 from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, with_arrivals
-from beaconmill.plans.loads import checks, cleanse, loaded_within, parsed, time_span, unparsed
+from beaconmill.plans.loads import checks, cleanse, loaded_that_repeat, newest_arrival, parsed, time_span, unparsed
+from beaconmill.plans.published import add_load
 from beaconmill.schemas import INVALID_TIMESTAMP, KEYS, STREAM_LOAD, STREAM_READ
 from beaconmill.scratch import remove_dir
 
@@ -64,11 +65,14 @@ def stream_load(
     if brought is None:
         return
     rows = deduplicate(brought.drop("batch"), keys)
-    span = measure(brought, time_span())
-    target = loaded_within(spark, output_path, span["first"], span["last"])
+    seen = measure(brought, {**time_span(), **newest_arrival(brought)})
+    target = loaded_that_repeat(spark, output_path, brought, seen["first"], seen["last"], seen["untimed"], keys)
     if target is not None:
         rows = not_loaded(rows, target, keys)
     stamped, written = counted(stamp_version(rows, load_ts))
-    append(stamped, output_path, buckets)
+    if buckets is None:
+        add_load(stamped, output_path, seen["mark"], keys)
+    else:
+        append(stamped, output_path, buckets)
     append_audit(spark, audit_path, [(STREAM_LOAD, written())])
     remove_dir(spark, pending)

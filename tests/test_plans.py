@@ -316,13 +316,18 @@ def test_jobs_from_the_command_line(spark, tmp_path):
     main(["correlate", "--root", root])
     layers = plans.Layers(root)
     assert plans.read_layer(spark, layers.path("analytical", "ad_impressions_clicks")).count() == 5
-    assert plans.read_layer(spark, layers.path("ingestion", "clicks_closed")).filter("is_current").count() == 5
+    assert plans.read_layer(spark, layers.path("ingestion", "clicks")).filter("is_current").count() == 5
+    # nothing has arrived after the newest arrival loaded; the first update is a whole run
+    main(["incremental-load", "--root", root])
+    assert len(plans.listed(spark, layers.path("ingestion", "clicks")).loads) == 1
+    main(["update-analytical", "--root", root])
+    assert plans.read_layer(spark, layers.path("analytical", "ad_impressions_clicks")).count() == 5
 
 
 def test_jobs_fail_loudly(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         main(["full-load", "--root", str(tmp_path)])
-    with pytest.raises(SystemExit):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         main(["incremental-load", "--root", str(tmp_path)])
     with pytest.raises(SystemExit):
         main(["snapshot", "--root", str(tmp_path)])

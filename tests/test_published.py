@@ -1,0 +1,174 @@
+"""Lists of loads, the index of their keys, and the analytical tables kept up to date."""
+
+import os
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from beaconmill import operators as ops
+from beaconmill import plans, storage
+from beaconmill.plans import published
+
+DAYS = ("2024-05-01", "2024-05-02", "2024-05-03")
+
+
+def rows_of(spark, users, day, ad="ad"):
+    stamps = [(f"U{u}", f"{day} {u % 24:02d}:00:00", f"{ad}{u}") for u in users]
+    df = spark.createDataFrame(stamps, "user_id string, timestamp string, ad_creative_id string")
+    return ops.stamp_version(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), day)
+
+
+def opened(df):
+    """The directories of loads that the plan reads."""
+    return {f.split("/load=")[1].split("/")[0] for f in df.inputFiles()}
+
+
+def names(loads):
+    return {load.name.removeprefix("load=") for load in loads}
+
+
+def test_a_write_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    plans.add_load(rows_of(spark, range(5), DAYS[0]), path)
+    before = sorted(map(tuple, plans.read_layer(spark, path).collect()))
+    reader = plans.read_layer(spark, path)
+
+    def fail(*_):
+        raise OSError("no switch")
+
+    with monkeypatch.context() as m:
+        m.setattr(storage, "write_new", fail)
+        with pytest.raises(OSError):
+            plans.replace_dataset(rows_of(spark, range(9), DAYS[1]), path)
+    assert sorted(map(tuple, plans.read_layer(spark, path).collect())) == before
+    assert len(plans.remove_unlisted(spark, path)) == 1
+    plans.replace_dataset(rows_of(spark, range(9), DAYS[1]), path)
+    assert plans.read_layer(spark, path).count() == 9
+    assert reader.count() == 5  # planned before the switch: its files stay for one more version
+    plans.replace_dataset(plans.read_layer(spark, path).limit(3), path)
+    assert plans.read_layer(spark, path).count() == 3 and len(plans.listed(spark, path).loads) == 1
+    assert len([n for n in os.listdir(path) if n.startswith("load=")]) == 2
+
+
+def test_two_jobs_cannot_switch_at_once(spark, tmp_path):
+    path = str(tmp_path / "d")
+    plans.add_load(rows_of(spark, range(5), DAYS[0]), path)
+    seen = plans.listed(spark, path)
+    ours, theirs = (plans.write_load(rows_of(spark, range(n), DAYS[1]), path) for n in (3, 4))
+    published.publish(spark, path, [theirs], seen)
+    with pytest.raises(RuntimeError):
+        published.publish(spark, path, [ours], seen)
+    assert plans.read_layer(spark, path).count() == 4
+
+
+def test_only_loads_with_a_common_key_are_opened(spark, tmp_path):
+    path = str(tmp_path / "d")
+    # the times of all three loads meet, so only their keys can tell them apart
+    for n in range(3):
+        users = range(n * 1000, n * 1000 + 1000)
+        plans.add_load(rows_of(spark, users, DAYS[0]), path)
+    loads = plans.listed(spark, path).loads
+    incoming = rows_of(spark, [1005, 1006, 5000], DAYS[0])
+    at = [int(datetime(2024, 5, 1, h, tzinfo=timezone.utc).timestamp()) * 10**6 for h in (0, 23)]
+    target = plans.loads.loaded_that_repeat(spark, path, incoming, *at, 0)
+    assert opened(target) == names(loads[1:2])
+    assert [r.user_id for r in ops.not_loaded(incoming, target).collect()] == ["U5000"]
+    assert plans.loads.loaded_that_repeat(spark, path, rows_of(spark, [7000, 7001], DAYS[0]), *at, 0) is None
+    assert plans.loads.loaded_that_repeat(spark, path, incoming, at[0] + 10**12, at[1] + 10**12, 0) is None  # other times
+
+
+def test_index_finds_every_key_and_few_others(spark, tmp_path):
+    path = str(tmp_path / "d")
+    load = plans.add_load(rows_of(spark, range(20_000), DAYS[0]), path)
+    assert load.pages > 1
+    index = spark.read.parquet(f"{path}/_keys/{load.name}")
+    assert index.count() == load.pages and index.agg(F.max(F.length("bits"))).first()[0] == 4096
+    for user in (0, 77, 19_999):
+        assert published.loads_with(spark, path, [load], rows_of(spark, [user], DAYS[0]), load.keys)
+    others = rows_of(spark, range(30_000, 30_300), DAYS[0])
+    found = [bool(published.loads_with(spark, path, [load], others.filter(F.col("user_id") == f"U{u}"), load.keys)) for u in range(30_000, 30_010)]
+    assert sum(found) <= 1
+
+
+def test_rows_without_a_time_or_user_repeat_too(spark, tmp_path):
+    path = str(tmp_path / "d")
+    odd = spark.createDataFrame([("U1", None), (None, None), ("U2", None)], "user_id string, timestamp timestamp")
+    plans.add_load(ops.stamp_version(odd, DAYS[0]), path)
+    target = plans.loads.loaded_that_repeat(spark, path, odd.limit(1), None, None, 1)
+    assert ops.not_loaded(odd, target).count() == 0
+    assert plans.loads.loaded_that_repeat(spark, path, odd.limit(1), None, None, 0) is None
+
+
+def test_the_mark_is_remembered(spark, tmp_path):
+    staging, out, audit = (str(tmp_path / n) for n in ("staging", "out", "audit"))
+    df = rows_of(spark, range(10), DAYS[0]).select("user_id", F.col("timestamp").cast("string"), "ad_creative_id")
+    assert plans.remembered_mark(spark, out).year < 1000
+    for arrived, part in (("2024-06-01 00:00:00.000001", df), ("2024-06-02 00:00:00", df.withColumn("user_id", F.concat(F.lit("n"), "user_id")))):
+        plans.save_arrivals(part, staging, arrived, "append")
+        counts = plans.incremental_load(spark, staging, out, audit, None, arrived)
+        assert (counts["filter_incremental"], counts["deduplicate_data"]) == (10, 10)
+    assert plans.remembered_mark(spark, out) == datetime(2024, 6, 2, tzinfo=timezone.utc)
+    assert plans.incremental_load(spark, staging, out, audit, None, "2024-06-03")["filter_incremental"] == 0
+    plans.close_versions(spark, out)
+    assert plans.remembered_mark(spark, out) == datetime(2024, 6, 2, tzinfo=timezone.utc)
+
+
+def test_plain_files_are_added_to_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "d")
+    plans.append(rows_of(spark, range(3), DAYS[0]), path)
+    assert plans.add_load(rows_of(spark, range(2), DAYS[1]), path) is None
+    assert plans.read_layer(spark, path).count() == 5
+    with pytest.raises(ValueError):
+        plans.close_versions(spark, path)
+
+
+def files_by_day(path):
+    return {d: set(os.listdir(f"{path}/{d}")) for d in os.listdir(path) if d.startswith("event_day=")}
+
+
+def test_delta_equals_a_whole_run_and_leaves_other_days(spark, tmp_path):
+    layers = plans.Layers(str(tmp_path))
+
+    def load(name, df, id_column):
+        plans.add_load(df.withColumnRenamed("ad_creative_id", id_column), layers.path("ingestion", name))
+
+    ids = {"ad_impressions": "ad_creative_id", "clicks": "click_id", "conversions": "conversion_id"}
+    for name, column in ids.items():
+        for day in DAYS:
+            load(name, rows_of(spark, range(20), day, name[:3]), column)
+    # an impression without a time, which is a version of itself
+    untimed = spark.createDataFrame([("U1", None, "x")], "user_id string, timestamp timestamp, ad_creative_id string")
+    load("ad_impressions", ops.stamp_version(untimed, DAYS[0]), "ad_creative_id")
+    assert plans.update_analytical(spark, layers) is None
+    table = layers.path("analytical", "ad_impressions_clicks")
+    before = files_by_day(table)
+    assert plans.update_analytical(spark, layers) == [] and files_by_day(table) == before
+
+    late = rows_of(spark, range(3, 9), DAYS[1], "late").withColumn("load_date", F.lit("2024-06-01").cast("timestamp"))
+    load("clicks", late, "click_id")
+    load("ad_impressions", rows_of(spark, range(30, 33), DAYS[1], "new"), "ad_creative_id")
+    load("conversions", rows_of(spark, [5], "2024-07-07"), "conversion_id")  # no impression that day
+    assert plans.update_analytical(spark, layers) == [DAYS[1]]
+    after = files_by_day(table)
+    assert after[f"event_day={DAYS[1]}"] != before[f"event_day={DAYS[1]}"]
+    assert all(after[d] == before[d] for d in before if DAYS[1] not in d)
+
+    whole = plans.Layers(str(tmp_path))
+    got = {n: sorted(map(repr, plans.read_layer(spark, layers.path("analytical", f"ad_impressions_{n}")).collect())) for n in ("clicks", "conversions")}
+    plans.correlate_layers(spark, whole)
+    for n in got:
+        assert got[n] == sorted(map(repr, plans.read_layer(spark, whole.path("analytical", f"ad_impressions_{n}")).collect()))
+    assert sum("late" in r for r in got["clicks"]) == 6 and len(got["clicks"]) == 64
+
+
+def test_a_replaced_dataset_means_a_whole_run(spark, tmp_path):
+    layers = plans.Layers(str(tmp_path))
+    for name, column in (("ad_impressions", "ad_creative_id"), ("clicks", "click_id"), ("conversions", "conversion_id")):
+        plans.add_load(rows_of(spark, range(5), DAYS[0]).withColumnRenamed("ad_creative_id", column), layers.path("ingestion", name))
+    assert plans.update_analytical(spark, layers) is None
+    plans.replace_dataset(rows_of(spark, range(2), DAYS[0]), layers.path("ingestion", "ad_impressions"))
+    assert plans.update_analytical(spark, layers) is None
+    assert plans.read_layer(spark, layers.path("analytical", "ad_impressions_clicks")).count() == 2
+    with pytest.raises(ValueError):
+        plans.update_analytical(spark, plans.Layers(str(tmp_path / "nothing")))
