@@ -17,7 +17,8 @@ from .common import components, rows, slices, stored
 HASHES, BITS, BAND = 128, 4, 4  # minima, the low bits kept of each, minima in one band
 LONGS = HASHES * BITS // 64
 SLACK = 0.15  # what an estimate may lie below the threshold: over four standard deviations
-ROUNDS = 3  # rounds of comparing with a bucket's representative before what is left is compared
+CROWD = 16  # members of a bucket from which on its pairs are thinned out by their shingles
+RARE = 16  # documents of crowded buckets that a rare shingle is in at most
 SHINGLES_AT_ONCE = 1 << 12
 KNOWN = 1 << 18  # hashes of words a task remembers at once
 
@@ -113,10 +114,10 @@ def full_sets(texts: DataFrame, width: int) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
         for batch in slices(batches, "text", 4_000_000):
-            found = [shingles.of(t).tobytes() for (t,) in rows(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "hashes"])
+            found = [shingles.of(t).view(np.int64) for (t,) in rows(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    return texts.select("node", "text").mapInArrow(apply, "node binary, hashes binary")
+    return texts.select("node", "text").mapInArrow(apply, "node binary, hashes array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -125,8 +126,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in rows(batch, "x", "y"):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -163,45 +164,58 @@ def _maybe(x: str, y: str, percent: int) -> Column:
 
 
 def near_links(nodes: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Edges ``(a, b)`` that connect just those of ``(node, n, sig, bands)`` which chains of links connect.
-
-    In each of ``ROUNDS`` rounds the members of a bucket are compared with one of them, drawn
-    by a hash: one pair for each member. Of the members that are still in different groups
-    all pairs are compared by their packed bits, inside the join, and only those that may be
-    similar enough come out of it. ``sets_of`` gives the full sets of nodes.
+    """``(node, root)`` of the nodes of ``(node, n, sig, bands)`` that chains of links connect.
+
+    First each member of a bucket is compared with the one that has fewest shingles of its
+    own, which for copies of one text is the text or one near it: a pair for each member. Of
+    members that are then still in different groups all pairs are compared, unless something rules
+    them out before they leave the join: sizes, the packed bits, and in a crowded bucket, of
+    more than ``CROWD`` members, their shingles. Two documents of crowded buckets that share
+    a shingle which at most ``RARE`` of these have are found by that shingle; if they share
+    none, all they have in common are other shingles, and both need enough of those. So
+    copies that are too much changed to be linked do not meet each other. ``sets_of`` gives the
+    full sets of nodes.
     """
     buckets = stored(nodes.select("node", F.explode("bands").alias("key")), "minhash-buckets")
-    shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-    kept = nodes.select(F.col("node").alias("of"), "n", "sig")
-    members = stored(buckets.join(shared, "key").join(kept, F.col("node") == F.col("of")).drop("of"), "minhash-members")
-    sets = stored(sets_of(members.select("node").distinct()), "minhash-sets")
-    links, roots = None, None
-
-    def grouped() -> DataFrame:
-        return members.withColumn("root", F.col("node")) if roots is None else members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    def add_links(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        pairs = stored(pairs.distinct(), "minhash-pairs")
-        more = confirmed(pairs, sets, percent)
-        more = stored(more if links is None else more.unionByName(links), "minhash-links")
-        return more, stored(components(more), "minhash-roots")
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key", (F.col("m") > CROWD).alias("crowded"))
+    members = stored(buckets.join(sizes, "key"), "minhash-members")
+    used = stored(members.groupBy("node").agg(F.max("crowded").alias("crowded")), "minhash-used")
+    sets = stored(sets_of(used.select("node")), "minhash-sets")
+
+    spread = sets.join(used.filter("crowded").select("node"), "node", "left_semi").select("node", F.explode("hashes").alias("h"))
+    spread = stored(spread, "minhash-spread")
+    held = spread.join(spread.groupBy("h").agg(F.count(F.lit(1)).alias("times")), "h")
+    held = stored(held.filter("times > 1"), "minhash-held")
+    common = held.groupBy("node").agg(F.count_if(F.col("times") > RARE).alias("common"))
+    known = nodes.select("node", "n", "sig", "bands").join(used.select("node"), "node").join(common, "node", "left")
+    known = stored(known.withColumn("common", F.coalesce("common", F.lit(0))), "minhash-known")
 
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-    own = F.struct("node", "n", "sig", "root")
-    for turn in range(ROUNDS):
-        now = stored(grouped(), "minhash-grouped") if turn else grouped()
-        order = F.struct(F.xxhash64(F.lit(turn), "node"), "node", "n", "sig", "root")
-        chosen = now.groupBy("key").agg(F.min(order).alias("y"), F.min("root").alias("low"), F.max("root").alias("high"))
-        chosen = chosen.filter("low < high").select("key", "y")
-        beside = now.select("key", own.alias("x")).join(chosen, "key")
-        pairs = beside.filter((F.col("x.root") != F.col("y.root")) & _maybe("x", "y", percent))
-        links, roots = add_links(pairs.select(*ends))
-    now = stored(grouped(), "minhash-grouped")
-    mixed_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    left = stored(now.join(mixed_keys, "key"), "minhash-left")
+    own = F.struct("node", "n", "sig")
+    told = members.join(known.select("node", "n", "sig", "common"), "node")
+    middle = F.min(F.struct(F.col("n") - F.col("common"), F.xxhash64("node"), "node", "n", "sig"))
+    chosen = told.groupBy("key").agg(middle.alias("y"))
+    beside = told.select("key", own.alias("x")).join(chosen, "key")
+    pairs = stored(beside.filter((F.col("x.node") != F.col("y.node")) & _maybe("x", "y", percent)).select(*ends).distinct(), "minhash-pairs")
+    links = stored(confirmed(pairs, sets, percent), "minhash-links")
+    roots = stored(components(links), "minhash-roots")
+
+    rooted = stored(known.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "minhash-rooted")
+    grouped = stored(members.join(rooted, "node"), "minhash-grouped")
+    apart = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    left = stored(grouped.join(apart, "key"), "minhash-left")
     x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root")) & _maybe("x", "y", percent))
-    return add_links(pairs.select(*ends))[1]
+    n = F.col("x.n") + F.col("y.n")
+    enough = ~F.col("x.crowded") | ((100 + percent) * F.least("x.common", "y.common") >= percent * n)
+    # a pair that shares several bands comes out of the first one only
+    shared = F.filter(F.zip_with("x.bands", "y.bands", lambda a, b: F.when(a == b, a)), lambda k: k.isNotNull())
+    maybe = (F.col("x.root") < F.col("y.root")) & _maybe("x", "y", percent)
+    near = x.join(y, (F.col("x.key") == F.col("y.key")) & maybe & enough & (F.get(shared, F.lit(0)) == F.col("x.key"))).select(*ends)
+    rare = held.filter(F.col("times") <= RARE).join(rooted.select("node", "n", "sig", "root"), "node")
+    x, y = rare.alias("x"), rare.alias("y")
+    near = near.unionByName(x.join(y, (F.col("x.h") == F.col("y.h")) & maybe).select(*ends))
+    more = confirmed(stored(near.distinct(), "minhash-pairs"), sets, percent)
+    return components(more.unionByName(links))
 
 
 def minhash_groups(
@@ -237,7 +251,7 @@ def minhash_groups(
         bodies = stored(nodes.select("node", "body").join(wanted, "node", "left_semi"), "minhash-bodies")
         texts = given.select(F.md5("text").alias("body"), "text").join(bodies, "body")
         found = full_sets(texts, width)
-        return found.groupBy("node").agg(F.first("hashes").alias("hashes"))
+        return found.dropDuplicates(["node"])
 
     roots = near_links(nodes.select("node", "n", "sig", "bands"), sets_of, percent)
     rooted = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
