@@ -18,7 +18,7 @@ from beaconmill import operators as ops
 from beaconmill import plans, schemas
 from beaconmill.scratch import scratch_dir
 from beaconmill.sources import SourceSpec, read_csv_strings, read_json_strings, read_source, source_spec, split_malformed
-from beaconmill.streaming import stream_load
+from beaconmill.streaming import close_stream, stream_correlated, stream_deduplicated, stream_load
 
 try:  # the operators for training data may be left out of an installation
     import corpus_pipeline
@@ -526,6 +526,39 @@ def stream_of_staging(spark, sf_dir):
     return ntz(plans.read_layer(spark, paths[1]))
 
 
+def stream_late_rows(spark, sf_dir):
+    """Three runs with new files: all but the last week, then everything a day or two late, then the last week."""
+    root = scratch_dir(spark, "late")
+    staging = staged_events(spark, sf_dir, "hour").drop("load_date")
+    day = F.col("timestamp").cast("timestamp")
+    week = day >= F.lit("2024-01-24").cast("timestamp")
+    some = F.col("ad_creative_id").cast("bigint") % 5 == 0
+    paths = [f"{root}/{n}" for n in ("staging", "out", "late", "audit", "state")]
+    for arrival in (staging.filter(~week & ~some), staging.filter(some & ~week), staging.filter(week)):
+        plans.append(arrival, paths[0])
+        stream_deduplicated(spark, *paths, timedelta(days=5))
+    out = plans.read_layer(spark, paths[1]).select("user_id", "timestamp", F.lit(False).alias("late"))
+    late = plans.read_layer(spark, paths[2]).select("user_id", "timestamp", F.lit(True).alias("late"))
+    return ntz(out.unionByName(late))
+
+
+def stream_correlate(spark, sf_dir):
+    """Views and clicks as they come, in three runs by day, then the end of the input."""
+    root = scratch_dir(spark, "joined")
+    views, clicks = views_and(spark, sf_dir, "click", None, "click_id")
+    paths = [f"{root}/{n}" for n in ("views", "clicks", "out", "state")]
+    delay = timedelta(hours=2)
+    for first, last in (("2000-01-01", "2024-01-12"), ("2024-01-12", "2024-01-22"), ("2024-01-22", "2100-01-01"), (None, None)):
+        if first is None:
+            close_stream(spark, *paths[:2], delay=delay)
+        for df, path in zip((views, clicks), paths):
+            if first is not None:
+                rows = df.withColumns({"timestamp": F.col("timestamp").cast("timestamp"), "user_id": F.col("user_id").cast("string")})
+                plans.append(rows.filter(F.col("timestamp").between(F.lit(first).cast("timestamp"), F.expr(f"timestamp'{last}' - interval 1 microsecond"))), path)
+        stream_correlated(spark, *paths, "click_id", delay)
+    return ntz(plans.read_layer(spark, paths[2])).withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
 def analytical(spark, sf_dir):
     """Load views and clicks, the latest per user and day, and correlate them."""
     df = events(spark, sf_dir)
@@ -868,6 +901,18 @@ SQL = {
         select user_id, "timestamp", min(ad_creative_id) as ad_creative_id, 'example.com' as website,
                timestamp '2024-06-01' as load_date, true as is_current
         from staged where user_id is not null group by user_id, "timestamp" """,
+    "stream_late_rows": f"""
+        with {STAGED.format(unit="hour")},
+        runs as (select user_id, "timestamp", case when "timestamp" >= timestamp '2024-01-24' then 3
+                        when ad_creative_id::bigint % 5 = 0 then 2 else 1 end as run from staged where user_id is not null),
+        marks as (select r.run, (select max("timestamp") from runs b where b.run < r.run) as newest from (select unnest([1, 2, 3]) as run) r),
+        told as (select user_id, "timestamp", coalesce("timestamp" < newest - interval 5 day, false) as late from runs join marks using (run))
+        select distinct * from told where not late union all select * from told where late""",
+    "stream_correlate": """
+        select v.event_id, v.user_id, v.ts as "timestamp", v.value, c.event_id as click_id
+        from (select * from events where event_type = 'view') v
+        left join (select * from events where event_type = 'click') c
+          on v.user_id = c.user_id and v.ts = c.ts""",
     "analytical": """
         with kept as (
           select * from (
@@ -920,7 +965,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
         incremental_load, incremental_skip_loaded, incremental_by_mark, publish_in_place, analytical_delta, audit_counts, unparsed_times, audit_incremental,
-        incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches,
+        incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches, stream_late_rows, stream_correlate,
         analytical, layers_clicks, layers_conversions, layers_two_loads, layers_bids, layers_audit,
     )
 }

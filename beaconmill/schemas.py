@@ -27,6 +27,7 @@ FILTER_INCREMENTAL = "filter_incremental"
 INVALID_TIMESTAMP = "invalid_timestamp"
 STREAM_READ = "stream_read"
 STREAM_LOAD = "stream_load"
+STREAM_LATE = "stream_late"
 
 # Headers of the interactions file, and the names every later layer uses.
 INTERACTION_NAMES = {
