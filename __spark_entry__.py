@@ -109,6 +109,20 @@ def scan_json_multiline(spark, sf_dir):
     return read_source(spark, SourceSpec("events", "json", path, options={"multiLine": True})).drop("file")
 
 
+def scan_json_mixed(spark, sf_dir):
+    """All events in one folder: an object to a line, arrays of a thousand events over many lines, and one to a line."""
+    path = scratch_dir(spark, "json")
+    df = events(spark, sf_dir)
+    row = F.to_json(F.struct("*"), {"timestampNTZFormat": MICROS})
+    df.filter("event_id % 3 = 0").select(row.alias("value")).write.text(f"{path}/lines")
+    for n, (first, between, last) in enumerate((("[\n", ",\n", "\n]"), ("[", ", ", "]")), 1):
+        grouped = df.filter(f"event_id % 3 = {n}").select(F.expr("event_id div 1000").alias("file"), row.alias("row")).groupBy("file")
+        arrays = grouped.agg(F.concat(F.lit(first), F.array_join(F.collect_list("row"), between), F.lit(last)).alias("value"))
+        arrays.write.partitionBy("file").text(f"{path}/arrays{n}")
+    spec = SourceSpec("events", "json", path, df.schema, {"layout": "mixed"})
+    return read_source(spark, spec)
+
+
 def scan_json_schema_file(spark, sf_dir):
     """As strings, with the schema read from a file."""
     path = scratch_dir(spark, "json")
@@ -712,6 +726,7 @@ SQL = {
     "scan_csv": STRINGS,
     "scan_json": JSON_ROWS,
     "scan_json_multiline": JSON_ROWS,
+    "scan_json_mixed": "select * from events",
     "scan_json_schema_file": STRINGS,
     "scan_csv_no_header": """
         select event_id::varchar as _c0, ts::varchar as _c1, user_id::varchar as _c2,
@@ -956,7 +971,7 @@ SQL = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        scan_parquet, scan_csv, scan_csv_no_header, scan_json, scan_json_multiline, scan_json_schema,
+        scan_parquet, scan_csv, scan_csv_no_header, scan_json, scan_json_multiline, scan_json_mixed, scan_json_schema,
         scan_json_schema_file, quarantine, sink_overwrite, sink_append,
         stringify_all, stringify_lineitem, flatten_json, flatten_struct, cast_timestamp,
         standardize_constant, upper_user_id, filter_not_null, incremental_filter, rename_columns,

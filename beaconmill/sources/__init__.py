@@ -1,4 +1,5 @@
 from beaconmill.sources.files import read_avro_strings, read_csv_strings, read_json_strings
+from beaconmill.sources.mixed import file_layouts, read_json_mixed
 from beaconmill.sources.spec import (
     SOURCES,
     SourceSpec,
@@ -10,6 +11,8 @@ from beaconmill.sources.spec import (
 )
 
 __all__ = [
+    "file_layouts",
+    "read_json_mixed",
     "SOURCES",
     "SourceSpec",
     "check_json_layout",

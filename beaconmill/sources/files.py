@@ -16,14 +16,15 @@ def read_json_strings(
     schema: str | StructType | None = None,
     schema_file: str | None = None,
     multi_line: bool = False,
+    mixed: bool = False,
 ) -> DataFrame:
-    """JSON as strings, with a schema given or kept in a file.
+    """JSON as strings, with a schema given or kept in a file. ``mixed`` takes each file's layout as it is.
 
     Without either Spark infers one, which reads the whole input once more.
     """
     if schema_file is not None:
         schema = schema_from_file(spark, schema_file)
-    spec = SourceSpec("json", "json", path, schema, {"multiLine": multi_line})
+    spec = SourceSpec("json", "json", path, schema, {"layout": "mixed"} if mixed else {"multiLine": multi_line})
     return stringify(flatten(read_source(spark, spec)))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from beaconmill import schemas
+from beaconmill.sources.mixed import read_json_mixed
 
 
 @dataclass(frozen=True)
@@ -21,7 +22,7 @@ class SourceSpec:
 
     ``options`` are plain reader options. JSON arrays must say ``multiLine=True``;
     the layout is declared, never guessed, and ``read_source`` rejects a wrong
-    declaration. Land newline-delimited JSON where volume matters: a multi-line
+    declaration. ``layout="mixed"`` takes each JSON file as it is (``read_json_mixed``). Land newline-delimited JSON where volume matters: a multi-line
     file cannot be split between tasks.
     """
 
@@ -70,8 +71,13 @@ def read_source(spark: SparkSession, spec: SourceSpec, keep_malformed: bool = Fa
     With ``keep_malformed`` a JSON or CSV row that does not parse keeps its raw
     text in ``_corrupt_record``; see ``split_malformed``. JSON needs a schema for it.
     """
+    if spec.format == "json" and spec.options.get("layout") == "mixed":
+        mixed = read_json_mixed(spark, spec.path, spec.schema)
+        return mixed if keep_malformed else mixed.drop(schemas.MALFORMED)
     if spec.format == "json":
-        check_json_layout(spark, spec.path, _flag(spec.options.get("multiLine")))
+        # malformed text would not be kept anywhere: then a file of another layout gives rows of NULL
+        lossy = spec.schema is not None and not keep_malformed
+        check_json_layout(spark, spec.path, _flag(spec.options.get("multiLine")), every_file=lossy)
     reader = spark.read.format(spec.format).options(**spec.options)
     schema = StructType.fromDDL(spec.schema) if isinstance(spec.schema, str) else spec.schema
     if spec.format == "csv" and schema is None and not _flag(spec.options.get("inferSchema")):
@@ -119,12 +125,12 @@ def readable(df: DataFrame) -> DataFrame:
     return df.filter(F.col(schemas.MALFORMED).isNull() | some).drop(schemas.MALFORMED)
 
 
-def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
+def check_json_layout(spark: SparkSession, path: str, multi_line: bool, every_file: bool = True) -> None:
     """Raise where the declared JSON layout would lose rows.
 
-    An array read line by line gives only malformed rows. The first line tells, and a
-    file further on with another layout shows up in the count of malformed rows, so
-    a look at one line is enough, however many files there are.
+    An array or an object over several lines gives only malformed rows, read line by line.
+    The first line of each file tells, found in one pass over the text without a shuffle of it;
+    without ``every_file``, where malformed text is kept and counted, that of one file.
 
     Read as multi-line, a file gives what its first value holds, one object or one array,
     and no sign of anything after it. So there every file has to be one value, which
@@ -132,11 +138,16 @@ def check_json_layout(spark: SparkSession, path: str, multi_line: bool) -> None:
     """
     trimmed = F.btrim("value", F.lit(" \t\r\n\ufeff"))
     text = spark.read.text(path, wholetext=multi_line)
-    text = text.select(trimmed.alias("text"), F.col("_metadata.file_path").alias("file")).filter("text <> ''")
+    text = text.select(trimmed.alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")).filter("text <> ''")
     if not multi_line:
-        first = text.first()
-        if first is not None and first.text.startswith("["):
-            raise ValueError(f"{first.file} holds a JSON array: read it with multiLine=True")
+        if not every_file:
+            text = text.limit(1)
+        placed = text.withColumn("at", F.struct("start", F.monotonically_increasing_id()))
+        firsts = placed.groupBy("file").agg(F.min_by("text", "at").alias("text"))
+        wrong = firsts.filter("text like '[%' or text = '{'").orderBy("file").first()
+        if wrong is not None:
+            what = "array" if wrong.text.startswith("[") else "value over several lines"
+            raise ValueError(f"{wrong.file} holds a JSON {what}: read it with multiLine=True, or files of several layouts with layout='mixed'")
         return
     # as an element of an array a value counts once; several, with or without commas, do not
     values = F.json_array_length(F.concat(F.lit("["), "text", F.lit("]")))
