@@ -8,6 +8,7 @@ every ``error`` event NULL and cut times to the hour or day.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -132,6 +133,24 @@ def scan_json_schema_file(spark, sf_dir):
     return read_json_strings(spark, f"{path}/data", schema_file=f"{path}/schema")
 
 
+def scan_json_avsc(spark, sf_dir):
+    """As strings, with the schema of an Avro document, as producers ship it."""
+    path = scratch_dir(spark, "json")
+    df = events(spark, sf_dir)
+    df.write.option("timestampNTZFormat", MICROS).json(f"{path}/data")
+    fields = [
+        {"name": "event_id", "type": "long"},
+        {"name": "ts", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
+        {"name": "user_id", "type": ["null", "long"], "default": None},
+        {"name": "event_type", "type": {"type": "enum", "name": "kind", "symbols": ["view", "click", "purchase", "signup", "error"]}},
+        {"name": "value", "type": ["null", "double"]},
+        {"name": "props", "type": "string"},
+    ]
+    document = json.dumps({"type": "record", "name": "event", "namespace": "ads", "fields": fields})
+    spark.createDataFrame([(document,)], "value string").coalesce(1).write.text(f"{path}/schema")
+    return read_json_strings(spark, f"{path}/data", schema_file=f"{path}/schema")
+
+
 def scan_csv_no_header(spark, sf_dir):
     path = scratch_dir(spark, "csv")
     ops.stringify(events(spark, sf_dir)).write.csv(path)
@@ -307,6 +326,14 @@ def scd2_ties(spark, sf_dir):
     )
 
 
+def version_as_of(spark, sf_dir):
+    """Views with the click that was a user's newest at the time; a third of both belongs to one user."""
+    df = events(spark, sf_dir).withColumn("user_id", F.expr("if(event_id % 3 = 0, 0, user_id)"))
+    clicks = of_type(df, "click").select("user_id", F.col("ts").alias("load_date"), F.col("event_id").alias("version_id"))
+    views = of_type(df, "view").select("event_id", "user_id", F.col("ts").alias("timestamp"))
+    return ops.as_of(views, ops.validity(clicks, ["user_id"]), ["user_id"], "timestamp", ["version_id", "valid_from", "valid_to"])
+
+
 def close_versions(spark, sf_dir):
     """As a job, from one path to another."""
     root = scratch_dir(spark, "versions")
@@ -728,6 +755,7 @@ SQL = {
     "scan_json_multiline": JSON_ROWS,
     "scan_json_mixed": "select * from events",
     "scan_json_schema_file": STRINGS,
+    "scan_json_avsc": STRINGS,
     "scan_csv_no_header": """
         select event_id::varchar as _c0, ts::varchar as _c1, user_id::varchar as _c2,
                event_type as _c3, value::varchar as _c4, props as _c5 from events""",
@@ -777,6 +805,15 @@ SQL = {
         select event_id, user_id, timestamp '2024-06-01' as load_date, true as is_current from events""",
     "scd2_current": CLOSED,
     "close_versions": CLOSED,
+    "version_as_of": """
+        with e as (select event_id, if(event_id % 3 = 0, 0, user_id) as user_id, ts, event_type from events),
+        starts as (select user_id, ts, lead(ts) over (partition by user_id order by ts) as next
+                   from (select distinct user_id, ts from e where event_type = 'click')),
+        versions as (select c.user_id, c.event_id as version_id, s.ts as valid_from, s.next as valid_to
+                     from (select * from e where event_type = 'click') c join starts s using (user_id, ts))
+        select v.event_id, v.user_id, v.ts as "timestamp", n.version_id, n.valid_from, n.valid_to
+        from (select * from e where event_type = 'view') v
+        left join versions n on v.user_id = n.user_id and n.valid_from <= v.ts and (v.ts < n.valid_to or n.valid_to is null)""",
     "scd2_ties": """
         select user_id, count(*) + count_if(event_type = 'click') as n_versions, 1::bigint as n_current
         from events group by user_id""",
@@ -972,11 +1009,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         scan_parquet, scan_csv, scan_csv_no_header, scan_json, scan_json_multiline, scan_json_mixed, scan_json_schema,
-        scan_json_schema_file, quarantine, sink_overwrite, sink_append,
+        scan_json_schema_file, scan_json_avsc, quarantine, sink_overwrite, sink_append,
         stringify_all, stringify_lineitem, flatten_json, flatten_struct, cast_timestamp,
         standardize_constant, upper_user_id, filter_not_null, incremental_filter, rename_columns,
         derive_event_ids, derive_conversion_ids, dedup_keys, dedup_keep_latest, dedup_ties, dedup_lineitem,
-        scd_columns, scd2_current, scd2_ties, close_versions, incremental_anti_join, correlate_clicks, correlate_conversions,
+        scd_columns, scd2_current, scd2_ties, close_versions, version_as_of, incremental_anti_join, correlate_clicks, correlate_conversions,
         correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
         incremental_load, incremental_skip_loaded, incremental_by_mark, publish_in_place, analytical_delta, audit_counts, unparsed_times, audit_incremental,

@@ -17,9 +17,11 @@ from beaconmill.operators.staging import (
     stamp_arrival,
     stringify,
 )
+from beaconmill.operators.validity import as_of, validity
 from beaconmill.operators.versions import close_out, current_versions, not_loaded, within_span
 
 __all__ = [
+    "as_of",
     "attribute_first",
     "attribute_last_touch",
     "attribute_within",
@@ -40,5 +42,6 @@ __all__ = [
     "standardize",
     "stringify",
     "uppercase",
+    "validity",
     "within_span",
 ]

@@ -7,6 +7,8 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
+from beaconmill.avsc import compile_avsc
+
 # Field names and types of the sources, as their producers ship them.
 AD_IMPRESSIONS = "ad_creative_id string, user_id string, timestamp string, website string"
 BID_REQUESTS = (
@@ -48,5 +50,8 @@ AUDIT = "operation string, record_count bigint, operation_timestamp timestamp"
 
 
 def schema_from_file(spark: SparkSession, path: str) -> StructType:
-    """The ``StructType`` kept as JSON (``df.schema.json()``) in a file that Spark can read."""
-    return StructType.fromJson(json.loads(spark.read.text(path, wholetext=True).first().value))
+    """The schema kept in a file that Spark can read: a ``StructType`` as JSON
+    (``df.schema.json()``), or an Avro schema document."""
+    text = spark.read.text(path, wholetext=True).first().value
+    found = json.loads(text)
+    return StructType.fromJson(found) if isinstance(found, dict) and found.get("type") == "struct" else compile_avsc(found)
