@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -16,8 +17,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -27,7 +27,7 @@ from .words import byte_letters
 BYTE_FILE, PIECE_FILE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 BLOCK = 1 << 12  # documents at most in one block of the index: a bitmap has as many bits
 BLOCK_BYTES = 12_000_000  # of text, unless a single one is longer
-KNOWN = 350_000  # chunks a task remembers at once
+KNOWN = 400_000  # chunks a task remembers at once
 SPARSE = BLOCK // 16  # up to so many documents are listed in two bytes each, more are a bitmap
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -75,7 +75,7 @@ class Aligner:
     def forget(self) -> None:
         """Of each chunk whether its bytes come back, its tokens, groups and links, the links, and the groups as text, a semicolon behind each."""
         self.ids: dict[str, int] = {}
-        self.counts: list[tuple[bool, int, int, int, int]] = []
+        self.counts = array("q")  # five numbers for each
         self.links: list[bytes] = []
         self.texts: list[str] = []
 
@@ -95,22 +95,28 @@ class Aligner:
             self._learn(new[at : at + 50_000])
         return [list(map(ids.__getitem__, chunks)) for chunks in cut]
 
-
     def _learn(self, new: list[str]) -> None:
         """Encode and align chunks, all of them as one text: each ends in a byte offset common to both sides."""
-        of_a = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+        of_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
         of_b = self.b.encode([c[1:] for c in new], num_threads=1)
         if " " in new:  # a blank at the end: the library makes nothing of a text without characters
             of_b[new.index(" ")] = [self.b.piece_to_id("▁")]
         data = [c.encode() for c in new]
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        back = [b"".join(map(b_bytes, b)) == d and b"".join(map(a_bytes, a)) == d for a, b, d in zip(of_a, of_b, data, strict=True)]
-        whole = [i for i, same in enumerate(back) if same]
+        joined = b"".join(data)
+        whole = range(len(new))
+        # equal as one text, and as long in each chunk; else one by one
+        if not all(
+            b"".join(map(of, chain.from_iterable(ids))) == joined and [sum(map(size, x)) for x in ids] == list(map(len, data))
+            for of, size, ids in ((a_bytes, self.a_sizes.tolist().__getitem__, of_a), (b_bytes, self.b_sizes.tolist().__getitem__, of_b))
+        ):
+            whole = [i for i, d in enumerate(data) if b"".join(map(a_bytes, of_a[i])) == d == b"".join(map(b_bytes, of_b[i]))]
         n_a, n_b = (np.array([len(x[i]) for i in whole], np.int64) for x in (of_a, of_b))
         a, b = (np.fromiter(chain.from_iterable(x[i] for i in whole), np.int64) for x in (of_a, of_b))
-        at_a, at_b, groups = grouped(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]))
-        links, n_links = linked(a, b, at_a, at_b, groups)
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         last = np.cumsum(n_a) - 1  # no chunk is empty
+        at_a, at_b, groups = grouped(ends_a, ends_b)
+        links, n_links = linked(a, b, at_a, at_b, groups)
         n_groups = np.diff(at_a[last] + 1, prepend=0) if len(last) else n_a
         of_chunk = np.add.reduceat(n_links, np.cumsum(n_groups) - n_groups) if len(last) else n_a
         # the groups as text: ids in order, A before B, each with what follows it
@@ -122,18 +128,16 @@ class Aligner:
         ends = np.cumsum(n_a + n_b).tolist()
         link_ends = (np.cumsum(of_chunk) * 8).tolist()
         raw = links.tobytes()
-        made = zip(whole, n_a.tolist(), n_b.tolist(), n_groups.tolist(), of_chunk.tolist(), [0, *ends], ends, [0, *link_ends], link_ends, strict=False)
-        for i, k, m, g, n, p, q, x, y in made:
+        first = len(self.texts)
+        self.ids.update(zip([new[i] for i in whole], range(first, first + len(whole)), strict=True))
+        self.counts.extend(np.stack([np.ones_like(n_a), n_a, n_b, n_groups, of_chunk], 1).ravel().tolist())
+        self.links += [raw[x:y] for x, y in zip([0, *link_ends], link_ends, strict=False)]
+        self.texts += ["".join(parts[x:y]) for x, y in zip([0, *ends], ends, strict=False)]
+        for i in sorted({*range(len(new))}.difference(whole)):
             self.ids[new[i]] = len(self.texts)
-            self.counts.append((True, k, m, g, n))
-            self.links.append(raw[x:y])
-            self.texts.append("".join(parts[p:q]))
-        for i, same in enumerate(back):
-            if not same:
-                self.ids[new[i]] = len(self.texts)
-                self.counts.append((False, 0, 0, 0, 0))
-                self.links.append(b"")
-                self.texts.append("")
+            self.counts.extend([0] * 5)
+            self.links.append(b"")
+            self.texts.append("")
 
 
 @functools.cache
@@ -157,22 +161,18 @@ def members(data: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=1), bitorder="little"))
 
 
-def merged(planes: list[bytes]) -> np.ndarray:
-    """The documents of any of the planes: their bitmaps, or-ed."""
-    return functools.reduce(np.union1d, map(members, planes))
-
-
 def postings(pairs: np.ndarray, docs: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
-    """``(pair, planes)`` for rows sorted by pair and document: plane ``i`` holds the documents whose number of links has bit ``i``."""
+    """``(pair, bitmaps)`` for rows sorted by pair and document.
+
+    The first bitmap has the documents, which is what the planes after it have or-ed. Plane
+    ``i`` has those whose number of links has bit ``i``; there are none where all have one link.
+    """
     starts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else np.zeros(0, np.int64)
     most = np.maximum.reduceat(times, starts) if len(starts) else starts
     for first, last, pair, high in zip(starts.tolist(), np.append(starts[1:], len(pairs)).tolist(), pairs[starts].tolist(), most.tolist(), strict=True):
         at = docs[first:last]
-        if high == 1:
-            yield pair, [compressed(at)]
-        else:
-            bits = times[first:last]
-            yield pair, [compressed(at[(bits >> i & 1).astype(bool)]) for i in range(int(high).bit_length())]
+        bits = times[first:last]
+        yield pair, [compressed(at), *(compressed(at[(bits >> i & 1).astype(bool)]) for i in range(int(high).bit_length() if high > 1 else 0))]
 
 
 DOC = "id {kind}, block bigint, nth int, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pair bigint, planes array<binary>"
@@ -205,18 +205,18 @@ def _block(batch: pa.RecordBatch, maker: Aligner, block: int) -> Iterator[pa.Rec
     if len(maker.ids) > KNOWN:
         maker.forget()
     numbers = [own for part in slices(iter([batch]), "text", 2_000_000) for own in maker.numbers(part.column("text").to_pylist())]
-    per_chunk = np.array(maker.counts, np.int64).reshape(-1, 5)
-    found, used, of_doc = [], [], []
-    for nth, own in enumerate(numbers):
-        at = np.array(own, np.int64)
-        made = per_chunk[at]
-        if not len(at) or not made[:, 0].all():
-            found.append((0, 0, 0, 0, ""))
-            continue
-        text = "".join(map(maker.texts.__getitem__, own))[:-1]
-        found.append((*made[:, 1:].sum(0).tolist(), hashlib.sha256(text.encode()).hexdigest()))
-        used.append(at)
-        of_doc.append(np.full(len(own), nth, np.int64))
+    per_chunk = np.array(maker.counts, np.int64).reshape(-1, 5)  # a copy: the array may not grow while it is viewed
+    size = np.array([len(own) for own in numbers], np.int64)
+    used = np.fromiter(chain.from_iterable(numbers), np.int64, int(size.sum()))
+    of_doc = np.repeat(np.arange(len(numbers)), size)
+    sums = np.stack([np.bincount(of_doc, weights=c[used], minlength=len(numbers)) for c in per_chunk.T], 1).astype(np.int64)
+    whole = (sums[:, 0] == size) & (size > 0)
+    sums[~whole] = 0
+    found = [
+        (*counts, hashlib.sha256("".join(map(maker.texts.__getitem__, own))[:-1].encode()).hexdigest() if same else "")
+        for own, counts, same in zip(numbers, sums[:, 1:].tolist(), whole.tolist(), strict=True)
+    ]
+    used, of_doc = used[whole[of_doc]], of_doc[whole[of_doc]]
     n = batch.num_rows
     counts = [pa.array(c, t) for c, t in zip(zip(*found), [pa.int64()] * 4 + [pa.string()], strict=True)]
     names = ["id", "block", "nth", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair", "planes"]
@@ -224,21 +224,20 @@ def _block(batch: pa.RecordBatch, maker: Aligner, block: int) -> Iterator[pa.Rec
     yield pa.RecordBatch.from_arrays(
         [batch.column("id"), pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), *counts, pa.nulls(n, pa.int64()), pa.nulls(n, planes_kind)], names=names
     )
-    if not used:
+    if not len(used):
         return
     # the links of each chunk that is used, once for each time it is, with the document
-    distinct, at = np.unique(np.concatenate(used), return_inverse=True)
+    distinct = np.unique(used)
+    place = np.zeros(len(per_chunk), np.int64)
+    place[distinct] = np.arange(len(distinct))
+    at = place[used]
     size = per_chunk[distinct, 4]
     start = np.cumsum(size) - size
     flat = np.frombuffer(b"".join(map(maker.links.__getitem__, distinct.tolist())), np.int64)
     pairs, code = np.unique(flat, return_inverse=True)
-    # a chunk counts once for each document that has it, with its number of times
-    key, times = np.unique(np.concatenate(of_doc) * len(distinct) + at, return_counts=True)
-    doc, at = key // len(distinct), key % len(distinct)
     many = size[at]
-    both = code[np.repeat(start[at], many) + within(many)].astype(np.int64) * n + np.repeat(doc, many)
-    key, where = np.unique(both, return_inverse=True)
-    times = np.bincount(where, weights=np.repeat(times, many), minlength=len(key)).astype(np.int64)
+    both = code[np.repeat(start[at], many) + within(many)].astype(np.int64) * n + np.repeat(of_doc, many)
+    key, times = np.unique(both, return_counts=True)
     held = list(postings(pairs[key // n], key % n, times))
     for a in range(0, len(held), 20_000):
         part = held[a : a + 20_000]
@@ -250,22 +249,10 @@ def _block(batch: pa.RecordBatch, maker: Aligner, block: int) -> Iterator[pa.Rec
         )
 
 
-def popcounts(index: DataFrame) -> DataFrame:
-    """``(pair, docs, links)`` of each posting: bits of the or-ed planes, and of the planes by their weight."""
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs, links = [], []
-            for (planes,) in rows(batch, "planes"):
-                if len(planes) == 1:
-                    docs.append(len(members(planes[0])))
-                    links.append(docs[-1])
-                else:
-                    docs.append(len(merged(planes)))
-                    links.append(sum(len(members(p)) << i for i, p in enumerate(planes)))
-            yield pa.RecordBatch.from_arrays([batch.column("pair"), pa.array(docs, pa.int64()), pa.array(links, pa.int64())], names=["pair", "docs", "links"])
-
-    return index.select("pair", "planes").mapInArrow(apply, "pair bigint, docs bigint, links bigint")
+def popcount(bitmap: Column) -> Column:
+    """How many bits a compressed bitmap has: half the bytes of a list, or those that are set."""
+    size = F.octet_length(bitmap)
+    return F.when(size % 2 == 0, F.floor(size / 2)).otherwise(F.bitmap_count(F.substring(bitmap, 2, 1 + BLOCK // 8)))
 
 
 def pair_counts(index: DataFrame) -> DataFrame:
@@ -273,7 +260,12 @@ def pair_counts(index: DataFrame) -> DataFrame:
 
     Blocks hold different documents, so their counts add up, partially before the shuffle.
     """
-    counts = popcounts(index).groupBy("pair").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
+    each = index.select("pair", F.explode(F.transform("planes", lambda p, i: F.struct(p.alias("bitmap"), i.alias("nth")))).alias("b"), F.size("planes").alias("n"))
+    count = popcount(F.col("bitmap"))
+    weight = F.when(F.col("n") == 1, count).when(F.col("nth") > 0, F.expr("shiftleft(1L, nth - 1)") * count).otherwise(0)
+    each = each.select("pair", "b.bitmap", "b.nth", "n")
+    counts = each.select("pair", F.when(F.col("nth") == 0, count).otherwise(0).alias("docs"), weight.alias("links"))
+    counts = counts.groupBy("pair").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
     counts = stored(counts.withColumn("a", F.shiftright("pair", 32)), "align-counts")
     high = counts.groupBy("a").agg(F.max("docs").alias("high"))
     return counts.join(high, "a").select("pair", "docs", "links", (F.col("docs") == F.col("high")).alias("best"))
@@ -287,7 +279,7 @@ def scores(index: DataFrame, counts: DataFrame) -> DataFrame:
         best, total = np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
         for batch in batches:
             for docs, high, planes in rows(batch, "docs", "best", "planes"):
-                for i, plane in enumerate(planes):
+                for i, plane in enumerate(planes[1:] or planes):
                     at = members(plane)
                     total[at] += docs << i
                     if high:
