@@ -540,6 +540,23 @@ def incremental_arrivals(spark, sf_dir):
     return ntz(ops.newer_than(plans.read_layer(spark, path), "2024-02-01 12:00:00"))
 
 
+def staging_drift(spark, sf_dir):
+    """Three arrivals: the second has a column more and one less, the third comes as the first did."""
+    path = scratch_dir(spark, "staging")
+    staging = staged_events(spark, sf_dir, "hour").drop("load_date")
+    third = F.col("ad_creative_id").cast("bigint") % 3
+    plans.save_arrivals(staging.filter(third == 0), path, "2024-02-01", "overwrite")
+    plans.save_arrivals(staging.filter(third == 1).withColumn("kind", F.upper("website")).drop("website"), path, "2024-02-02", "append")
+    plans.save_arrivals(staging.filter(third == 2), path, "2024-02-03", "append")
+    return ntz(plans.read_layer(spark, path))
+
+
+def audit_reconcile(spark, sf_dir):
+    """Every layer against the one before it, after a whole run."""
+    layers = all_layers(spark, sf_dir)
+    return plans.reconcile(spark, layers).select("dataset", "step", "expected_rows", "found_rows", "agrees")
+
+
 def stream_batches(spark, sf_dir):
     """Keys spread over many files: the size of a batch changes nothing."""
     staging = staged_events(spark, sf_dir, "day").repartition(7, "ad_creative_id")
@@ -942,6 +959,25 @@ SQL = {
                timestamp '2024-02-02' as load_date
         from (select staged.*, event_type from staged join events on event_id::varchar = ad_creative_id)
         where event_type <> 'click'""",
+    "staging_drift": f"""
+        with {STAGED.format(unit="hour")}
+        select lower(staged.user_id) as user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp", ad_creative_id,
+               case when ad_creative_id::bigint % 3 <> 1 then event_type end as website,
+               case when ad_creative_id::bigint % 3 = 1 then upper(event_type) end as kind,
+               timestamp '2024-02-01' + (ad_creative_id::bigint % 3) * interval 1 day as load_date
+        from staged join events on event_id::varchar = ad_creative_id""",
+    "audit_reconcile": """
+        with e as (select *, date_trunc('day', ts) as day, event_type in ('click', 'purchase', 'signup') as click,
+                          event_type in ('purchase', 'signup') as conversion from events),
+        loads as (select 'ad_impressions' as dataset, user_id, day from e where event_type = 'view'
+                  union all select 'clicks', user_id, day from e where click
+                  union all select 'conversions', user_id, day from e where conversion
+                  union all select 'bid_requests', user_id, ts from e where event_type = 'error'),
+        steps as (select dataset, 'stage' as step, count(*) as n from loads group by dataset
+                  union all select dataset, 'load', count(*) from (select distinct * from loads) group by dataset
+                  union all select unnest(['ad_impressions_clicks', 'ad_impressions_conversions']), 'correlate', count(*)
+                    from (select distinct * from loads where dataset = 'ad_impressions'))
+        select dataset, step, n as expected_rows, n as found_rows, true as agrees from steps""",
     "stream_batches": f"""
         with {STAGED.format(unit="day")}
         select user_id, "timestamp", min(ad_creative_id) as ad_creative_id, 'example.com' as website,
@@ -1017,7 +1053,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         correlate_exact, correlate_hot_keys, correlate_bucketed, attribute_interval, attribute_interval_day, attribute_first,
         attribute_last_touch, full_load,
         incremental_load, incremental_skip_loaded, incremental_by_mark, publish_in_place, analytical_delta, audit_counts, unparsed_times, audit_incremental,
-        incremental_nothing_new, incremental_arrivals, stream_of_staging, stream_batches, stream_late_rows, stream_correlate,
+        incremental_nothing_new, incremental_arrivals, staging_drift, audit_reconcile, stream_of_staging, stream_batches, stream_late_rows, stream_correlate,
         analytical, layers_clicks, layers_conversions, layers_two_loads, layers_bids, layers_audit,
     )
 }

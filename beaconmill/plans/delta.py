@@ -67,8 +67,9 @@ def _update(spark: SparkSession, layers: Layers, now: dict[str, Listed], new: di
     for name in NAMES:
         loads = [load for load in now[name].loads if load.may_repeat(*span)]
         loads = loads_with(spark, paths[name], loads, touched, KEYS) if loads else []
-        loads = loads or list(now[name].loads[:1])  # for the columns
-        frames[name] = _of_keys(read_loads(spark, paths[name], loads), touched, days)
+        columns = read_loads(spark, paths[name], now[name].loads).schema  # of all loads, also those not opened
+        found = spark.read.schema(columns).parquet(*(f"{paths[name]}/{load.name}" for load in loads or now[name].loads[:1]))
+        frames[name] = _of_keys(found, touched, days)
     overwrite(_joined(frames), f"{scratch}/joined")
     # an impression's days are its own: where only an event is new, there may be none
     joined = spark.read.parquet(f"{scratch}/joined")
@@ -106,6 +107,7 @@ def _write(spark: SparkSession, layers: Layers, joined: DataFrame, touched: Data
         path = layers.path("analytical", f"ad_impressions_{name}")
         rows = joined.drop(*(c for c in IDS.values() if c != id_column))
         if days is not None:
+            # a column that came later is NULL in the files of other days
             there = spark.read.schema(rows.schema).parquet(path).filter(F.col(EVENT_DAY).isin(days))
             kept = there.alias("d").join(touched.alias("t"), _same("d", "t"), "left_anti")
             rows = kept.select(*rows.columns).unionByName(rows)

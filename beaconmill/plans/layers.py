@@ -11,8 +11,10 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from beaconmill.functions import instant
+from beaconmill.plans.columns import record_columns, recorded_columns
 from beaconmill.plans.published import listed, read_loads
 from beaconmill.schemas import KEYS, LOAD_DATE
 from beaconmill.storage import times_with_statistics
@@ -72,7 +74,20 @@ def read_layer(spark: SparkSession, path: str, buckets: Buckets | None = None) -
     now = listed(spark, path)
     if now is not None:
         return read_loads(spark, path, now.loads)
-    return with_arrivals(spark.read.parquet(path)).drop(EVENT_DAY)
+    recorded = recorded_columns(spark, path)
+    reader = spark.read if recorded is None else spark.read.schema(_arriving(recorded))
+    return with_arrivals(reader.parquet(path)).drop(EVENT_DAY)
+
+
+def layer_schema(spark: SparkSession, path: str) -> StructType:
+    """The columns of a table as its files lie there. Of staging these are all that any arrival
+    has had, by the history kept beside it: the footer of some file knows those of one only."""
+    recorded = recorded_columns(spark, path)
+    return spark.read.parquet(path).schema if recorded is None else _arriving(recorded)
+
+
+def _arriving(recorded: StructType) -> StructType:
+    return StructType([*recorded.fields]).add(ARRIVAL, LongType())
 
 
 def with_arrivals(df: DataFrame) -> DataFrame:
@@ -119,6 +134,11 @@ def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str)
     """Write staged rows with a directory per arrival, so that an incremental load
     opens only the arrivals after its mark."""
     spark = df.sparkSession
+    if mode == "append" and recorded_columns(spark, path) is None:
+        earlier = read_if_present(spark, path)
+        if earlier is not None:  # arrivals from before the history
+            columns = spark.read.option("mergeSchema", True).parquet(path).drop(ARRIVAL).schema
+            record_columns(spark, path, "0", columns)
     at = spark.range(1).select(F.unix_micros(instant(arrived))).first()[0]
     writer = df.withColumn(ARRIVAL, F.lit(at)).write.mode(mode)
     times_with_statistics(spark)
@@ -126,6 +146,7 @@ def save_arrivals(df: DataFrame, path: str, arrived: datetime | str, mode: str)
     if read_if_present(spark, path) is None:
         # No row, hence no directory: leave an empty file that tells the columns.
         append(df.limit(0), f"{path}/{ARRIVAL}={at}")
+    record_columns(spark, path, str(at), df.drop(LOAD_DATE).schema)
 
 
 def at_once(jobs: Iterable[Callable[[], object]], most: int = 4) -> list:

@@ -19,8 +19,10 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from beaconmill import storage
+from beaconmill.plans.columns import merged
 from beaconmill.schemas import KEYS, TIME
 
 LISTS, INDEX = "_lists", "_keys"
@@ -32,7 +34,8 @@ BITS_A_KEY = 24  # gives about one false hit in ten thousand keys
 @dataclass(frozen=True)
 class Load:
     """One directory of a dataset. Times are microseconds since the epoch; ``mark`` is the
-    newest arrival that was read for it, ``pages`` the size of its index, 0 without one."""
+    newest arrival that was read for it, ``pages`` the size of its index, 0 without one, and
+    ``schema`` has the columns it was written with."""
 
     name: str
     rows: int
@@ -42,6 +45,7 @@ class Load:
     mark: int | None = None
     pages: int = 0
     keys: tuple[str, ...] = ()
+    schema: str = ""  # as JSON
 
     def may_repeat(self, first: int | None, last: int | None, untimed: bool) -> bool:
         """Whether its times leave room for rows of the span, or for rows without a time."""
@@ -70,9 +74,10 @@ def listed(spark: SparkSession, path: str, version: int | None = None) -> Listed
 
 
 def read_loads(spark: SparkSession, path: str, loads: Iterable[Load]) -> DataFrame:
-    """The rows of the loads; the first one tells the columns."""
-    places = [f"{path}/{load.name}" for load in loads]
-    return spark.read.schema(spark.read.parquet(places[0]).schema).parquet(*places)
+    """The rows of the loads, with all columns that any of them has."""
+    loads = list(loads)
+    schema = merged(StructType.fromJson(json.loads(text)) for text in dict.fromkeys(load.schema for load in loads))
+    return spark.read.schema(schema).parquet(*(f"{path}/{load.name}" for load in loads))
 
 
 def write_load(
@@ -92,7 +97,7 @@ def write_load(
         pages = 1 << max(0, (seen.rows * BITS_A_KEY - 1).bit_length() - BITS.bit_length() + 1)
         index = key_pages(written, keys, pages)
         index.write.parquet(f"{path}/{INDEX}/{name}")
-    return Load(name, seen.rows, seen.first, seen.last, seen.timed < seen.rows, mark, pages, tuple(keys))
+    return Load(name, seen.rows, seen.first, seen.last, seen.timed < seen.rows, mark, pages, tuple(keys), df.schema.json())
 
 
 def publish(spark: SparkSession, path: str, loads: Sequence[Load], instead_of: Listed | None) -> Listed:

@@ -13,7 +13,7 @@ from beaconmill import storage
 from beaconmill.functions import all_present, refuse_column
 from beaconmill.operators import deduplicate
 from beaconmill.plans.audit import append_audit, measure, rows_where
-from beaconmill.plans.layers import append, overwrite, with_arrivals
+from beaconmill.plans.layers import append, layer_schema, overwrite, with_arrivals
 from beaconmill.plans.loads import cleanse
 from beaconmill.schemas import KEYS, STREAM_LATE, STREAM_READ, TIME, USER
 
@@ -93,7 +93,7 @@ def stream_deduplicated(
         storage.write_new(spark, f"{base}/marks/{number:012d}.json", json.dumps({"newest": newest}))
         append_audit(spark, audit_path, seen.items())
 
-    schema = spark.read.parquet(staging_path).schema
+    schema = layer_schema(spark, staging_path)
     _run(
         spark,
         lambda: spark.readStream.schema(schema)

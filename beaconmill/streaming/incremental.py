@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconmill.operators import deduplicate, not_loaded, stamp_version
 from beaconmill.plans.audit import append_audit, counted, measure, rows_where
-from beaconmill.plans.layers import Buckets, append, overwrite, read_if_present, with_arrivals
+from beaconmill.plans.layers import Buckets, append, layer_schema, overwrite, read_if_present, with_arrivals
 from beaconmill.plans.loads import checks, cleanse, loaded_that_repeat, newest_arrival, parsed, time_span, unparsed
 from beaconmill.plans.published import add_load
 from beaconmill.schemas import INVALID_TIMESTAMP, KEYS, STREAM_LOAD, STREAM_READ
@@ -50,7 +50,7 @@ def stream_load(
         overwrite(cleanse(rows), f"{pending}/batch={number}")
         append_audit(spark, audit_path, [(name, counts[name]) for name in (STREAM_READ, INVALID_TIMESTAMP)])
 
-    schema = spark.read.parquet(staging_path).schema
+    schema = layer_schema(spark, staging_path)
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files)
