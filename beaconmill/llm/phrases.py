@@ -18,6 +18,8 @@ from .minhash import mixed
 
 SLOTS = 1 << 25  # counters by hash, which rule out words and pairs that are too rare
 BLOCK = 1 << 16  # counters in one row
+BUCKETS = 1 << 10  # rows that the windows of a slice are packed into
+HELD = 400_000  # windows that a task adds up at once
 SPREAD = 64  # tasks that rank one language before the last one does
 NO_LANG = "und"
 # The bytes that end a piece.
@@ -68,26 +70,59 @@ def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
                 yield lang, ids, follows, known
 
 
-def _slots(lang: str, ids: np.ndarray, follows: np.ndarray, known: Vocabulary, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """The counters of the words, and of the pairs at the positions where ``follows`` is true."""
-    h = mixed(known.hashes() + np.uint64(xxhash.xxh64_intdigest(lang)))[ids]
-    at = np.flatnonzero(follows)
-    pairs = mixed(h[at] * np.uint64(0x9E3779B97F4A7C15) + h[at + 1])
-    mask = np.uint64(slots - 1)
-    return (h & mask).astype(np.int64), (pairs & mask).astype(np.int64)
+def _hashes(lang: str, ids: np.ndarray, known: Vocabulary) -> np.ndarray:
+    return mixed(known.hashes() + np.uint64(xxhash.xxh64_intdigest(lang)))[ids]
 
 
-def _counters(docs: DataFrame, least: int, slots: int) -> DataFrame:
-    """``(lang, n, block, counts)``: words for each language, and each task's counters, which stop at ``least``."""
+def _longer(so_far: np.ndarray, words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of phrases that are followed by the words at ``at``."""
+    return mixed(so_far * np.uint64(0x9E3779B97F4A7C15) + words[at])
+
+
+def _often(bits: np.ndarray, h: np.ndarray, slots: int) -> np.ndarray:
+    slot = h & np.uint64(slots - 1)
+    return (bits[slot >> np.uint64(3)] >> (np.uint64(7) - (slot & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
+def _pairs(h: np.ndarray, follows: np.ndarray, bits: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words may be frequent, and the positions and hashes of the pairs that may."""
+    kept = _often(bits, h, slots)
+    at = np.flatnonzero(follows[:-1] & kept[:-1] & kept[1:])
+    two = _longer(h[at], h, at + 1)
+    frequent = _often(bits, two, slots)
+    return kept, at[frequent], two[frequent]
+
+
+def _counters(docs: DataFrame, least: int, slots: int, longest: int = 2, pairs=None) -> DataFrame:
+    """``(lang, n, block, counts)``: words for each language, and each task's counters, which stop at ``least``.
+
+    Words and pairs are counted, or with the broadcast bits of ``pairs`` all phrases of 3 to
+    ``longest`` words whose pairs may be frequent.
+    """
     kind = np.uint8 if least < 256 else np.uint32
     block = min(BLOCK, slots)
 
+    def phrases(h: np.ndarray, follows: np.ndarray) -> Iterator[np.ndarray]:
+        if pairs is None:
+            yield h
+            at = np.flatnonzero(follows)
+            yield _longer(h[at], h, at + 1)
+            return
+        _, at, so_far = _pairs(h, follows, pairs.value, slots)
+        linked = np.zeros(len(h) + longest, bool)
+        linked[at] = True
+        for k in range(3, longest + 1):
+            goes_on = linked[at + k - 2]
+            at, so_far = at[goes_on], so_far[goes_on]
+            so_far = _longer(so_far, h, at + k - 1)
+            yield so_far
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(slots, kind), {}
         for lang, ids, follows, known in tokens(batches):
             n[lang] = n.get(lang, 0) + len(ids)
-            for found in _slots(lang, ids, follows, known, slots):
-                slot, more = np.unique(found, return_counts=True)
+            for found in phrases(_hashes(lang, ids, known), follows):
+                slot, more = np.unique(found & np.uint64(slots - 1), return_counts=True)
                 counts[slot] = np.minimum(counts[slot] + more, least)
         out = [(lang, found, None, None) for lang, found in n.items()]
         for at in range(0, slots, block) if n else ():
@@ -124,34 +159,33 @@ def _frequent(counters: DataFrame, least: int, slots: int) -> np.ndarray:
     return np.packbits(bits)
 
 
-def windows(docs: DataFrame, longest: int, frequent: np.ndarray, slots: int) -> DataFrame:
-    """``(lang, w1 .. wN, c)``: how often each padded longest window occurs, added up in each slice.
+def windows(docs: DataFrame, longest: int, pairs, longer, slots: int) -> DataFrame:
+    """``(lang, bucket, packed)``: how often each padded longest window occurs, added up in each slice.
 
     ``w1`` is a word and the columns after it the words that follow, null from the end of the
-    piece on. A word or pair that is too rare ends the window too: no phrase that is frequent
-    enough goes across it.
+    piece on. What is surely too rare, by the broadcast bits, ends the window too: no phrase
+    that is frequent enough goes across it. The windows of a slice are dealt into ``BUCKETS`` by
+    their first words, each bucket packed into one row.
     """
-    names = [f"w{i}" for i in range(1, longest + 1)]
-    held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = held.value
-
-        def often(slot: np.ndarray) -> np.ndarray:
-            return (bits[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)
-
         for lang, ids, follows, known in tokens(batches):
-            one, two = _slots(lang, ids, follows, known, slots)
-            kept = often(one)
-            goes_on = np.zeros(len(ids) + longest, bool)
-            at = np.flatnonzero(follows)
-            goes_on[at] = often(two) & kept[at] & kept[at + 1]
+            h = _hashes(lang, ids, known)
+            kept, at, so_far = _pairs(h, follows, pairs.value, slots)
+            linked = np.zeros(len(h) + longest, bool)
+            linked[at] = True
+            size = kept.astype(np.int8)  # words of the window that begins here
+            size[at] = 2
+            for k in range(3, longest + 1):
+                goes_on = linked[at + k - 2]
+                at, so_far = at[goes_on], so_far[goes_on]
+                so_far = _longer(so_far, h, at + k - 1)
+                frequent = _often(longer.value, so_far, slots)
+                at, so_far = at[frequent], so_far[frequent]
+                size[at] = k
             padded = np.concatenate([ids, np.full(longest, -1, np.int32)])
             start = np.flatnonzero(kept)
-            columns, alive = [ids[start]], np.ones(len(start), bool)
-            for i in range(1, longest):
-                alive = alive & goes_on[start + i - 1]
-                columns.append(np.where(alive, padded[start + i], -1).astype(np.int32))
+            columns = [np.where(size[start] > i, padded[start + i], -1).astype(np.int32) for i in range(longest)]
             order = np.lexsort(columns)
             columns = [c[order] for c in columns]
             new = np.ones(len(order), bool)
@@ -159,15 +193,52 @@ def windows(docs: DataFrame, longest: int, frequent: np.ndarray, slots: int) ->
                 new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(order)))
-            words = pa.array(known.words, pa.binary()).cast(pa.string())
-            for a in range(0, len(first), 100_000):
-                part = first[a : a + 100_000]
-                out = [words.take(pa.array(c[part], mask=c[part] < 0)) for c in columns]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part), pa.string()), *out, pa.array(times[a : a + 100_000], pa.int64())], names=["lang", *names, "c"]
-                )
+            heads = mixed(h[start[order[first]]] + np.where(columns[1][first] >= 0, h[np.minimum(start[order[first]] + 1, len(h) - 1)], 0))
+            bucket = (heads % np.uint64(BUCKETS)).astype(np.int64)
+            by_bucket = np.argsort(bucket, kind="stable")
+            texts = [known.words[i] for i in columns[0][first].tolist()]
+            for column in columns[1:]:
+                texts = [t + b" " + known.words[i] if i >= 0 else t for t, i in zip(texts, column[first].tolist(), strict=True)]
+            lines = [b"%s\t%d" % pair for pair in zip(texts, times.tolist(), strict=True)]
+            lines = list(map(lines.__getitem__, by_bucket.tolist()))
+            found, ends = np.unique(bucket, return_counts=True)
+            ends = np.cumsum(ends).tolist()
+            out = [zlib.compress(b"\n".join(lines[a:b]), 1) for a, b in zip([0, *ends], ends, strict=False)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(out), pa.string()), pa.array(found.astype(np.int32)), pa.array(out, pa.binary())], names=["lang", "bucket", "packed"]
+            )
+
+    return docs.mapInArrow(apply, "lang string, bucket int, packed binary")
+
+
+def unpacked(packed: DataFrame, longest: int) -> DataFrame:
+    """``(lang, w1 .. wN, c)`` of packed windows, summed where the rows of a bucket meet.
+
+    ``w1`` is a word and the columns after it the words that follow, null where the window
+    ends before. A task that holds ``HELD`` windows passes them on and begins anew.
+    """
+    names = [f"w{i}" for i in range(1, longest + 1)]
 
-    return docs.mapInArrow(apply, "lang string, " + "".join(f"{n} string, " for n in names) + "c bigint")
+    def batch(found: dict[tuple[str, bytes], int]) -> pa.RecordBatch:
+        cut = [text.decode("utf-8", "surrogatepass").split(" ") for _, text in found]
+        columns = [pa.array([w[i] if len(w) > i else None for w in cut], pa.string()) for i in range(longest)]
+        return pa.RecordBatch.from_arrays([pa.array([lang for lang, _ in found], pa.string()), *columns, pa.array(found.values(), pa.int64())], names=["lang", *names, "c"])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, bytes], int] = {}
+        for part in batches:
+            for lang, data in rows(part, "lang", "packed"):
+                for line in zlib.decompress(data).split(b"\n"):
+                    text, _, times = line.rpartition(b"\t")
+                    found[lang, text] = found.get((lang, text), 0) + int(times)
+                if len(found) >= HELD:
+                    yield batch(found)
+                    found = {}
+        if found:
+            yield batch(found)
+
+    dealt = packed.repartition("lang", "bucket").select("lang", "packed")
+    return dealt.mapInArrow(apply, "lang string, " + "".join(f"{n} string, " for n in names) + "c bigint")
 
 
 def _frequencies(counted: DataFrame, longest: int, least: int) -> DataFrame:
@@ -207,7 +278,8 @@ def collocations(
     ``n`` is the number of all words of the language. Phrases inside a longer one with ``least``
     occurrences that is as frequent are left out. Ranks go by score, ``a`` and phrase.
 
-    The counters by hash only rule out what is surely too rare. Once a corpus has far more than
+    The counters by hash, first of words and pairs, then of longer phrases made of frequent
+    pairs, only rule out what is surely too rare. Once a corpus has far more than
     ``least * slots`` words they rule out less, and the windows that are shuffled come near one
     for each word; the result is the same. A null language reads ``und`` and shares its counts, a
     null or empty text has no words, repeated rows count as often as they occur, and texts of
@@ -217,7 +289,10 @@ def collocations(
     given = docs.select(F.coalesce(F.col(lang_column), F.lit(NO_LANG)).alias("lang"), F.col(text_column).alias("text"))
     counters = stored(_counters(given, least, slots), "phrase-counters")
     total = counters.filter("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
-    counted = windows(given, longest, _frequent(counters, least, slots), slots)
+    spread = given.sparkSession.sparkContext.broadcast
+    pairs = spread(_frequent(counters, least, slots))
+    longer = spread(_frequent(stored(_counters(given, least, slots, longest, pairs), "phrase-counters"), least, slots))
+    counted = unpacked(windows(given, longest, pairs, longer, slots), longest)
     found = stored(_frequencies(counted, longest, least).withColumn("phrase", _text(F.col("words"))), "phrases")
     candidates = found.filter(F.size("words") > 1)
 

@@ -258,7 +258,8 @@ def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     a, n = 10**13 + 7, 10**14 + 3
     windows = spark.createDataFrame([("en", "x", "y", None, None, None, a)], "lang string, w1 string, w2 string, w3 string, w4 string, w5 string, c bigint")
     y = spark.createDataFrame([("en", "y", None, None, None, None, a)], windows.schema)
-    monkeypatch.setattr(phrases, "windows", lambda *_: windows.unionByName(y))
+    monkeypatch.setattr(phrases, "windows", lambda *_: None)
+    monkeypatch.setattr(phrases, "unpacked", lambda *_: windows.unionByName(y))
     monkeypatch.setattr(phrases, "_counters", lambda docs, *_: docs.sparkSession.createDataFrame([("en", n, None, None)], "lang string, n bigint, block int, counts binary"))
     (row,) = phrases.collocations(spark.createDataFrame([("en", "")], "lang string, text string"), slots=1 << 10).collect()
     assert row.score == 1000 * a * n // (a * a) and (row.l, row.r) == (a, a)
