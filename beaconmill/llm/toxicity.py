@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -49,38 +48,111 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margin(x).astype(float), -40, 40)))
 
 
+@dataclass
+class Sparse:
+    """Rows of a design: the columns of row ``i`` and their values lie from ``starts[i]`` to ``starts[i + 1]``."""
+
+    starts: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
+
+    def part(self, rows_: np.ndarray) -> Sparse:
+        size = np.diff(self.starts)[rows_]
+        starts = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(starts[-1]) - np.repeat(starts[:-1] - self.starts[rows_], size)
+        return Sparse(starts, self.columns[at], self.values[at])
+
+    def sums(self, of: np.ndarray) -> np.ndarray:
+        """The sum over each row of a number, or a vector, for each entry."""
+        total = np.concatenate([np.zeros((1, *of.shape[1:])), np.cumsum(of, 0, dtype=np.float64)])
+        return total[self.starts[1:]] - total[self.starts[:-1]]
+
+
+def margins(machine: Machine, x: Sparse) -> tuple[np.ndarray, np.ndarray]:
+    """The margin of each row, and its sum of factors."""
+    weighted = machine.factors[x.columns] * x.values[:, None]
+    mixed = x.sums(weighted)
+    return machine.bias + x.sums(machine.linear[x.columns] * x.values) + 0.5 * (mixed**2 - x.sums(weighted**2)).sum(1), mixed
+
+
+def scores(machine: Machine, x: Sparse) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margins(machine, x)[0], -40, 40)))
+
+
 def fit_machine(
-    x: np.ndarray, y: np.ndarray, buckets: np.ndarray, rank: int, steps: int = 250, rate: float = 0.08, ridge: float = 5e-5, balance: float = 1.0
+    x: Sparse,
+    y: np.ndarray,
+    buckets: np.ndarray,
+    rank: int,
+    epochs: int = 12,
+    batch: int = 256,
+    rate: float = 0.5,
+    lasso: float = 1.3,
+    least: int = 20,
+    factor_rate: float = 0.05,
+    factor_ridge: float = 10.0,
+    factor_start: float = 300.0,
+    balance: float = 1.0,
 ) -> Machine:
-    """Logistic loss with ridge, by full gradients with Adam; the start is fixed.
-
-    The rarer class weighs more: at ``balance`` 1 both weigh the same in total, at 0 each row does.
+    """Logistic loss by minibatches over all columns; order and start are fixed.
+
+    Linear weights follow the regularised leader, with a lasso of ``lasso`` times the root of
+    the number of rows: a column has a weight once its gradients add up to more than chance
+    would, so that the many columns of a few rows do not learn these by heart. Columns of at least ``least``
+    rows have factors too, which move by AdaGrad from a small start, slowly and held
+    by a ridge: pairs say what weights leave open. The rarer class weighs more: at ``balance``
+    1 both weigh the same in total, at 0 each row does.
     """
-    n, d = x.shape
+    n, d = len(x), len(buckets)
+    m = Machine(buckets, 0.0, np.zeros(d, np.float32), np.zeros((d, rank), np.float32))
+    if not n or not d:
+        base = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        m.bias = float(np.log(base / (1 - base)))
+        return m
     weight = np.ones(n)
-    if n and 0 < y.sum() < n:
+    if 0 < y.sum() < n:
         weight = np.where(y == 1, ((n - y.sum()) / y.sum()) ** balance, 1.0)
         weight /= weight.mean()
     rng = np.random.default_rng(11)
-    base = np.clip((y * weight).mean() if n else y.mean(), 1e-3, 1 - 1e-3)
-    theta = np.concatenate([[np.log(base / (1 - base))], np.zeros(d), rng.normal(0, 0.02, d * rank)])
-    x = x.astype(np.float32)
-    first, second, square = np.zeros_like(theta), np.zeros_like(theta), x**2
-
-    def machine() -> Machine:
-        return Machine(buckets, theta[0], theta[1 : d + 1], theta[d + 1 :].reshape(d, rank))
-
-    for t in range(1, steps + 1 if n and d else 0):
-        m = machine()
-        m.linear, m.factors = m.linear.astype(np.float32), m.factors.astype(np.float32)
-        error = (weight * (m.score(x) - y) / n).astype(np.float32)
-        mixed = x @ m.factors
-        by_factor = x.T @ (error[:, None] * mixed) - (square.T @ error)[:, None] * m.factors
-        slope = np.concatenate([[error.sum()], x.T @ error + ridge * m.linear, (by_factor + ridge * m.factors).ravel()])
-        first = 0.9 * first + 0.1 * slope
-        second = 0.999 * second + 0.001 * slope**2
-        theta = theta - rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    return machine()
+    often = np.bincount(x.columns, minlength=d) >= least
+    m.factors[often] = rng.normal(0, 0.02, (int(often.sum()), rank))
+    lead, squares, bound = np.zeros(d), np.zeros(d), lasso * n**0.5
+    moved, bias_moved = np.full((d, rank), factor_start, np.float32), 1.0
+
+    def summed(columns: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct, local = np.unique(columns, return_inverse=True)
+        return distinct, np.stack([np.bincount(local, c, len(distinct)) for c in of.T], 1)
+
+    for _ in range(epochs):
+        order = rng.permutation(n)
+        for at in range(0, n, batch):
+            part = x.part(order[at : at + batch])
+            margin, mixed = margins(m, part)
+            error = weight[order[at : at + batch]] * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - y[order[at : at + batch]])
+            of_row = np.repeat(np.arange(len(part)), np.diff(part.starts))
+            push = error[of_row] * part.values
+            columns, slope = summed(part.columns, push[:, None])
+            slope = slope[:, 0]
+            longer = np.sqrt(squares[columns] + slope**2)
+            lead[columns] += slope - (longer - np.sqrt(squares[columns])) / rate * m.linear[columns]
+            squares[columns] += slope**2
+            z = lead[columns]
+            m.linear[columns] = np.where(np.abs(z) <= bound, 0, -(z - np.sign(z) * bound) / ((1 + longer) / rate + 1))
+            paired = often[part.columns]
+            if paired.any():
+                own = part.columns[paired]
+                toward = push[paired, None] * (mixed[of_row[paired]] - part.values[paired, None] * m.factors[own])
+                columns, slopes = summed(own, toward)
+                slopes += factor_ridge * m.factors[columns]
+                moved[columns] += slopes**2
+                m.factors[columns] -= factor_rate * slopes / np.sqrt(moved[columns])
+            bias_moved += error.sum() ** 2
+            m.bias -= 0.1 * error.sum() / bias_moved**0.5
+    told = (m.linear != 0) | often
+    return Machine(buckets[told], m.bias, m.linear[told], m.factors[told])
 
 
 def training_labels(labels: DataFrame, target: str, most: int, id_column: str = "doc_id") -> DataFrame:
@@ -101,78 +173,68 @@ def fit_toxicity(
     *,
     target: str = "toxic",
     max_train: int = 20_000,
-    bits: int = 18,
-    terms: int = 256,
+    bits: int = 20,
     rank: int = 8,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> Machine:
     """Learns from a bounded sample of labelled rows (``max_train``); its size is proven, so it is broadcast.
 
-    All hashed terms of the sample are counted in Spark. The ``terms`` buckets that tell
-    the classes apart best become the columns of the machine, and it is fitted to the
-    sample's counts of them. Without both classes in the sample it learns a constant.
+    All hashed terms of the sample are columns of the machine, so that pairs of terms tell which
+    tell nothing alone; ``bits`` bounds their number. Spark counts them for each row, and the
+    sparse rows of the sample are fitted on the driver. Without both classes in the sample it
+    learns a constant.
     """
     known = training_labels(labels, target, max_train, id_column)
     sample = docs.select(F.col(id_column).alias("label_id"), F.col(text_column).alias("text")).join(F.broadcast(known), "label_id").select("y", "text")
-    totals = {r["y"]: r["count"] for r in known.groupBy("y").count().toLocalIterator()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for y, text in rows(batch, "y", "text"):
-                found[y].update({b for w in set(words(text)) for b in hashed(w, bits)})
-        keys = sorted(found[0].keys() | found[1].keys())
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(keys, pa.int32()), "n0": pa.array([found[0][k] for k in keys], pa.int64()), "n1": pa.array([found[1][k] for k in keys], pa.int64())})
-
-    counts = sample.mapInArrow(count, "bucket int, n0 bigint, n1 bigint").groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    n0, n1 = max(1, totals.get(0, 0)), max(1, totals.get(1, 0))
-    p, q = F.col("n1") / n1, F.col("n0") / n0
-    both = (F.col("n0") + F.col("n1")) / (n0 + n1)
-    gap = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / n0 + 1 / n1) + 1e-9)
-    best = counts.orderBy(F.round(gap, 6).desc(), "bucket").limit(terms).toPandas()["bucket"].to_numpy()
-    buckets = np.sort(best).astype(np.int64)
-
-    def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = design(batch.column("text").to_pylist(), buckets, bits)
-            yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "x": pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary())})
-
-    table = sample.mapInArrow(columns, "y int, x binary").toPandas()
+        known = Columns(None, bits)
+        for batch in slices(batches, "text", 2_000_000):
+            x = design(batch.column("text").to_pylist(), 1 << bits, known)
+            parts = [(x.columns[a:b].astype(np.int32).tobytes(), x.values[a:b].astype(np.float32).tobytes()) for a, b in zip(x.starts, x.starts[1:])]
+            yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "at": pa.array([a for a, _ in parts], pa.binary()), "x": pa.array([b for _, b in parts], pa.binary())})
+
+    table = sample.mapInArrow(count, "y int, at binary, x binary").toPandas()
+    table = table.sort_values(["y", "at", "x"], ignore_index=True)  # the rows arrive in any order, sums must not depend on it
     if not len(table) or table["y"].nunique() < 2:
         constant = float(table["y"].mean()) if len(table) else 0.0
-        return fit_machine(np.zeros((0, len(buckets))), np.array([constant]), buckets, rank)
-    x = np.stack([np.frombuffer(b, np.float32) for b in table["x"]]).astype(float)
-    order = np.lexsort((*x.T, table["y"]))  # the rows arrive in any order, sums must not depend on it
-    return fit_machine(x[order], table["y"].to_numpy()[order].astype(float), buckets, rank)
+        return fit_machine(Sparse(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.array([constant]), np.zeros(0, np.int64), rank)
+    at = [np.frombuffer(b, np.int32) for b in table["at"]]
+    buckets, columns = np.unique(np.concatenate(at).astype(np.int64), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum([len(a) for a in at])])
+    x = Sparse(starts, columns, np.frombuffer(b"".join(table["x"]), np.float32))
+    return fit_machine(x, table["y"].to_numpy().astype(float), buckets, rank)
 
 
 class Columns(dict):
-    """The columns of a word, mostly none; the words met so far are kept up to a bound."""
+    """The columns of a word, the buckets themselves where none are given; the words met so far are kept up to a bound."""
 
-    def __init__(self, buckets: np.ndarray, bits: int, most: int = 500_000):
+    def __init__(self, buckets: np.ndarray | None, bits: int, most: int = 300_000):
         super().__init__()
-        self.place, self.bits, self.most = {int(b): i for i, b in enumerate(buckets)}, bits, most
+        self.place = None if buckets is None else dict(zip(buckets.tolist(), range(len(buckets))))
+        self.bits, self.most = bits, most
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > self.most:
             self.clear()
-        at = self[word] = tuple(self.place[b] for b in hashed(word, self.bits) if b in self.place)
+        at = hashed(word, self.bits)
+        if self.place is not None:
+            at = tuple(self.place[b] for b in at if b in self.place)
+        self[word] = at
         return at
 
 
-def design(texts: list[str | None], buckets: np.ndarray, bits: int, known: Columns | None = None) -> np.ndarray:
-    """``log(1 + count)`` of each bucket's terms, a row for each text."""
-    known = Columns(buckets, bits) if known is None else known
-    x = np.zeros((len(texts), len(buckets)))
-    for i, text in enumerate(texts):
-        if text:
-            at = np.fromiter(chain.from_iterable(map(known.__getitem__, words(text))), np.int64)
-            x[i] = np.bincount(at, minlength=len(buckets))
-    return np.log1p(x)
+def design(texts: list[str | None], width: int, known: Columns) -> Sparse:
+    """``log(1 + count)`` of each column's terms, a sparse row for each text."""
+    found = [list(chain.from_iterable(map(known.__getitem__, words(text)))) if text else [] for text in texts]
+    size = [len(f) for f in found]
+    flat = np.fromiter(chain.from_iterable(found), np.int64, sum(size))
+    key, times = np.unique(np.repeat(np.arange(len(texts)), size) * width + flat, return_counts=True)
+    return Sparse(np.searchsorted(key, np.arange(len(texts) + 1) * width), key % width, np.log1p(times))
 
 
-def score_toxicity(docs: DataFrame, machine: Machine, *, bits: int = 18, threshold: float = 0.7, text_column: str = "text") -> DataFrame:
+def score_toxicity(docs: DataFrame, machine: Machine, *, bits: int = 20, threshold: float = 0.7, text_column: str = "text") -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; one pass, no shuffle.
 
     A null text counts as empty and, like a text of unknown terms, gets the score of no
@@ -182,12 +244,15 @@ def score_toxicity(docs: DataFrame, machine: Machine, *, bits: int = 18, thresho
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     schema = docs.select(kept).schema.add("score", "double").add("predicted", "integer")
 
+    held = docs.sparkSession.sparkContext.broadcast(machine)
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = held.value
         known = Columns(machine.buckets, bits)
-        for batch in slices(batches, text_column):
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                score = machine.score(design(part.column(text_column).to_pylist(), machine.buckets, bits, known))
+        for batch in slices(batches, text_column, 2_000_000):
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                score = scores(machine, design(part.column(text_column).to_pylist(), max(1, len(machine.buckets)), known))
                 out = [*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(out, names=[*kept, "score", "predicted"])
 

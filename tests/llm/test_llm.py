@@ -199,6 +199,34 @@ def test_machine_learns_what_no_sum_of_weights_can(spark):
     assert (found.truth == found.predicted).all()
 
 
+def test_pairs_of_words_tell_among_thousands(spark):
+    """Toxic only with an insult and a group together, or with a rare plain marker; each alone is clean."""
+    rng = np.random.default_rng(3)
+    vocabulary = np.array(["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(5000)])
+    share = 1 / np.arange(1, 5001) ** 0.8
+    rows = []
+    for n in range(6000):
+        said = list(rng.choice(vocabulary, 60, p=share / share.sum()))
+        said += ["stupid"] * (n % 8 in (0, 1)) + ["martians"] * (n % 8 in (0, 2)) + ["vilemark"] * (n % 16 == 3)
+        rows.append((n, " ".join(rng.permutation(said)), int(n % 8 == 0 or n % 16 == 3), "both" if n % 8 == 0 else "one" if n % 8 in (1, 2) else "mark" if n % 16 == 3 else "none"))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int, what string")
+    machine = toxicity.fit_toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    found = toxicity.score_toxicity(table, machine).filter((common.remainder("doc_id", 3) == 1)).groupBy("what").agg(F.avg("predicted")).collect()
+    share = dict(map(tuple, found))
+    assert share["both"] > 0.9 and share["mark"] > 0.9 and share["one"] < 0.1 and share["none"] < 0.01
+
+
+def test_sparse_margins_equal_dense_ones():
+    rng = np.random.default_rng(4)
+    dense = np.where(rng.random((7, 9)) < 0.4, rng.normal(size=(7, 9)), 0)
+    dense[2] = 0
+    at = np.nonzero(dense)
+    x = toxicity.Sparse(np.concatenate([[0], np.cumsum((dense != 0).sum(1))]), at[1], dense[at])
+    m = toxicity.Machine(np.arange(9), 0.1, rng.normal(size=9), rng.normal(size=(9, 3)))
+    assert np.allclose(toxicity.margins(m, x)[0], m.margin(dense))
+    assert np.allclose(toxicity.scores(m, x.part(np.array([5, 2, 0]))), m.score(dense[[5, 2, 0]]))
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     machine = toxicity.fit_toxicity(docs, labels)
