@@ -193,18 +193,25 @@ def fit_toxicity(
         for batch in slices(batches, "text", 2_000_000):
             x = design(batch.column("text").to_pylist(), 1 << bits, known)
             parts = [(x.columns[a:b].astype(np.int32).tobytes(), x.values[a:b].astype(np.float32).tobytes()) for a, b in zip(x.starts, x.starts[1:])]
-            yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "at": pa.array([a for a, _ in parts], pa.binary()), "x": pa.array([b for _, b in parts], pa.binary())})
-
-    table = sample.mapInArrow(count, "y int, at binary, x binary").toPandas()
-    table = table.sort_values(["y", "at", "x"], ignore_index=True)  # the rows arrive in any order, sums must not depend on it
-    if not len(table) or table["y"].nunique() < 2:
-        constant = float(table["y"].mean()) if len(table) else 0.0
+            keys = [xxhash.xxh3_64_intdigest(a + b) >> 1 for a, b in parts]
+            columns = [pa.array(keys, pa.int64()), pa.array([a for a, _ in parts], pa.binary()), pa.array([b for _, b in parts], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), *columns], names=["y", "key", "at", "x"])
+
+    table = sample.mapInArrow(count, "y int, key bigint, at binary, x binary").toArrow()
+    y, key = (table.column(c).to_numpy() for c in ("y", "key"))
+    if not len(y) or y.min() == y.max():
+        constant = float(y.mean()) if len(y) else 0.0
         return fit_machine(Sparse(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.array([constant]), np.zeros(0, np.int64), rank)
-    at = [np.frombuffer(b, np.int32) for b in table["at"]]
-    buckets, columns = np.unique(np.concatenate(at).astype(np.int64), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum([len(a) for a in at])])
-    x = Sparse(starts, columns, np.frombuffer(b"".join(table["x"]), np.float32))
-    return fit_machine(x, table["y"].to_numpy().astype(float), buckets, rank)
+    order = np.lexsort((key, y)).tolist()  # the rows arrive in any order, sums must not depend on it
+    at, x = ([np.frombuffer(b.as_buffer(), kind) for b in table.column(c)] for c, kind in (("at", np.int32), ("x", np.float32)))
+    starts = np.concatenate([[0], np.cumsum([len(at[i]) for i in order])])
+    columns, values = (np.concatenate([part[i] for i in order]) for part in (at, x))
+    del table, at, x
+    place = np.zeros(1 << bits, np.int32)
+    place[columns] = 1
+    buckets = np.flatnonzero(place)
+    place[buckets] = np.arange(len(buckets), dtype=np.int32)
+    return fit_machine(Sparse(starts, place[columns], values), y[order].astype(float), buckets, rank)
 
 
 class Columns(dict):
