@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,17 +87,19 @@ def write_load(
     spark = df.sparkSession
     name = f"load={uuid.uuid4().hex}"
     storage.times_with_statistics(spark)
-    df.write.parquet(f"{path}/{name}")
-    written = spark.read.schema(df.schema).parquet(f"{path}/{name}")
     timed = time in df.columns and df.schema[time].dataType.typeName() == "timestamp"
     at = F.unix_micros(time) if timed else F.lit(None).cast("bigint")
-    seen = written.agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"), F.count(at).alias("timed")).first()
+    # measured on top of the plan, in the tasks that write: each counts once, however often it has to run
+    measured = Observation()
+    told = df.observe(measured, F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"), F.count(at).alias("timed"))
+    told.write.parquet(f"{path}/{name}")
+    rows, first, last, timed = (measured.get[c] for c in ("rows", "first", "last", "timed"))
     pages = 0
-    if keys and seen.rows:
-        pages = 1 << max(0, (seen.rows * BITS_A_KEY - 1).bit_length() - BITS.bit_length() + 1)
-        index = key_pages(written, keys, pages)
+    if keys and rows:
+        pages = 1 << max(0, (rows * BITS_A_KEY - 1).bit_length() - BITS.bit_length() + 1)
+        index = key_pages(spark.read.schema(df.schema).parquet(f"{path}/{name}"), keys, pages)
         index.write.parquet(f"{path}/{INDEX}/{name}")
-    return Load(name, seen.rows, seen.first, seen.last, seen.timed < seen.rows, mark, pages, tuple(keys), df.schema.json())
+    return Load(name, rows, first, last, timed < rows, mark, pages, tuple(keys), df.schema.json())
 
 
 def publish(spark: SparkSession, path: str, loads: Sequence[Load], instead_of: Listed | None) -> Listed:
