@@ -59,7 +59,9 @@ class Languages:
         """The shares of the languages in one text, 0 for those that its set of languages leaves out.
 
         Languages join the set in the order of their shares among all, as long as the
-        likelihood of the text grows by more than half the logarithm of its length for each.
+        likelihood of the text grows by more than half the logarithm of its length for each,
+        times an eighth of the root of its length where that is over one: the trigrams of a
+        text are not independent, and by chance a second language gains more the longer it is.
         """
         n, k = counts.sum(), len(self.names)
         log_p = self.log_p[grams]

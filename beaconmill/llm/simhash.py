@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, rows, slices, stored
+from .common import components, rows, slices, stored, unused
 
 SHINGLES_AT_ONCE = 1 << 18
 
@@ -33,14 +33,14 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, *, width: int = 3, seed: int = 42, text_column: str = "text") -> DataFrame:
     """The columns of ``docs`` but for the text, and ``fp``, the fingerprint as a signed number."""
     kept = [c for c in docs.columns if c not in (text_column, "fp")]
+    body = unused(kept, "text")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            found = np.array([fingerprint(t, width, seed) for (t,) in rows(batch, "text")], np.uint64).view(np.int64)
+        for batch in slices(batches, body):
+            found = np.array([fingerprint(t, width, seed) for (t,) in rows(batch, body)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found)], names=[*kept, "fp"])
 
-    chosen = docs.select(*kept, F.col(text_column).alias("text")) if "text" not in kept else docs.select(*kept)
-    return chosen.mapInArrow(apply, docs.select(kept).schema.add("fp", "long"))
+    return docs.select(*kept, F.col(text_column).alias(body)).mapInArrow(apply, docs.select(kept).schema.add("fp", "long"))
 
 
 class BKTree:

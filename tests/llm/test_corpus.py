@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from beaconmill.llm import align, minhash, phrases, queries
+from beaconmill.llm import align, minhash, phrases, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 LONG = "word after word, and a line.\n" * 6000
@@ -265,6 +265,16 @@ def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     assert row.score == 1000 * a * n // (a * a) and (row.l, row.r) == (a, a)
 
 
+# ---------------------------------------------------------------- 9
+
+
+def test_fingerprints_are_of_the_column_asked_for(spark):
+    table = spark.createDataFrame([(1, "some other words here", "the body of it")], "doc_id bigint, text string, body string")
+    (row,) = simhash.fingerprints(table, text_column="body").collect()
+    found = simhash.fingerprint("the body of it")
+    assert (row.fp, row.text) == (found - (1 << 64) if found >> 63 else found, "some other words here")
+
+
 # ---------------------------------------------------------------- SQL
 
 
