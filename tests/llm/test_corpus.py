@@ -275,6 +275,36 @@ def test_fingerprints_are_of_the_column_asked_for(spark):
     assert (row.fp, row.text) == (found - (1 << 64) if found >> 63 else found, "some other words here")
 
 
+# ---------------------------------------------------------------- tasks that fail
+
+
+def failing_once(df):
+    """``df``, whose tasks fail the first time they run, after their last row."""
+
+    def apply(batches):
+        from pyspark import TaskContext
+
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    return df.mapInArrow(apply, df.schema)
+
+
+@pytest.mark.parametrize(
+    "run",
+    [
+        lambda df: align.align_documents(df),
+        lambda df: minhash.minhash_groups(df, width=3, percent=85),
+        lambda df: phrases.collocations(df, least=5, slots=1 << 14),
+    ],
+    ids=["alignment", "minhash", "collocations"],
+)
+def test_tasks_that_run_again_change_nothing(docs, run):
+    some = docs.select("doc_id", "lang", F.col("text").substr(1, 2000).alias("text")).repartition(3, "doc_id")
+    assert ordered(run(failing_once(some))) == ordered(run(some))
+
+
 # ---------------------------------------------------------------- SQL
 
 
