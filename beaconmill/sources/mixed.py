@@ -91,11 +91,14 @@ def _is_container(value: Column) -> Column:
 
 def _elements(texts: DataFrame) -> DataFrame:
     """``(value, element)`` for each object, and each element of an array; the variant is NULL where the text does not parse."""
-    parsed = texts.withColumn("parsed", _parsed())
-    inside = F.coalesce(F.try_variant_get("parsed", "$", "array<variant>"), F.array(F.col("parsed")))
-    return parsed.select("value", F.explode(inside).alias("element"), F.schema_of_variant("parsed").startswith("ARRAY").alias("of_array")).select(
-        F.when(F.coalesce("of_array", F.lit(False)), F.to_json("element")).otherwise(F.col("value")).alias("value"), "element"
-    )
+    parsed = texts.select("value", _parsed().alias("parsed"))
+    parsed = parsed.select("value", "parsed", F.try_variant_get("parsed", "$", "array<variant>").alias("elements"))
+    # an array's text and its variant do not go with each element, or the work would grow with the square of its length
+    own = F.when(F.col("elements").isNull(), F.col("value")).alias("value")
+    inside = F.coalesce("elements", F.array(F.col("parsed"))).alias("inside")
+    # outer, as Spark works out the array of a plain explode twice more to leave out empty ones first
+    each = parsed.select(own, inside).select("value", F.posexplode_outer("inside").alias("at", "element")).filter(F.col("at").isNotNull())
+    return each.select(F.coalesce("value", F.to_json("element")).alias("value"), "element")
 
 
 def _is_object() -> Column:

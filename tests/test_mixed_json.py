@@ -68,3 +68,14 @@ def test_a_later_file_of_another_layout_is_an_error_or_read(spark, tmp_path):
 def test_declared_lines_may_begin_with_a_broken_one(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"a": \n{"a": 1}\n')
     assert read_json_strings(spark, str(tmp_path), schema="a int").count() == 2
+
+
+@pytest.mark.parametrize("between", [", ", ",\n"])
+def test_a_long_array_takes_work_in_proportion(spark, tmp_path, between):
+    # with the whole text beside each element this would be 40 GB
+    rows = [json.dumps({"a": i, "b": "x" * 80}) for i in range(20_000)]
+    (tmp_path / "a.json").write_text(f"[{between.join(rows)}]")
+    (tmp_path / "b.json").write_text('{"a": 20000}\n[]\n[null, {"a": 20001}]\n')
+    df = read_json_mixed(spark, str(tmp_path), SCHEMA)
+    assert df.filter("a is not null").agg(F.count("a"), F.sum("a"), F.count("b")).first() == (20_002, 20_001 * 20_002 // 2, 20_000)
+    assert df.filter("a is null").count() == 1
