@@ -483,6 +483,36 @@ def test_all_similar_lines_are_linked(spark):
     assert {r.doc for r in linedup.line_drops(table, max_bits=None).collect()} == want
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.6, 0.7, 0.8, 0.9])
+def test_keys_meet_at_any_similarity(spark, similarity):
+    """Two lines share a key wherever the edits allow it, short ones and ones of different length too."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for n in [4, 5, 6, 7, 9, 10, 15, 25]:
+        for kind in range(6):
+            a = [f"w{i}" for i in rng.permutation(200)[:n]]
+            b = list(a)
+            most = int((1 - similarity) * n + 1e-9)
+            for i in range(most):
+                at = (i * n // most + n // most // 2) % len(b)  # spread out, so that few runs stay whole
+                b[at : at + (kind % 3 < 2)] = [] if kind % 3 == 1 else [f"x{i}"]
+            m = max(len(a), len(b))
+            if edits(a, b) <= int((1 - similarity) * m + 1e-9):
+                rows += [(len(rows), a), (len(rows) + 1, b)]
+    words = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "line bigint, norm string")
+    texts = words.select("line", linedup._codes().alias("codes"))
+    keys = {}
+    for r in linedup._keys(texts, similarity).collect():
+        keys.setdefault(r.line, set()).add(r.key)
+    assert rows and all(keys[i] & keys[i + 1] for i in range(0, len(rows), 2))
+
+
+def test_lines_are_brought_into_form_once(spark):
+    table = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
+    plan = linedup._lines(table, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") <= 2  # as Generate and its argument, not in a filter before it
+
+
 def test_lines_run_no_python(spark):
     table = spark.createDataFrame(line_rows()[:4], "doc_id bigint, text string")
     for df in (linedup.deduplicate_lines(table), pii.replace_pii(table, "k")):
