@@ -75,7 +75,7 @@ class BKTree:
 
 
 class Joined:
-    """Which values are known to be connected, to emit one edge for each new connection only."""
+    """Which values are known to be connected, to emit one edge for each new connection only, and all of them to the smallest value."""
 
     def __init__(self) -> None:
         self.up: dict[int, int] = {}
@@ -92,6 +92,9 @@ class Joined:
             self.up[max(a, b)] = min(a, b)
         return a != b
 
+    def stars(self) -> list[tuple[int, int]]:
+        return [(a, self.find(a)) for a in list(self.up)]
+
 
 EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -102,9 +105,11 @@ def near_edges(prints: DataFrame, *, radius: int = 3, shard_size: int = 256) ->
     Two fingerprints that differ in ``radius`` bits agree in one of ``radius + 1`` blocks of
     bits, so a shard is a block's value. A shard with more than ``shard_size`` members is
     split into trees of about that size, and each tree is given to the shard's other
-    members, each of which looks into the trees after its own. A task holds one tree. Of
-    the links in one tree it emits those that connect something new, so the number of
-    edges grows with the members and not with their pairs.
+    members, each of which looks into the trees after its own. A task holds one tree, and
+    which of the values that looked into it are connected. It emits an edge from each of them
+    to the smallest one that it is connected with, not to the one that it met: the edges are as
+    many as the members, not as their pairs, and there are no long chains, so connecting them
+    takes fewer rounds.
     """
     blocks, bits = radius + 1, 64 // (radius + 1)
     mask = (1 << bits) - 1
@@ -139,9 +144,11 @@ def near_edges(prints: DataFrame, *, radius: int = 3, shard_size: int = 256) ->
             tree, joined = BKTree(), Joined()
             for *_, asks, fp in shard:
                 value = fp & 0xFFFFFFFFFFFFFFFF
-                found += [(fp, other) for other in tree.within(value, radius) if other != value and joined.join(value, other)]
+                for other in tree.within(value, radius):
+                    joined.join(value, other)
                 if not asks:
                     tree.add(value)
+            found += joined.stars()
             if len(found) > 50_000:
                 yield _edges(found)
                 found = []
@@ -151,7 +158,7 @@ def near_edges(prints: DataFrame, *, radius: int = 3, shard_size: int = 256) ->
 
 
 def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    a = np.array([x for x, _ in found], np.int64)
+    a = np.array([x for x, _ in found], np.uint64).view(np.int64)
     b = np.array([y for _, y in found], np.uint64).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=EDGE)
 

@@ -456,6 +456,21 @@ def test_short_lines_and_scripts_without_spaces(spark, tmp_path):
     assert sorted((r.doc, r.n) for r in lines) == [(1, len(base)), (2, len(base)), (5, len(base) + 1)]
 
 
+def test_fingerprints_of_a_chain_are_connected_to_the_smallest(spark):
+    """Each of 60 fingerprints is near the one before it only: one star comes out, not a chain of as many edges."""
+    chain = [((1 << i) - 1) << 4 for i in range(0, 60, 3)]
+    prints = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in chain], "fp bigint")
+    found = simhash.near_edges(prints, shard_size=256).collect()
+    up = simhash.Joined()
+    for r in found:
+        up.join(r.a & 0xFFFFFFFFFFFFFFFF, r.b & 0xFFFFFFFFFFFFFFFF)
+    assert {up.find(v) for v in chain} == {0}
+    joined = simhash.Joined()
+    for a, b in zip(chain[1:], chain, strict=False):
+        joined.join(a, b)
+    assert {b for _, b in joined.stars()} == {0} and len(joined.stars()) == len(chain) - 1
+
+
 def test_all_similar_lines_are_linked(spark):
     """Links by edit similarity alone, of lines with as many edits as it allows."""
     rng = np.random.default_rng(8)
