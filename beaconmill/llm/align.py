@@ -30,6 +30,14 @@ BLOCK_BYTES = 12_000_000  # of text, unless a single one is longer
 KNOWN = 400_000  # chunks a task remembers at once
 SPARSE = BLOCK // 16  # up to so many documents are listed in two bytes each, more are a bitmap
 _CUT = re.compile(r"(?<=\S)(?= )")
+_SPACED = re.compile(r"\s ")
+
+
+def chunks(text: str) -> list[str]:
+    """A blank and ``text``, cut before each blank that follows anything but white space, without the blank that each chunk begins with."""
+    if _SPACED.search(text) or text[0] == " ":
+        return [c[1:] for c in _CUT.split(" " + text)]
+    return text.split(" ")  # no blank follows white space: the same, in a quarter of the time
 
 
 def grouped(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -86,33 +94,35 @@ class Aligner:
     def numbers(self, texts: list[str | None]) -> list[list[int]]:
         """For each text the numbers of its chunks, which hold until they are forgotten."""
         ids = self.ids
-        cut = [_CUT.split(" " + t) if t else [] for t in texts]
+        cut = [chunks(t) if t else [] for t in texts]
         fresh: set[str] = set()
-        for chunks in cut:
-            fresh.update(set(chunks).difference(ids))
+        for own in cut:
+            fresh.update(set(own).difference(ids))
         new = list(fresh)
         for at in range(0, len(new), 50_000):
             self._learn(new[at : at + 50_000])
-        return [list(map(ids.__getitem__, chunks)) for chunks in cut]
+        return [list(map(ids.__getitem__, own)) for own in cut]
 
     def _learn(self, new: list[str]) -> None:
         """Encode and align chunks, all of them as one text: each ends in a byte offset common to both sides."""
-        of_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        of_b = self.b.encode([c[1:] for c in new], num_threads=1)
-        if " " in new:  # a blank at the end: the library makes nothing of a text without characters
-            of_b[new.index(" ")] = [self.b.piece_to_id("▁")]
-        data = [c.encode() for c in new]
+        spaced = [" " + c for c in new]
+        of_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        of_b = self.b.encode(new, num_threads=1)
+        if "" in new:  # a blank at the end: the library makes nothing of a text without characters
+            of_b[new.index("")] = [self.b.piece_to_id("▁")]
+        data = [c.encode() for c in spaced]
         a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         joined = b"".join(data)
         whole = range(len(new))
+        n_a, n_b, a, b = _flat(of_a, of_b, whole)
+        ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
         # equal as one text, and as long in each chunk; else one by one
         if not all(
-            b"".join(map(of, chain.from_iterable(ids))) == joined and [sum(map(size, x)) for x in ids] == list(map(len, data))
-            for of, size, ids in ((a_bytes, self.a_sizes.tolist().__getitem__, of_a), (b_bytes, self.b_sizes.tolist().__getitem__, of_b))
+            b"".join(map(of, flat.tolist())) == joined and np.array_equal(np.append(0, np.cumsum(sizes[flat]))[np.cumsum(n)], ends)
+            for of, sizes, n, flat in ((a_bytes, self.a_sizes, n_a, a), (b_bytes, self.b_sizes, n_b, b))
         ):
             whole = [i for i, d in enumerate(data) if b"".join(map(a_bytes, of_a[i])) == d == b"".join(map(b_bytes, of_b[i]))]
-        n_a, n_b = (np.array([len(x[i]) for i in whole], np.int64) for x in (of_a, of_b))
-        a, b = (np.fromiter(chain.from_iterable(x[i] for i in whole), np.int64) for x in (of_a, of_b))
+            n_a, n_b, a, b = _flat(of_a, of_b, whole)
         ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         last = np.cumsum(n_a) - 1  # no chunk is empty
         at_a, at_b, groups = grouped(ends_a, ends_b)
@@ -140,6 +150,12 @@ class Aligner:
             self.texts.append("")
 
 
+def _flat(of_a: list[list[int]], of_b: list[list[int]], whole: list[int] | range) -> list[np.ndarray]:
+    """How many ids each of the chunks ``whole`` has on both sides, and the ids of all, one after the other."""
+    counts = [np.fromiter((len(x[i]) for i in whole), np.int64, len(whole)) for x in (of_a, of_b)]
+    return counts + [np.fromiter(chain.from_iterable(x[i] for i in whole), np.int64, int(n.sum())) for x, n in zip((of_a, of_b), counts, strict=True)]
+
+
 @functools.cache
 def aligner(byte_file: str, piece_file: str) -> Aligner:
     return Aligner(byte_file, piece_file)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from beaconmill.llm import bpe, common, langid, linedup, packing, pii, quality, queries, simhash, topk, toxicity, winnow
+from beaconmill.llm import align, bpe, common, langid, linedup, packing, pii, quality, queries, simhash, topk, toxicity, winnow
 from beaconmill.llm.words import words_of
 
 SF = "/root/testdata/sf0.001"
@@ -471,6 +471,11 @@ def test_fingerprints_of_a_chain_are_connected_to_the_smallest(spark):
     assert {b for _, b in joined.stars()} == {0} and len(joined.stars()) == len(chain) - 1
 
 
+@pytest.mark.parametrize("text", ["a", "a b", " a b", "a  b", "a \n b", "a\n b c", "a\u3000 b", "a\x1f b", "a b ", " ", "  ", "\n", "a\tb c", "é ñ 中 文"])
+def test_chunks_of_alignment_are_those_of_the_pattern(text):
+    assert [" " + c for c in align.chunks(text)] == align._CUT.split(" " + text)
+
+
 def test_all_similar_lines_are_linked(spark):
     """Links by edit similarity alone, of lines with as many edits as it allows."""
     rng = np.random.default_rng(8)
