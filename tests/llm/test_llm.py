@@ -456,6 +456,23 @@ def test_short_lines_and_scripts_without_spaces(spark, tmp_path):
     assert sorted((r.doc, r.n) for r in lines) == [(1, len(base)), (2, len(base)), (5, len(base) + 1)]
 
 
+def test_long_lines_that_share_runs_only_are_not_compared(spark, monkeypatch):
+    """A hundred words in common of 180 each: the sketch has room for the others."""
+    rng = np.random.default_rng(9)
+    common_run = " ".join(f"c{i}" for i in range(100))
+    lines = [" ".join([common_run, *(f"{int(w)}" for w in rng.integers(1_000_000, size=80))]) for _ in range(20)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    similar, seen = linedup._similar, []
+
+    def counted(texts, pairs, similarity):
+        seen.append(pairs.count())
+        return similar(texts, pairs, similarity)
+
+    monkeypatch.setattr(linedup, "_similar", counted)
+    assert linedup.line_drops(table, max_bits=None).collect() == []
+    assert sum(seen) == 0
+
+
 def test_fingerprints_of_a_chain_are_connected_to_the_smallest(spark):
     """Each of 60 fingerprints is near the one before it only: one star comes out, not a chain of as many edges."""
     chain = [((1 << i) - 1) << 4 for i in range(0, 60, 3)]
