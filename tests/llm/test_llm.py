@@ -473,6 +473,57 @@ def test_long_lines_that_share_runs_only_are_not_compared(spark, monkeypatch):
     assert sum(seen) == 0
 
 
+def pairs_met(monkeypatch):
+    """How many rows of pairs come to each comparison of texts, and how many different ones."""
+    similar, seen = linedup._similar, []
+
+    def counted(texts, pairs, similarity):
+        seen.append((pairs.count(), pairs.distinct().count()))
+        return similar(texts, pairs, similarity)
+
+    monkeypatch.setattr(linedup, "_similar", counted)
+    return seen
+
+
+def test_lines_of_equal_words_that_occur_more_often_are_not_compared(spark, monkeypatch):
+    """Forty words in common, ten of them four times more in each line, ten others in each: whether their number is even says nothing."""
+    rng = np.random.default_rng(10)
+    run = [f"c{i}" for i in range(40)]
+    lines = [" ".join([*run, *rng.permutation(run[at : at + 10] * 4)]) for at in range(0, 40, 10)]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    seen = pairs_met(monkeypatch)
+    assert linedup.line_drops(table, max_bits=None).collect() == []
+    assert sum(n for n, _ in seen) == 0
+
+
+@pytest.mark.parametrize("n", [12, 40])
+def test_lines_of_crowded_keys_are_linked_and_meet_about_once(spark, monkeypatch, n):
+    """Copies of a line that is not there itself, with as many changes, repeated words too, as leave some pairs similar."""
+    rng = np.random.default_rng(n)
+    base = [f"b{i % (n - 3)}" for i in range(n)]
+    lines = []
+    for _ in range(60):
+        words = list(base)
+        for at in rng.permutation(n)[: rng.integers(n // 10, n // 5 + 2)]:
+            words[at] = f"x{rng.integers(40)}" if at % 4 else f"b{rng.integers(n)}"
+        lines.append(" ".join(words[int(rng.integers(2)) :]))
+    lines = sorted(set(lines))
+    up, linked = simhash.Joined(), 0
+    for i, j in combinations(range(len(lines)), 2):
+        a, b = lines[i].split(), lines[j].split()
+        if edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+            linked += 1
+            up.join(i, j)
+    want = {i for i in range(len(lines)) if up.find(i) != i}
+    assert 10 < linked < 900 and want
+    monkeypatch.setattr(linedup, "CROWD", 4)
+    seen = pairs_met(monkeypatch)
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    assert {r.doc for r in linedup.line_drops(table, max_bits=None).collect()} == want
+    rows, pairs = seen[-1]
+    assert rows <= 3 * pairs
+
+
 def test_fingerprints_of_a_chain_are_connected_to_the_smallest(spark):
     """Each of 60 fingerprints is near the one before it only: one star comes out, not a chain of as many edges."""
     chain = [((1 << i) - 1) << 4 for i in range(0, 60, 3)]
