@@ -595,6 +595,32 @@ def test_keys_meet_at_any_similarity(spark, similarity):
     assert rows and all(keys[i] & keys[i + 1] for i in range(0, len(rows), 2))
 
 
+def test_lines_without_a_common_run_are_not_sketched_and_steps_leave_no_files(spark, monkeypatch, tmp_path):
+    """Sketches are made of lines that share a key only, and what a step has used up goes before the next ones write."""
+    own = [" ".join(f"w{n}x{i}" for i in range(20)) for n in range(30)]
+    near = [f"{own[0]} once more", own[1].replace("w1x5", "other")]
+    table = spark.createDataFrame(list(enumerate(own + near)), "doc_id bigint, text string")
+    flipped, seen = linedup._flipped, []
+
+    def counted(texts, parts):
+        seen.append(texts.count())
+        return flipped(texts, parts)
+
+    monkeypatch.setattr(linedup, "_flipped", counted)
+    monkeypatch.setattr(common, "scratch_dir", lambda _, purpose: f"{tmp_path}/{purpose}-{len(list(tmp_path.iterdir()))}")
+    assert {r.doc for r in linedup.line_drops(table, max_bits=None).collect()} == {30, 31}
+    assert seen == [4]
+    left = {p.name.rpartition("-")[0] for p in tmp_path.iterdir()}
+    assert not left & {"line-shared", "line-own", "line-near", "line-keyed", "line-pairs", "line-wanted"}
+
+
+def test_runs_that_a_line_repeats_are_one_key(spark):
+    texts = spark.createDataFrame([(0, "ha " * 50 + "ho"), (1, "la lo " * 30), (2, "a b c d e f")], "line bigint, norm string")
+    texts = texts.selectExpr("line", "trim(norm) norm").select("line", linedup._codes().alias("codes"))
+    rows = [tuple(r) for r in linedup._keys(texts, 0.8).collect()]
+    assert len(rows) == len(set(rows)) and {line for line, _ in rows} == {0, 1, 2}
+
+
 def test_lines_are_brought_into_form_once(spark):
     table = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     plan = linedup._lines(table, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
